@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from tripmart.functions.timestamps import AsOf, clock
 from tripmart.operators.marts import fact_trips
 from tripmart.schemas import FACT_KEY, Profile
-from tripmart.sources.tables import LAYOUT_DAY, append_fact_partitioned, replace_days, stored
+from tripmart.sources.tables import (
+    GRAINS,
+    LAYOUT_COLUMNS,
+    append_fact_partitioned,
+    append_table,
+    period,
+    read_fact,
+    replace_periods,
+    stored,
+)
 
 
 def high_water_mark(target: DataFrame, column: str = "pickup_ts") -> Column:
@@ -81,21 +90,31 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] = FACT_KEY)
     return sync_schema(kept, batch).unionByName(batch)
 
 
-def append_new(path: str, target: DataFrame | None, staged: DataFrame, zones: DataFrame | None, profile: Profile,
-               as_of: AsOf = None) -> int:
-    """The production load: admitted rows are strictly newer than every stored row, so an append is the upsert."""
-    return append_fact_partitioned(incremental_fact(target, staged, zones, profile, as_of), path)
+def append_new(
+    path: str,
+    target: DataFrame | None,
+    staged: DataFrame,
+    zones: DataFrame | None,
+    profile: Profile,
+    as_of: AsOf = None,
+    grain: str | None = None,
+) -> int:
+    """The production load: admitted rows are strictly newer than every stored row, so an append is the upsert.
+
+    ``grain`` partitions the table by pickup time. Returns the number of rows added.
+    """
+    rows = incremental_fact(target, staged, zones, profile, as_of)
+    return append_fact_partitioned(rows, path, grain) if grain else append_table(rows, path)
 
 
-def merge_days(path: str, batch: DataFrame, keys: Sequence[str] = FACT_KEY) -> None:
-    """Upserts a batch into a fact partitioned by day, rewriting only the days the batch touches.
+def merge_periods(path: str, batch: DataFrame, keys: Sequence[str] = FACT_KEY, grain: str = "day") -> None:
+    """Upserts a batch into a partitioned fact, rewriting only the periods the batch touches.
 
-    Matching rows share a pickup time and hence a day. The merged days are stored in the shared folder first: a folder
-    must not be overwritten while it is read, and after a failure the second step can simply be repeated.
+    Matching rows share a pickup time and hence a period. The merged periods are stored in the shared folder first: a
+    folder must not be overwritten while it is read, and after a failure the second step can simply be repeated.
     """
-    spark = batch.sparkSession
-    day = F.col("pickup_date").cast("date")
-    batch_days = batch.select(day.alias("_day")).distinct()
-    target = spark.read.parquet(path)
-    touched = target.join(batch_days, F.col(LAYOUT_DAY).eqNullSafe(F.col("_day")), "left_semi").drop(LAYOUT_DAY)
-    replace_days(stored(upsert(touched, batch, keys), "merged-days"), path)
+    target = read_fact(batch.sparkSession, path, layout=True)
+    touched_periods = batch.select(period(grain).alias("_period")).distinct()
+    touched = target.join(touched_periods, F.col(GRAINS[grain][0]).eqNullSafe(F.col("_period")), "left_semi")
+    merged = upsert(touched.drop(*LAYOUT_COLUMNS), batch, keys)
+    replace_periods(stored(merged, "merged-periods"), path, grain)

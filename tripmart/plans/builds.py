@@ -10,7 +10,7 @@ from tripmart.operators.marts import daily_revenue, fact_trips, hourly_demand
 from tripmart.operators.quality import LAKEHOUSE_CHECKS, WAREHOUSE_CHECKS, run_suite
 from tripmart.operators.staging import dim_zones, silver_trips, stage_trips, stage_zones
 from tripmart.schemas import LAKEHOUSE, WAREHOUSE, Profile
-from tripmart.sources.tables import LAYOUT_DAY, write_fact_partitioned, write_table
+from tripmart.sources.tables import read_fact, write_fact_partitioned, write_table
 
 
 def _marts(fact: DataFrame, profile: Profile, out: str) -> dict[str, DataFrame]:
@@ -33,8 +33,8 @@ def build_warehouse(
     staged = stage_trips(raw, WAREHOUSE, as_of)
     write_table(dim_zones(stage_zones(zones)), f"{out}/dim_zones")
     dim = spark.read.parquet(f"{out}/dim_zones")
-    write_fact_partitioned(fact_trips(staged, dim, WAREHOUSE), f"{out}/fct_trips")
-    fact = spark.read.parquet(f"{out}/fct_trips").drop(LAYOUT_DAY)
+    write_table(fact_trips(staged, dim, WAREHOUSE), f"{out}/fct_trips")
+    fact = spark.read.parquet(f"{out}/fct_trips")
     return {
         "taxi_zone_lookup": zones, "stg_yellow_trips": staged, "dim_zones": dim, "fct_trips": fact,
         **_marts(fact, WAREHOUSE, out),
@@ -42,14 +42,14 @@ def build_warehouse(
 
 
 def build_lakehouse(
-    spark: SparkSession, raw: DataFrame, zones: DataFrame, out: str, as_of: AsOf = None
+    spark: SparkSession, raw: DataFrame, zones: DataFrame, out: str, as_of: AsOf = None, grain: str = "day"
 ) -> dict[str, DataFrame]:
     """Silver is stored, staging is a view on it, the fact and everything after it are stored under ``out``."""
     write_table(silver_trips(raw, zones, as_of), f"{out}/yellow_trips_clean")
     silver = spark.read.parquet(f"{out}/yellow_trips_clean")
     staged = stage_trips(silver, LAKEHOUSE, as_of)
-    write_fact_partitioned(fact_trips(staged, None, LAKEHOUSE), f"{out}/fct_trips")
-    fact = spark.read.parquet(f"{out}/fct_trips").drop(LAYOUT_DAY)
+    write_fact_partitioned(fact_trips(staged, None, LAKEHOUSE), f"{out}/fct_trips", grain)
+    fact = read_fact(spark, f"{out}/fct_trips")
     return {
         "yellow_trips_clean": silver, "stg_yellow_trips": staged, "fct_trips": fact, "fct_trips_incremental": fact,
         **_marts(fact, LAKEHOUSE, out),

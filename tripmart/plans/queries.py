@@ -141,23 +141,23 @@ def _first_delivery(staged: DataFrame) -> DataFrame:
     return staged.filter((F.col("payment_type") <= 4) & (pickup.isNull() | (pickup <= F.lit(CUT).cast("timestamp_ntz"))))
 
 
-def _two_runs(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+def _two_runs(spark: SparkSession, sf_dir: str, profile: Profile, grain: str | None) -> DataFrame:
     staged, zones = _staged(spark, sf_dir, profile), _zones(spark, sf_dir)
     path = shared_dir(spark, f"incremental-{profile.name}") + "/fct_trips_incremental"
-    incremental.append_new(path, None, _first_delivery(staged), zones, profile, AS_OF)
+    incremental.append_new(path, None, _first_delivery(staged), zones, profile, AS_OF, grain)
     target = tables.read_fact(spark, path)
-    incremental.append_new(path, target, staged, zones, profile, SECOND_RUN)
-    return tables.read_fact(spark, path).drop(tables.LAYOUT_DAY)
+    incremental.append_new(path, target, staged, zones, profile, SECOND_RUN, grain)
+    return tables.read_fact(spark, path)
 
 
 @query
 def incremental_fact_w(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_runs(spark, sf_dir, WAREHOUSE)
+    return _two_runs(spark, sf_dir, WAREHOUSE, None)
 
 
 @query
 def incremental_fact_l(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_runs(spark, sf_dir, LAKEHOUSE)
+    return _two_runs(spark, sf_dir, LAKEHOUSE, "month")
 
 
 @query
@@ -187,15 +187,14 @@ def upsert_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def merge_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = _fact(spark, sf_dir, WAREHOUSE).withColumn("pickup_borough", F.coalesce("pickup_borough", F.lit("?")))
-    kept = (*FACT_KEY, "tip_amount", "total_amount", "pickup_date")
-    path = shared_dir(spark, "merge-days") + "/fct_trips"
-    tables.write_fact_partitioned(fact.filter(F.col("payment_type") <= 4), path)
-    stored = tables.read_fact(spark, path).drop(tables.LAYOUT_DAY)
-    batch = incremental.sync_schema(_corrections(fact), stored)
-    incremental.merge_days(path, batch)
-    return tables.read_fact(spark, path).select(*kept)
+def merge_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections of one year merged into a stored fact; the partitions of other years stay untouched."""
+    fact = _fact(spark, sf_dir, WAREHOUSE)
+    path = shared_dir(spark, "merge-periods") + "/fct_trips"
+    tables.write_fact_partitioned(fact.filter(F.col("payment_type") <= 4), path, "month")
+    batch = _corrections(fact.filter(F.year("pickup_ts") == 2022))
+    incremental.merge_periods(path, incremental.sync_schema(batch, fact), grain="month")
+    return tables.read_fact(spark, path).select(*FACT_KEY, "tip_amount", "total_amount", "pickup_date")
 
 
 @query
@@ -232,7 +231,7 @@ def quality_w(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_dir(spark, "build-lakehouse")
     return check_build(
-        build_lakehouse(spark, raw_trips(spark, sf_dir), raw_zones(spark, sf_dir), out, AS_OF), LAKEHOUSE
+        build_lakehouse(spark, raw_trips(spark, sf_dir), raw_zones(spark, sf_dir), out, AS_OF, "month"), LAKEHOUSE
     )
 
 
@@ -351,20 +350,22 @@ def ai_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv_trips(spark: SparkSession, sf_dir: str) -> str:
-    """Trips as unquoted CSV with some unreadable numbers and some rows that are too long."""
+    """Trips as CSV lines under a header, some with an unreadable number, some too long, some too short."""
     path = shared_dir(spark, "csv") + "/trips"
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    dirty = trips_from_lineitem(lineitem).withColumns(
-        {
-            "passenger_count": F.when(F.col("passenger_count") == 7, "n/a").otherwise(
-                F.col("passenger_count").cast("string")
-            ),
-            "store_and_fwd_flag": F.when(F.col("payment_type") == 6, "Y,surplus").otherwise(
-                F.col("store_and_fwd_flag")
-            ),
-        }
+    trips = raw_trips(spark, sf_dir)
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in trips.columns]
+    passengers = trips.columns.index("passenger_count")
+    unreadable = [*fields[:passengers], F.lit("n/a"), *fields[passengers + 1 :]]
+    kind = F.col("dolocationid") % 13
+    line = (
+        F.when(kind == 1, F.concat_ws(",", *unreadable))
+        .when(kind == 2, F.concat_ws(",", *fields, F.lit("surplus")))
+        .when(kind == 3, F.concat_ws(",", *fields[:-1]))
+        .otherwise(F.concat_ws(",", *fields))
     )
-    dirty.write.option("header", True).option("quote", "\u0000").csv(path)
+    # One column named like the whole header: the writer then puts the header line on top of every file.
+    lines = trips.select(line.alias(",".join(trips.columns)))
+    lines.write.option("header", True).option("sep", "\u0001").csv(path)
     return path
 
 
@@ -404,8 +405,8 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def partitioned_fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "partitioned") + "/fct_trips"
-    tables.write_fact_partitioned(_fact(spark, sf_dir, WAREHOUSE), path)
-    return tables.read_fact(spark, path)
+    tables.write_fact_partitioned(_fact(spark, sf_dir, WAREHOUSE), path, "month")
+    return tables.read_fact(spark, path, layout=True)
 
 
 @query
@@ -436,7 +437,9 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = _zones(spark, sf_dir)
     trips = raw_trips(spark, sf_dir)
     pickup = F.col("tpep_pickup_datetime").try_cast("timestamp_ntz")
-    early = (F.col("payment_type") <= 4) & (pickup <= F.lit(CUT).cast("timestamp_ntz"))
+    early = (F.col("payment_type") <= 4) & pickup.between(
+        F.lit("2009-01-01").cast("timestamp_ntz"), F.lit(CUT).cast("timestamp_ntz")
+    )
     for number, delivery in enumerate((trips.filter(early), trips.filter(F.coalesce(~early, F.lit(True)))), 1):
         delivery.write.parquet(f"{folder}/landing/d{number}")
         files = ingest.trip_files(spark, f"{folder}/landing/*", trips.schema)

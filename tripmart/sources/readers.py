@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,47 +37,71 @@ def match_columns(df: DataFrame, contract: T.StructType, extras: bool = False, s
     return df.select(*picked)
 
 
-def _csv_schema(spark: SparkSession, path: str, contract: T.StructType) -> T.StructType:
-    """The contract's types put in the order of the file's own header; unknown columns stay text."""
-    header = spark.read.option("header", True).csv(path).columns
-    known = {field.name.lower(): field.dataType for field in contract}
-    return T.StructType([T.StructField(name, known.get(name.lower(), T.StringType())) for name in header])
+def _csv_text(spark: SparkSession, path: str | list[str], mode: str) -> DataFrame:
+    """Headed CSV with optional quotes, every field as text; a row of the wrong length fills ``_rejected_record``.
 
+    Values are typed by expressions afterwards. Spark's own typed reader looks only at the columns a query selects, so
+    which rows count as bad would change from query to query.
+    """
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    fields = [T.StructField(name, T.StringType()) for name in reader.csv(path).columns]
+    if mode == "PERMISSIVE":
+        fields.append(T.StructField(REJECTED, T.StringType()))
+        reader = reader.option("columnNameOfCorruptRecord", REJECTED)
+    return reader.schema(T.StructType(fields)).option("columnPruning", False).option("mode", mode).csv(path)
 
-def read_csv(
-    spark: SparkSession, path: str, contract: T.StructType, tolerant: bool = False, header_order: bool = True
-) -> DataFrame:
-    """Headed CSV with optional quotes. ``tolerant`` skips rows that are short, long or uncastable.
 
-    Column pruning is off: with it Spark parses, and so rejects, only what a later query happens to select, and the
-    number of rows would change from query to query.
-    """
-    schema = _csv_schema(spark, path, contract) if header_order else contract
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("columnPruning", False)
-        .option("mode", "DROPMALFORMED" if tolerant else "FAILFAST")
-        .csv(path)
+def _parsed(text: Column, kind: T.DataType) -> Column:
+    """Text as a value, null if unreadable. Whole numbers may be written with decimals."""
+    if isinstance(kind, T.LongType):
+        return F.round(text.try_cast("decimal(38,6)")).try_cast("bigint")
+    return text.try_cast(kind)
+
+
+def _typed(text: DataFrame, contract: T.StructType) -> dict[str, tuple[Column, Column]]:
+    """For each contract column its value and whether the file's text for it is unreadable."""
+    found = {name.lower(): name for name in text.columns}
+    typed = {}
+    for field in contract:
+        name = found.get(field.name.lower())
+        if name is None:
+            typed[field.name] = (F.lit(None).cast(field.dataType), F.lit(False))
+        else:
+            value = _parsed(F.col(f"`{name}`"), field.dataType)
+            typed[field.name] = (value, F.col(f"`{name}`").isNotNull() & value.isNull())
+    return typed
+
+
+def _any(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda left, right: left | right, conditions)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], contract: T.StructType, tolerant: bool = False) -> DataFrame:
+    """CSV in the contract's columns. ``tolerant`` skips rows that are short, long or unreadable, else they raise."""
+    text = _csv_text(spark, path, "PERMISSIVE" if tolerant else "FAILFAST")
+    typed = _typed(text, contract)
+    if tolerant:
+        bad = F.col(REJECTED).isNotNull() | _any(unreadable for _, unreadable in typed.values())
+        return text.filter(~bad).select(*[value.alias(name) for name, (value, _) in typed.items()])
+    return text.select(
+        *[
+            F.when(unreadable, F.raise_error(F.lit(f"unreadable value in column {name}")).cast(contract[name].dataType))
+            .otherwise(value)
+            .alias(name)
+            for name, (value, unreadable) in typed.items()
+        ]
     )
-    return match_columns(df, contract)
-
-
-def rejected_rows(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    """The rows a tolerant CSV load skips: what could be parsed, and the whole line as ``_rejected_record``."""
-    schema = T.StructType(_csv_schema(spark, path, contract).fields + [T.StructField(REJECTED, T.StringType())])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("columnPruning", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", REJECTED)
-        .csv(path)
-        .filter(F.col(REJECTED).isNotNull())
+
+
+def rejected_rows(spark: SparkSession, path: str | list[str], contract: T.StructType) -> DataFrame:
+    """The rows a tolerant CSV load skips: what could be parsed, and the row's text as ``_rejected_record``."""
+    text = _csv_text(spark, path, "PERMISSIVE")
+    typed = _typed(text, contract)
+    fields = [name for name in text.columns if name != REJECTED]
+    bad = F.col(REJECTED).isNotNull() | _any(unreadable for _, unreadable in typed.values())
+    return text.filter(bad).select(
+        *[value.alias(name) for name, (value, _) in typed.items()],
+        F.coalesce(REJECTED, F.to_csv(F.struct(*[F.col(f"`{name}`") for name in fields]))).alias(REJECTED),
     )
 
 
@@ -94,7 +121,7 @@ def read_trips(
     paths = [path] if isinstance(path, str) else list(path)
     fmt = fmt or ("parquet" if paths[0].rstrip("/*").lower().endswith(".parquet") else "csv")
     if fmt == "csv":
-        return read_csv(spark, paths if len(paths) > 1 else paths[0], TRIPS, tolerant)
+        return read_csv(spark, paths, TRIPS, tolerant)
     reader = spark.read.option("ignoreCorruptFiles", tolerant)
     if evolve:
         return match_columns(reader.option("mergeSchema", True).parquet(*paths), TRIPS, extras=True)

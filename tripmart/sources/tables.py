@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,9 @@ from tripmart.session import shared_dir
 # The database of each layer.
 LAYERS = {"raw": "RAW", "staging": "STAGING", "marts": "MARTS", "ai": "MARTS", "snapshots": "SNAPSHOTS"}
 
-LAYOUT_DAY = "pickup_day"
+# Layout column and truncation unit of each partition grain; the column exists in the stored folders only.
+GRAINS = {"day": ("pickup_day", "DD"), "month": ("pickup_month", "MM")}
+LAYOUT_COLUMNS = [column for column, _ in GRAINS.values()]
 
 
 def stamp(df: DataFrame, column: str = "_loaded_at", as_of: AsOf = None) -> DataFrame:
@@ -30,9 +32,7 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 def append_raw(df: DataFrame, path: str, as_of: AsOf = None) -> int:
     """Appends to the raw layer; new columns are welcome, readers merge them with ``read_raw``."""
-    counted, seen = _counted(stamp(df, as_of=as_of))
-    counted.write.mode("append").parquet(path)
-    return seen.get["rows"]
+    return append_table(stamp(df, as_of=as_of), path)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -46,6 +46,12 @@ def write_table(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
+def append_table(df: DataFrame, path: str) -> int:
+    counted, seen = _counted(df)
+    counted.write.mode("append").parquet(path)
+    return seen.get["rows"]
+
+
 def save_as_table(df: DataFrame, layer: str, name: str) -> str:
     """Full rebuild as a catalog table in the layer's database."""
     table = f"{LAYERS[layer]}.{name}"
@@ -60,53 +66,55 @@ def register_views(frames: dict[str, DataFrame]) -> None:
         frame.createOrReplaceTempView(name)
 
 
-def _by_day(fact: DataFrame) -> DataFrame:
-    """Rows gathered by pickup day, ready for a writer partitioned by day.
+def period(grain: str = "day") -> Column:
+    """The first day of a row's partition."""
+    day = F.col("pickup_date").cast("date")
+    return day if grain == "day" else F.trunc(day, GRAINS[grain][1])
+
+
+def _gathered(fact: DataFrame, grain: str) -> DataFrame:
+    """Rows gathered by period, ready for a writer partitioned by it.
 
-    ``rebalance`` lets adaptive execution cut a day that is far larger than the rest (the null day of unreadable
-    timestamps, say) over several tasks and pack small days together. The sort starts with the day, so the writer adds
-    none of its own and keeps one file open at a time; borough and payment type cluster the row groups.
+    ``rebalance`` lets adaptive execution cut a period that is far larger than the rest (the null period of unreadable
+    timestamps, say) over several tasks and pack small ones together. The sort starts with the period, so the writer
+    adds none of its own and keeps one file open at a time; borough and payment type cluster the row groups.
     """
+    column = GRAINS[grain][0]
     return (
-        fact.withColumn(LAYOUT_DAY, F.col("pickup_date").cast("date"))
-        .hint("rebalance", F.col(LAYOUT_DAY))
-        .sortWithinPartitions(LAYOUT_DAY, "pickup_borough", "payment_type")
+        fact.withColumn(column, period(grain))
+        .hint("rebalance", F.col(column))
+        .sortWithinPartitions(column, "pickup_borough", "payment_type")
     )
 
 
-def write_fact_partitioned(fact: DataFrame, path: str, max_rows_per_file: int = 20_000_000) -> int:
-    """Full rebuild of a fact, partitioned by day and clustered by borough and payment type."""
+def _write_gathered(fact: DataFrame, path: str, grain: str, mode: str, **options: str | int) -> int:
     counted, seen = _counted(fact)
-    (
-        _by_day(counted)
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", max_rows_per_file)
-        .partitionBy(LAYOUT_DAY)
-        .parquet(path)
-    )
+    writer = _gathered(counted, grain).write.mode(mode).options(**options)
+    writer.partitionBy(GRAINS[grain][0]).parquet(path)
     return seen.get["rows"]
 
 
-def append_fact_partitioned(fact: DataFrame, path: str) -> int:
-    counted, seen = _counted(fact)
-    _by_day(counted).write.mode("append").partitionBy(LAYOUT_DAY).parquet(path)
-    return seen.get["rows"]
+def write_fact_partitioned(fact: DataFrame, path: str, grain: str = "day", max_rows_per_file: int = 20_000_000) -> int:
+    """Full rebuild of a fact, partitioned by day and clustered by borough and payment type.
+
+    A coarser ``grain`` suits a history whose days are smaller than one good file.
+    """
+    return _write_gathered(fact, path, grain, "overwrite", maxRecordsPerFile=max_rows_per_file)
 
 
-def replace_days(fact: DataFrame, path: str) -> None:
-    """Replaces exactly the days present in ``fact``; other days are neither read nor rewritten."""
-    (
-        _by_day(fact)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(LAYOUT_DAY)
-        .parquet(path)
-    )
+def append_fact_partitioned(fact: DataFrame, path: str, grain: str = "day") -> int:
+    return _write_gathered(fact, path, grain, "append")
+
+
+def replace_periods(fact: DataFrame, path: str, grain: str = "day") -> None:
+    """Replaces exactly the periods present in ``fact``; others are neither read nor rewritten."""
+    _write_gathered(fact, path, grain, "overwrite", partitionOverwriteMode="dynamic")
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """A partitioned fact with its layout column, which filters on days can prune by."""
-    return spark.read.parquet(path)
+def read_fact(spark: SparkSession, path: str, layout: bool = False) -> DataFrame:
+    """A partitioned fact; ``layout`` keeps the layout column, for filters that prune whole partitions."""
+    fact = spark.read.parquet(path)
+    return fact if layout else fact.drop(*LAYOUT_COLUMNS)
 
 
 def export_parquet(df: DataFrame, folder: str, name: str, day: dt.date) -> str:
