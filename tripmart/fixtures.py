@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.sources.readers import spread
+
 AS_OF = "2026-01-01 00:00:00"
 
 _PICKUP = (
@@ -50,7 +52,8 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return trips_from_lineitem(spread(lineitem, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
 
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:

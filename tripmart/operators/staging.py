@@ -9,6 +9,7 @@ from tripmart.functions.timestamps import (
     AsOf,
     clock,
     elapsed_minutes,
+    in_range,
     minute_boundaries,
     safe_timestamp,
     within_years,
@@ -76,7 +77,7 @@ def silver_trips(raw: DataFrame, zones: DataFrame, as_of: AsOf = None, profile:
             }
         )
         .withColumn("trip_duration_mins", elapsed_minutes(F.col("pickup_ts"), F.col("dropoff_ts")))
-        .filter(F.col("trip_duration_mins").between(*profile.duration_range))
+        .filter(in_range(F.col("trip_duration_mins"), *profile.duration_range))
         .withColumns(_fees(profile))
         .withColumnsRenamed({"pulocationid": "PULocationID", "dolocationid": "DOLocationID"})
     )

@@ -16,7 +16,7 @@ def _r(value: str, places: int = 2) -> str:
 
 
 def _sum(value: str) -> str:
-    return f"cast(sum(cast({value} as decimal(18,6))) as double)"
+    return f"cast(sum(cast({value} as decimal(18,8))) as double)"
 
 
 def _avg(value: str) -> str:
