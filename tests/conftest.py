@@ -4,8 +4,8 @@ from tripmart.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, app="tests")
+def spark(tmp_path_factory):
+    session = local_session(8, "tests", **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
