@@ -2,35 +2,32 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Largest amount that is added up in whole units; its cents still fit a bigint with room for a sum.
-_LARGEST = 9e10
+_LARGEST = "9e10D"
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum as a double, the same to the last digit for every row order, partitioning or retried task.
+def exact_sum(name: str) -> Column:
+    """Sum of a column as a double, the same to the last digit for every row order, partitioning or retried task.
 
     Doubles are split into whole cents and the rest in units of 1e-8. Both are added as bigint, which needs no decimal
     objects per row and leaves room for about 1e12 rows in one group. A value too large for that (or NaN, infinite) is
     added as a double instead of failing the job or being dropped; in clean data that third sum is empty.
     """
-    amount = value.cast("double")
-    usual = F.abs(amount) < _LARGEST
-    cents = F.rint(amount * 1e2)
-    units = F.rint(amount * 1e8) - cents * 1e6
-    whole = F.sum(F.when(usual, cents.cast("bigint"))).cast("decimal(19,0)")
-    fine = F.sum(F.when(usual, units.cast("bigint"))).cast("decimal(19,0)")
-    rest = F.sum(F.when(~usual, amount))
-    exact = (whole * F.lit(Decimal("0.01")) + fine * F.lit(Decimal("0.00000001"))).cast("double")
-    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
-
-
-def exact_avg(value: Column) -> Column:
-    return exact_sum(value) / F.nullif(F.count(value), F.lit(0))
+    amount = f"cast({name} as double)"
+    usual = f"abs({amount}) < {_LARGEST}"
+    cents = f"rint({amount} * 1e2D)"
+    whole = f"cast(sum(case when {usual} then cast({cents} as bigint) end) as decimal(19,0))"
+    fine = f"cast(sum(case when {usual} then cast(rint({amount} * 1e8D) - {cents} * 1e6D as bigint) end) as decimal(19,0))"
+    rest = f"sum(case when not ({usual}) then {amount} end)"
+    exact = f"cast({whole} * 0.01BD + {fine} * 0.00000001BD as double)"
+    return F.expr(f"case when {rest} is null then {exact} else coalesce({exact}, 0D) + {rest} end")
+
+
+def exact_avg(name: str) -> Column:
+    return exact_sum(name) / F.expr(f"nullif(count({name}), 0)")
 
 
 def round_half_up(value: Column, places: int = 2) -> Column:

@@ -6,18 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The characters stripped as white space, and the line breaks recognised in replies.
+# The characters stripped as white space, as a regex class too, and the line breaks in replies.
 SPACE = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACES = "".join(
+    map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
+              0x202F, 0x205F, 0x3000))
+)
 LINE_BREAK = r"\r\n|[\x0a-\x0d\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 
 def strip(text: Column) -> Column:
-    """Removes all leading and trailing white space (``trim`` removes blanks only)."""
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    """Removes all leading and trailing white space (plain ``trim`` removes blanks only)."""
+    return F.trim(text, F.lit(SPACES))
 
 
 def strip_quotes(text: Column) -> Column:
-    return F.regexp_replace(text, '^"+|"+$', "")
+    return F.trim(text, F.lit('"'))
 
 
 def printed_double(value: Column) -> Column:

@@ -63,11 +63,11 @@ def daily_revenue(fact: DataFrame, profile: Profile) -> DataFrame:
     """
     measures = [
         F.count(F.lit(1)).alias("total_trips"),
-        round_half_up(exact_sum(F.col("total_amount"))).alias("total_revenue"),
-        round_half_up(exact_avg(F.col("fare_amount"))).alias("avg_fare"),
-        round_half_up(exact_avg(F.col("tip_amount"))).alias("avg_tip"),
-        round_half_up(exact_avg(F.col("trip_distance"))).alias("avg_distance_miles"),
-        round_half_up(exact_avg(F.col("trip_duration_mins"))).alias("avg_duration_mins"),
+        round_half_up(exact_sum("total_amount")).alias("total_revenue"),
+        round_half_up(exact_avg("fare_amount")).alias("avg_fare"),
+        round_half_up(exact_avg("tip_amount")).alias("avg_tip"),
+        round_half_up(exact_avg("trip_distance")).alias("avg_distance_miles"),
+        round_half_up(exact_avg("trip_duration_mins")).alias("avg_duration_mins"),
     ]
     if profile.count_payment_types:
         measures += [
@@ -81,5 +81,5 @@ def hourly_demand(fact: DataFrame) -> DataFrame:
     """Trips and average fare per hour of day, day of week and borough."""
     return fact.groupBy("pickup_hour_of_day", "pickup_dow", "pickup_borough").agg(
         F.count(F.lit(1)).alias("total_trips"),
-        round_half_up(exact_avg(F.col("fare_amount"))).alias("avg_fare"),
+        round_half_up(exact_avg("fare_amount")).alias("avg_fare"),
     )

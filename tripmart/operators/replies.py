@@ -12,7 +12,8 @@ SCORE_KEYS = ("score", "anomaly_score")
 FLAG_KEYS = ("is_anomaly", "anomaly")
 TEXT_KEYS = ("explanation", "reason")
 SCORE_PATTERN = rf"(?iU)score[{SPACE}]*[:=][{SPACE}]*([0-9]*\.?[0-9]+)"
-FLAG_PATTERN = r"(?iU)\b(true|yes|anomal)\b"
+FLAG_WORDS = ("true", "yes", "anomal")
+FLAG_PATTERN = rf"(?iU)\b({'|'.join(FLAG_WORDS)})\b"
 EXPLANATION_LENGTH = 250
 
 # Texts that read as a number.
@@ -32,8 +33,9 @@ def _json_object(text: Column) -> Column:
     wrapped = F.from_json(
         F.concat(F.lit('{"reply":'), text, F.lit(f',"{_END}":1}}')), "map<string,string>", _OPTIONS
     )
-    whole = (F.map_keys(wrapped) == F.array(F.lit("reply"), F.lit(_END))) & text.rlike(r"^[ \t\r\n]*\{")
-    return F.when(whole, F.from_json(text, _FIELDS, _OPTIONS))
+    opened = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
+    whole = F.map_keys(wrapped) == F.array(F.lit("reply"), F.lit(_END))
+    return F.when(opened & whole, F.from_json(text, _FIELDS, _OPTIONS))
 
 
 def _as(value: Column, kind: str) -> Column:
@@ -90,11 +92,18 @@ def parse_replies(df: DataFrame, col: str = "reply") -> DataFrame:
     scored = read.withColumn("_score", F.when(F.col("_json").isNotNull(), json_score))
     is_json = F.col("_score").isNotNull()
     piece = F.col("_piece")
-    found = F.regexp_extract(piece, SCORE_PATTERN, 1).try_cast("double")
+    # Most long texts hold none of the words; a plain search in capitals spares them the regexes.
+    capitals = F.upper(piece)
+    found = F.when(F.contains(capitals, F.lit("SCORE")), F.regexp_extract(piece, SCORE_PATTERN, 1).try_cast("double"))
+    worded = F.lit(False)
+    for word in FLAG_WORDS:
+        worded = worded | F.contains(capitals, F.lit(word.upper()))
     return scored.withColumns(
         {
             "score": F.coalesce("_score", found, F.lit(0.0)),
-            "is_anomaly": F.when(is_json, _truthy(flag) | _truthy(other_flag)).otherwise(piece.rlike(FLAG_PATTERN)),
+            "is_anomaly": F.when(is_json, _truthy(flag) | _truthy(other_flag)).otherwise(
+                worded & piece.rlike(FLAG_PATTERN)
+            ),
             "explanation": F.when(is_json, json_text).otherwise(
                 F.substring(F.substring_index(piece, "\n", 1), 1, EXPLANATION_LENGTH)
             ),

@@ -321,7 +321,14 @@ REPLY_SHAPES = (
 @query
 def parse_reply_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies in every shape, one per line item, plus all documents and conversation turns as free text."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lineitem, documents, turns = (
+        readers.spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"), *keys)
+        for table, keys in (
+            ("lineitem", ("l_orderkey", "l_partkey", "l_suppkey")),
+            ("documents", ("doc_id",)),
+            ("conversations", ("conv_id", "turn")),
+        )
+    )
     shapes = F.array(*[F.lit(shape) for shape in REPLY_SHAPES])
     shaped = lineitem.select(
         F.col("l_orderkey").alias("id"),
@@ -331,13 +338,11 @@ def parse_reply_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_linenumber").cast("string"),
         ).alias("reply"),
     )
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
-        F.col("doc_id").alias("id"), F.col("text").alias("reply")
-    )
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+    texts = documents.select(F.col("doc_id").alias("id"), F.col("text").alias("reply"))
+    spoken = turns.select(
         F.col("conv_id").alias("id"), F.concat(F.lit("turn\nscore="), "turn", F.lit(" "), "text").alias("reply")
     )
-    return parse_replies(shaped.unionByName(documents).unionByName(turns)).drop("reply")
+    return parse_replies(shaped.unionByName(texts).unionByName(spoken)).drop("reply")
 
 
 @query
