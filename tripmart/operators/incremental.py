@@ -108,13 +108,20 @@ def append_new(
 
 
 def merge_periods(path: str, batch: DataFrame, keys: Sequence[str] = FACT_KEY, grain: str = "day") -> None:
-    """Upserts a batch into a partitioned fact, rewriting only the periods the batch touches.
+    """Upserts a batch into a partitioned fact, reading and rewriting only the periods the batch touches.
 
-    Matching rows share a pickup time and hence a period. The merged periods are stored in the shared folder first: a
-    folder must not be overwritten while it is read, and after a failure the second step can simply be repeated.
+    Matching rows share a pickup time and hence a period. The batch is stored first, so it is computed once and joined
+    by its real size; its first and last period are subqueries that prune the partitions of the target before the exact
+    semi join. The merged periods are stored as well: a folder must not be overwritten while it is read, and after a
+    failure the last step can simply be repeated.
     """
+    batch = stored(batch, "merge-batch")
+    periods = batch.select(period(grain).alias("_period"))
+    layout = F.col(GRAINS[grain][0])
+    first, last = periods.agg(F.min("_period")).scalar(), periods.agg(F.max("_period")).scalar()
+    has_null = periods.agg(F.count_if(F.col("_period").isNull()) > 0).scalar()
     target = read_fact(batch.sparkSession, path, layout=True)
-    touched_periods = batch.select(period(grain).alias("_period")).distinct()
-    touched = target.join(touched_periods, F.col(GRAINS[grain][0]).eqNullSafe(F.col("_period")), "left_semi")
+    in_reach = target.filter(((layout >= first) & (layout <= last)) | (layout.isNull() & has_null))
+    touched = in_reach.join(periods.distinct(), layout.eqNullSafe(F.col("_period")), "left_semi")
     merged = upsert(touched.drop(*LAYOUT_COLUMNS), batch, keys)
     replace_periods(stored(merged, "merged-periods"), path, grain)

@@ -18,6 +18,8 @@ def local_session(cores: str | int = "*", app: str = "tripmart", **conf: str) ->
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # The JVM does not compile methods above 8000 bytes; larger generated ones are better split by Spark.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Without this every column expression records its Python call site, most of the time a plan takes to build.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
