@@ -28,7 +28,7 @@ def _fees(profile: Profile) -> dict[str, Column]:
 
 def stage_trips(trips: DataFrame, profile: Profile, as_of: AsOf = None) -> DataFrame:
     """Staged trips: from raw trips for the warehouse rules, from silver trips for the lakehouse rules."""
-    if profile is LAKEHOUSE or profile.name == "lakehouse":
+    if profile.name == LAKEHOUSE.name:
         return _stage_silver(trips, profile, as_of)
     return _stage_raw(trips, profile, as_of)
 
