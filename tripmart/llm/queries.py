@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixing, quality_rules
-from tripmart.llm.common import documents
+from tripmart.llm import language, mixing, pii, quality_rules, toxicity
+from tripmart.llm.common import crc32_bucket, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -23,6 +23,18 @@ def llm_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    lexicon = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, lexicon, "score").select(
+        "doc_id",
+        (crc32_bucket(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir)).drop("rejected_by")
@@ -34,3 +46,28 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col(names["copies"])).alias("taken")
     )
+
+
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.fit(docs)
+    return language.identify(docs.select("doc_id", "text"), model, "found").select(
+        "doc_id",
+        (crc32_bucket(F.col("doc_id"), 4) == 2).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+    )
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(documents(spark, sf_dir).select("doc_id", "text"), "found")
+    kinds = F.transform("found", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("bigint").alias(f"n_{kind}") for kind in pii.BASE
+    ]
+    base = pii.joined(F.filter("found", lambda s: s["base"]))
+    return found.select(
+        "doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), pii.joined(F.col("found")).alias("spans")
+    )
