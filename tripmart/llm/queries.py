@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import language, mixing, pii, quality_rules, toxicity
+from tripmart.llm import bpe, language, mixing, pii, quality_rules, tokenfile, toxicity
 from tripmart.llm.common import crc32_bucket, documents
+from tripmart.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -23,6 +25,29 @@ def llm_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def tokenizer_path() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-files")
+    tokenfile.write(documents(spark, sf_dir), path, tokenizer_path())
+    return tokenfile.index(spark, path)
+
+
+@query
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    encoded = bpe.encode(docs, tokenizer_path(), bpe.fit(docs, tokenizer_path()))
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
