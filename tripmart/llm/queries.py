@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, language, mixing, pii, quality_rules, tokenfile, toxicity
+from tripmart.llm import ann, bpe, language, mixing, pii, quality_rules, tokenfile, toxicity
 from tripmart.llm.common import crc32_bucket, documents
 from tripmart.session import shared_dir
 
@@ -36,6 +36,11 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.index(spark, path)
 
 
+@query
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
