@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import ann, bpe, language, mixing, pii, quality_rules, tokenfile, toxicity
+from tripmart.llm import ann, bpe, jaccard, language, mixing, pii, quality_rules, tokenfile, toxicity
 from tripmart.llm.common import crc32_bucket, documents
 from tripmart.session import shared_dir
 
@@ -101,3 +101,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), pii.joined(F.col("found")).alias("spans")
     )
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(documents(spark, sf_dir))
