@@ -432,8 +432,10 @@ def fit(docs: DataFrame, vocab_path: str, text_col: str = "text") -> str:
     return publish(docs.sparkSession, Lexicon.compile(words, vocab))
 
 
-def encode(docs: DataFrame, vocab_path: str, lexicon: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and the text they decode to."""
+def encode(
+    docs: DataFrame, vocab_path: str, lexicon: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = True
+) -> DataFrame:
+    """Per row: doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and, if asked for, what they decode to."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab, words = vocabulary(vocab_path), mapped_lexicon(lexicon)
@@ -442,15 +444,16 @@ def encode(docs: DataFrame, vocab_path: str, lexicon: str, id_col: str = "doc_id
             for block in batches(list(frame["text"])):
                 flat, places = encode_cut(cut(block, vocab.special_text), vocab, words)
                 spans = list(zip(places[:-1].tolist(), places[1:].tolist(), strict=True))
-                yield pd.DataFrame(
-                    {
-                        "doc_id": frame["doc_id"].iloc[done : done + len(block)].to_numpy(),
-                        "n_tokens": np.diff(places),
-                        "ids": [flat[a:b].astype("<u4").tobytes() for a, b in spans],
-                        "decoded": [decode(flat[a:b], vocab) for a, b in spans],
-                    }
-                )
+                columns = {
+                    "doc_id": pd.array(frame["doc_id"].iloc[done : done + len(block)], dtype="Int64"),
+                    "n_tokens": np.diff(places),
+                    "ids": [flat[a:b].astype("<u4").tobytes() for a, b in spans],
+                }
+                if decoded:
+                    columns["decoded"] = [decode(flat[a:b], vocab) for a, b in spans]
+                yield pd.DataFrame(columns)
                 done += len(block)
 
-    rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n_tokens long, ids binary, decoded string")
+    rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
+    schema = "doc_id long, n_tokens long, ids binary"
+    return rows.mapInPandas(run, f"{schema}, decoded string" if decoded else schema)

@@ -60,6 +60,12 @@ class Rolling:
         np.cumsum(_byte_values()[data] * _powers(size)[: len(data)], out=self._sums[1:])
         self._inverse = _inverse_powers(size)
 
+    def windows(self, size: int) -> np.ndarray:
+        """Hashes of all slices of ``size`` bytes."""
+        count = max(0, len(self._sums) - size)
+        difference = (self._sums[size:] - self._sums[:count]) * self._inverse[:count]
+        return mixed(difference + np.uint64(size * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
+
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         difference = (self._sums[ends] - self._sums[starts]) * self._inverse[starts]
         return mixed(difference + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))

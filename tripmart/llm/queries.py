@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import ann, bpe, jaccard, language, mixing, pii, quality_rules, tokenfile, toxicity
+from tripmart.llm import ann, bpe, jaccard, language, mixing, pii, quality_rules, suffixes, tokenfile, toxicity
 from tripmart.llm.common import crc32_bucket, documents
 from tripmart.session import shared_dir
 
@@ -53,6 +53,18 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.removed(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
