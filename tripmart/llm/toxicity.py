@@ -30,7 +30,7 @@ TRAIN_ROWS = 20_000
 #: Candidate terms that are counted in clean rows, and phrases that are looked at for exceptions, at most.
 CANDIDATES = 20_000
 PREFIXES = range(4, 9)
-MIN_SHARE, MIN_ROWS = 0.002, 4
+MIN_SHARE, MIN_ROWS = 0.01, 5
 MIN_LOG_ODDS = 3.0
 THRESHOLD = 0.3
 END = "$"
