@@ -144,7 +144,7 @@ def test_quality_order_does_not_change_the_verdict(edge_docs):
     counted = quality_rules.with_counts(edge_docs).select("doc_id", "text", "counts_.*")
     text = F.coalesce("text", F.lit(""))
     verdicts = [
-        sorted(map(str, counted.select("doc_id", quality_rules.cascade(order, text).isNull()).collect()))
+        sorted(map(str, counted.select("doc_id", quality_rules.cascade(order, text).isNull().alias("kept")).collect()))
         for order in (quality_rules.RULES, quality_rules.RULES[::-1])
     ]
     assert verdicts[0] == verdicts[1]

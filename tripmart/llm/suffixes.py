@@ -14,7 +14,7 @@ suffixes never leave their task:
 
 Each pass is one shuffle of packed records, in which a task first reduces equal groups to their earliest member.
 
-Digits are compared by hashes (128 bits for every decision). Defined cases: null counts as empty; a text shorter than
+Digits are compared by hashes, of 96 bits and more where equality decides. Defined cases: null counts as empty; a text shorter than
 ``DEPTH`` bytes keeps all; rows with one id are ordered by their text, and fully equal rows are one document with equal
 results; a null id comes first; an empty table gives an empty result; other columns are never looked at.
 """
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.bpe import batches
 from tripmart.llm.common import col
+from tripmart.llm.packing import packed, packed_ascending, unpacked, unpacked_ascending
 from tripmart.llm.pieces import Rolling, mixed
 from tripmart.sources.tables import stored
 
@@ -42,6 +43,7 @@ _NO_ID = -(1 << 63)
 _RUN = np.dtype(
     [("gram", "<u8"), ("run", "<u8"), ("left", "<u4"), ("right", "<u4"), ("doc", "<u4"), ("low", "<u4"), ("many", "u1")]
 )
+_DOC = np.dtype([("id", "<i8"), ("mark", "<u8")])
 _WINDOW = np.dtype([("one", "<u8"), ("two", "<u8"), ("doc", "<u4"), ("low", "<u4")])
 _SPAN = np.dtype([("id", "<i8"), ("mark", "<u8"), ("low", "<u4"), ("high", "<u4")])
 _SCHEMA = "kind string, place int, records binary, docs binary"
@@ -56,7 +58,7 @@ class _Texts:
         ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
         self.starts, self.ends = np.concatenate([np.zeros(1, np.int64), ends[:-1]])[: len(raw)], ends
         marks = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little") for r in raw]
-        self.docs = np.zeros(len(raw), dtype=[("id", "<i8"), ("mark", "<u8")])
+        self.docs = np.zeros(len(raw), dtype=_DOC)
         self.docs["id"] = [_NO_ID if i is None or i != i else int(i) for i in ids]
         self.docs["mark"] = marks
         self.rolling = Rolling(self.data)
@@ -138,21 +140,49 @@ def _spans(docs: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray)
 
 def _dealt(kind: str, spans: np.ndarray, buckets: int) -> list[tuple]:
     """Rows with the spans, dealt to buckets by document."""
-    bucket = (mixed(spans["id"].astype(np.uint64)) >> np.uint64(33)).astype(np.int64) % buckets
+    bucket = spans["id"] % buckets
     order = np.argsort(bucket, kind="stable")
     spans, bucket = spans[order], bucket[order]
     cuts = np.searchsorted(bucket, np.arange(buckets + 1))
     return [
-        (kind, b, spans[i:j].tobytes(), b"")
+        (kind, b, _columns(spans[i:j]), b"")
         for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
         if j > i
     ]
 
 
-def _binned(kind: str, key: np.ndarray, records: np.ndarray, docs: np.ndarray, bins: int) -> list[tuple]:
-    """Rows with the records of each bin, and the documents they name."""
-    number = ((key >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(number, kind="stable")
+def _columns(records: np.ndarray, ascending: str = "") -> bytes:
+    """Structured records as packed columns, each after its length; one of them may ascend."""
+    parts = []
+    for name in records.dtype.names:
+        data = (packed_ascending if name == ascending else packed)(np.ascontiguousarray(records[name]))
+        parts += [np.array([len(data)], dtype="<u8").tobytes(), data]
+    return b"".join(parts)
+
+
+def _records(data: bytes, kind: np.dtype, ascending: str = "") -> np.ndarray:
+    columns, place = {}, 0
+    for name in kind.names:
+        size = int(np.frombuffer(data, dtype="<u8", count=1, offset=place)[0])
+        some = data[place + 8 : place + 8 + size]
+        columns[name] = unpacked_ascending(some) if name == ascending else unpacked(some)
+        place += 8 + size
+    out = np.zeros(len(columns[kind.names[0]]), dtype=kind)
+    for name, values in columns.items():
+        out[name] = values
+    return out
+
+
+def _binned(kind: str, name: str, records: np.ndarray, docs: np.ndarray, bins: int) -> list[tuple]:
+    """Rows with the records of each bin by their key ``name``, and the documents they name.
+
+    The upper half of the key gives the bin. Of the first digit only the lower half goes along, which is enough to tell
+    digits apart within a bin; where equality decides, the second digit adds 64 bits.
+    """
+    number = ((records[name] >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    if name == "gram":
+        records[name] &= np.uint64(0xFFFFFFFF)
+    order = np.lexsort((records[name], number))
     records, number = records[order], number[order]
     cuts = np.searchsorted(number, np.arange(bins + 1))
     rows = []
@@ -160,14 +190,14 @@ def _binned(kind: str, key: np.ndarray, records: np.ndarray, docs: np.ndarray, b
         if j > i:
             some = records[i:j].copy()
             named, some["doc"] = np.unique(some["doc"], return_inverse=True)
-            rows.append((kind, b, some.tobytes(), docs[named].tobytes()))
+            rows.append((kind, b, _columns(some, name), _columns(docs[named])))
     return rows
 
 
 def _joined(rows: pd.DataFrame, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """All records of a bin, and the documents, numbered through."""
-    docs = [np.frombuffer(d, dtype=[("id", "<i8"), ("mark", "<u8")]) for d in rows["docs"]]
-    records = [np.frombuffer(r, dtype=kind).copy() for r in rows["records"]]
+    docs = [_records(d, _DOC) for d in rows["docs"]]
+    records = [_records(r, kind, kind.names[0]) for r in rows["records"]]
     before = 0
     for some, named in zip(records, docs, strict=True):
         some["doc"] += before
@@ -218,7 +248,7 @@ def _first_passes(docs: DataFrame, bins: int) -> DataFrame:
             first, later = _split_first(records, known, ("gram", "run"))
             low = later["low"].astype(np.int64)
             spans = _spans(known, later["doc"], low, low + later["many"] + DEPTH)
-            rows = _binned("run", first["gram"], first, known, bins)
+            rows = _binned("run", "gram", first, known, bins)
             return _frame(rows + [(k, -1 - b, r, d) for k, b, r, d in _dealt("span", spans, bins)])
 
         for texts in _read(frames):
@@ -249,7 +279,7 @@ def _first_passes(docs: DataFrame, bins: int) -> DataFrame:
 
 
 def _by_document(rows: pd.DataFrame) -> dict[tuple[int, int], np.ndarray]:
-    spans = np.concatenate([np.frombuffer(r, dtype=_SPAN) for r in rows["records"]]) if len(rows) else np.zeros(0, _SPAN)
+    spans = np.concatenate([_records(r, _SPAN) for r in rows["records"]]) if len(rows) else np.zeros(0, _SPAN)
     spans = spans[np.lexsort((spans["low"], spans["mark"], spans["id"]))]
     if not len(spans):
         return {}
@@ -289,7 +319,7 @@ def _last_pass(docs: DataFrame, open_: DataFrame, bins: int) -> DataFrame:
         first, later = _split_first(np.concatenate(held), known, ("one", "two"))
         low = later["low"].astype(np.int64)
         spans = _spans(known, later["doc"], low, low + DEPTH)
-        rows = _binned("window", first["one"], first, known, bins)
+        rows = _binned("window", "one", first, known, bins)
         return _frame(rows + [(k, -1 - b, r, d) for k, b, r, d in _dealt("span", spans, bins)])
 
     def sort(rows: pd.DataFrame) -> pd.DataFrame:
@@ -304,19 +334,21 @@ def _last_pass(docs: DataFrame, open_: DataFrame, bins: int) -> DataFrame:
     return windows.groupBy("place").applyInPandas(sort, _SCHEMA)
 
 
+def _prime(least: int) -> int:
+    while any(least % k == 0 for k in range(2, int(least**0.5) + 1)):
+        least += 1
+    return least
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The documents (doc_id, text, place) and the packed spans of them that are repeats, both dealt by document."""
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bins = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size // BIN_BYTES) + 1)
-
-    @F.pandas_udf("int")
-    def bucket(ids: pd.Series) -> pd.Series:
-        numbers = ids.astype("Int64").fillna(_NO_ID).to_numpy(dtype=np.int64).astype(np.uint64)
-        return pd.Series(((mixed(numbers) >> np.uint64(33)).astype(np.int64) % bins).astype(np.int32))
-
+    # A prime, so that ids in steps fill all buckets.
+    bins = _prime(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size // BIN_BYTES) + 1))
     first = stored(_first_passes(rows, bins), "suffix-runs")
-    dealt = rows.withColumn("place", bucket("doc_id"))
+    number = F.pmod(F.coalesce("doc_id", F.lit(_NO_ID).cast("long")), F.lit(bins).cast("long")).cast("int")
+    dealt = rows.withColumn("place", number)
     last = _last_pass(dealt, first.filter("kind = 'open'"), bins)
     return dealt, first.filter("kind = 'span'").union(last)
 
