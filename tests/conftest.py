@@ -5,7 +5,11 @@ from tripmart.session import local_session
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, "tests", **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
+    folders = {
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    session = local_session(8, "tests", **folders)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -40,8 +40,8 @@ CASES = [
     ("éyes", (0.0, False, "éyes")),
     ("", (0.0, False, "")),
     (None, (0.0, False, "")),
-    ("  \t first\nsecond true \n", (0.0, True, "first")),
-    (LONG + "\nmore", (0.0, False, LONG[:250])),
+    ("  \t first\nsecond true \n", (0.0, True, "first\nsecond true")),
+    (LONG + "\nmore", (0.0, False, LONG + "\nmore")),
 ]
 
 
@@ -59,3 +59,8 @@ def test_reply(parsed, index):
 def test_no_python_in_the_plan(spark):
     plan = parse_replies(spark.createDataFrame([("x",)], "reply string"))._jdf.queryExecution().executedPlan()
     assert "Python" not in plan.toString()
+
+
+def test_short_explanations_on_request(spark):
+    texts = spark.createDataFrame([(LONG + "\nmore",), ("first\nsecond",)], "reply string")
+    assert [r.explanation for r in parse_replies(texts, text_length=250).collect()] == [LONG[:250], "first"]

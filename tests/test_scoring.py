@@ -31,10 +31,19 @@ def test_newest_load_first_then_the_tie_breakers(rows):
         s.row_k(fact, 0)
 
 
-def test_at_most_a_thousand_candidates(rows):
-    fact = rows(FACT, *[fact_row(1, i % 60) for i in range(1100)])
-    assert s.candidates(fact, 5000).count() == 1000
-    assert "TakeOrderedAndProject" in s.candidates(fact)._jdf.queryExecution().executedPlan().toString()
+def test_all_rows_are_candidates_in_one_order(rows):
+    fact = rows(FACT, *[fact_row(1 + i % 3, i % 60, f"b{i}") for i in range(2100)]).repartition(6)
+    found = s.candidates(fact).orderBy("row_id").collect()
+    assert [r.row_id for r in found] == list(range(1, 2101))
+    loads = {r.pickup_borough: r["_dbt_loaded_at"] for r in fact.collect()}
+    assert [loads[r.pickup_borough] for r in found] == sorted(loads.values(), reverse=True)
+    assert s.candidates(fact, 1500).count() == 1500
+
+
+def test_unscored_rows(rows):
+    fact = rows(FACT, fact_row(1, 0), fact_row(1, 1), fact_row(2, 2, None))
+    log = fact.filter("fare_amount != 11").select("pickup_ts", "pickup_borough")
+    assert [r.fare_amount for r in s.unscored(fact, log).collect()] == [11.0]
 
 
 def test_prompt_texts(rows):
@@ -139,6 +148,23 @@ def test_a_failing_batch_gets_the_fixed_reply_and_others_go_on(rows):
     assert flags[3].ai_explanation == "p3" and flags[3].anomaly_score == 0.0
 
 
+def test_rows_of_a_task_are_sent_together(rows, tmp_path):
+    seen = str(tmp_path / "requests")
+
+    def count(request):
+        with open(seen, "a") as file:
+            file.write("x")
+        if "fare_amount: 3.0" in request:
+            raise RuntimeError("down")
+        return "\n---\n".join(["0.5"] * len(request.split("\n\n---\n\n")))
+
+    schema = "fare_amount double, trip_distance double, trip_duration_mins double, passenger_count long, pickup_borough string"
+    df = rows(schema, *[(float(i // 10), 1.0, 5.0, 1, "A") for i in range(120)]).coalesce(1).sortWithinPartitions("fare_amount")
+    scored = s.score_rows(df, count, batch_size=10).collect()
+    assert len(scored) == 120 and len(open(seen).read()) == 12
+    assert {r.fare_amount for r in scored if r.failed} == {3.0}
+
+
 def test_single_rows(rows):
     df = rows("fare_amount double, trip_distance double, trip_duration_mins double, passenger_count long,"
               "pickup_borough string", (99.0, 1.0, 5.0, 1, "A"), (None, None, None, None, None))

@@ -153,10 +153,3 @@ def test_shared_folder_comes_from_the_session(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(session_with(**{"spark.master": "yarn"}), "x")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
-
-
-def test_small_scans_are_spread_and_large_ones_left_alone(spark):
-    small = spark.range(10).coalesce(1).toDF("k")
-    assert readers.spread(small, "k").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    large = spark.range(0, 10, 1, 50).toDF("k")
-    assert readers.spread(large, "k") is large

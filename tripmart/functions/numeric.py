@@ -5,24 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Largest amount that is added up in whole units; its cents still fit a bigint with room for a sum.
-_LARGEST = "9e10D"
+# Amounts below this are added as decimals; a sum of 1e11 of them still fits.
+_DECIMAL_LIMIT = "1e19D"
 
 
 def exact_sum(name: str) -> Column:
     """Sum of a column as a double, the same to the last digit for every row order, partitioning or retried task.
 
-    Doubles are split into whole cents and the rest in units of 1e-8. Both are added as bigint, which needs no decimal
-    objects per row and leaves room for about 1e12 rows in one group. A value too large for that (or NaN, infinite) is
-    added as a double instead of failing the job or being dropped; in clean data that third sum is empty.
+    Values are added as decimals with eight places, which widen to 38 digits. NaN, infinite and absurdly large values
+    (from 1e19) have no such decimal; they are added as doubles on top, so that they show in the sum.
     """
     amount = f"cast({name} as double)"
-    usual = f"abs({amount}) < {_LARGEST}"
-    cents = f"rint({amount} * 1e2D)"
-    whole = f"cast(sum(case when {usual} then cast({cents} as bigint) end) as decimal(19,0))"
-    fine = f"cast(sum(case when {usual} then cast(rint({amount} * 1e8D) - {cents} * 1e6D as bigint) end) as decimal(19,0))"
+    usual = f"abs({amount}) < {_DECIMAL_LIMIT}"
+    exact = f"cast(sum(case when {usual} then cast({amount} as decimal(28,8)) end) as double)"
     rest = f"sum(case when not ({usual}) then {amount} end)"
-    exact = f"cast({whole} * 0.01BD + {fine} * 0.00000001BD as double)"
     return F.expr(f"case when {rest} is null then {exact} else coalesce({exact}, 0D) + {rest} end")
 
 

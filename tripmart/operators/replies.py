@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.text import SPACE, strip, strip_quotes
 
-# The reply keys with their aliases, the heuristic patterns, and the explanation length.
+# The reply keys with their aliases, and the heuristic patterns.
 SCORE_KEYS = ("score", "anomaly_score")
 FLAG_KEYS = ("is_anomaly", "anomaly")
 TEXT_KEYS = ("explanation", "reason")
 SCORE_PATTERN = rf"(?iU)score[{SPACE}]*[:=][{SPACE}]*([0-9]*\.?[0-9]+)"
 FLAG_WORDS = ("true", "yes", "anomal")
 FLAG_PATTERN = rf"(?iU)\b({'|'.join(FLAG_WORDS)})\b"
-EXPLANATION_LENGTH = 250
 
 # Texts that read as a number.
 _NUMBER = r"(?i)[+-]?(([0-9][0-9_]*(\.([0-9][0-9_]*)?)?|\.[0-9][0-9_]*)(e[+-]?[0-9][0-9_]*)?|inf(inity)?|nan)"
@@ -71,9 +70,12 @@ def _number(value: Column) -> Column:
     )
 
 
-def parse_replies(df: DataFrame, col: str = "reply") -> DataFrame:
+def parse_replies(df: DataFrame, col: str = "reply", text_length: int | None = None) -> DataFrame:
     """Adds ``score``, ``is_anomaly`` and ``explanation``.
 
+    The explanation of a reply that is no JSON object is its whole text; ``text_length`` instead takes that many
+    characters of its first line (the published pipeline stores 250).
+
     A JSON object (optionally in quotes) is read by its keys, the first truthy alias winning. Anything else, a list, a
     broken object or a score that is no number, is searched as text.
     """
@@ -105,7 +107,7 @@ def parse_replies(df: DataFrame, col: str = "reply") -> DataFrame:
                 worded & piece.rlike(FLAG_PATTERN)
             ),
             "explanation": F.when(is_json, json_text).otherwise(
-                F.substring(F.substring_index(piece, "\n", 1), 1, EXPLANATION_LENGTH)
+                piece if text_length is None else F.substring(F.substring_index(piece, "\n", 1), 1, text_length)
             ),
         }
     ).drop("_piece", "_json", "_score")

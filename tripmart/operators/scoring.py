@@ -8,19 +8,19 @@ from collections.abc import Callable
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.text import LINE_BREAK, printed, strip
 from tripmart.functions.timestamps import AsOf, clock
+from tripmart.operators.numbering import numbered
 from tripmart.operators.replies import parse_replies
 from tripmart.schemas import AI_FLAGS
 
 # A scorer takes the text of one request and returns the body of the response.
 Scorer = Callable[[str], str]
 
-# Limits, separators, response keys and texts of the scoring exchange.
-MAX_CANDIDATES = 1000
+# Batch size, separators, response keys and texts of the scoring exchange.
 BATCH_SIZE = 50
 REQUEST_SEPARATOR = "\n\n---\n\n"
 REPLY_SEPARATOR = "\n---\n"
@@ -49,27 +49,24 @@ def _newest_first() -> list[Column]:
     return [F.col("_dbt_loaded_at").desc_nulls_first(), *[F.col(name).asc_nulls_last() for name in ties]]
 
 
-def _top(fact: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows, numbered.
-
-    Every task keeps its own best ``n`` and one task merges them, so the fact is never sorted or moved as a whole; the
-    row number then runs over at most ``n`` rows.
-    """
-    newest = fact.orderBy(*_newest_first()).limit(n)
-    numbered = F.row_number().over(Window.orderBy(*_newest_first())).cast("bigint")
-    return newest.withColumn("row_id", numbered).select("row_id", *CANDIDATE_COLUMNS)
-
-
-def candidates(fact: DataFrame, n: int = MAX_CANDIDATES) -> DataFrame:
-    """Rows to score, at most 1000 in one run, numbered from 1."""
-    return _top(fact, min(n, MAX_CANDIDATES))
+def candidates(fact: DataFrame, n: int | None = None) -> DataFrame:
+    """Rows to score, numbered from 1, newest load first: all of them, or the first ``n``."""
+    rows = numbered(fact, _newest_first()).select("row_id", *CANDIDATE_COLUMNS)
+    return rows if n is None else rows.filter(F.col("row_id") <= n)
 
 
 def row_k(fact: DataFrame, k: int) -> DataFrame:
     """The row that ``candidates`` numbers ``k``; no row if the fact is shorter."""
     if k < 1:
         raise ValueError("rows are numbered from 1")
-    return _top(fact, k).filter(F.col("row_id") == k)
+    return candidates(fact).filter(F.col("row_id") == k)
+
+
+def unscored(fact: DataFrame, log: DataFrame) -> DataFrame:
+    """Fact rows that the log of scored rows does not have; it knows a trip by pickup time and borough."""
+    known = log.select(F.col("pickup_ts").alias("_ts"), F.col("pickup_borough").alias("_borough"))
+    same = F.col("pickup_ts").eqNullSafe(F.col("_ts")) & F.col("pickup_borough").eqNullSafe(F.col("_borough"))
+    return fact.join(known, same, "left_anti")
 
 
 def prompts(df: DataFrame, single: bool = False) -> DataFrame:
@@ -95,22 +92,48 @@ def response_text(body: str) -> str:
 
 
 def _ask(scorer: Scorer):
-    """The scorer as an Arrow-batched function; null where it failed."""
-
-    def one(request: str) -> str | None:
-        try:
-            return response_text(scorer(request))
-        except Exception:  # noqa: BLE001 - whatever a scorer raises, its batch gets the failed reply
-            return None
+    """The scorer as an Arrow-batched function of requests; null where it failed."""
 
     def ask(requests: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for chunk in requests:
-            yield chunk.map(one)
+            yield chunk.map(lambda request: _answer(scorer, request))
 
     ask.__annotations__ = {"requests": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(ask, "string").asNondeterministic()
 
 
+def _answer(scorer: Scorer, request: str) -> str | None:
+    try:
+        return response_text(scorer(request))
+    except Exception:  # noqa: BLE001 - whatever a scorer raises, its batch is marked as failed and gets the fixed reply
+        return None
+
+
+def _replies_of(text: str | None, wanted: int) -> list[str | None]:
+    """One reply per row from an answer: between separators, or by lines when there are too few of them."""
+    if text is None:
+        return [None] * wanted
+    pieces = [piece.strip() for piece in text.split(REPLY_SEPARATOR)]
+    if len(pieces) < wanted:
+        pieces = [line.strip() for line in text.splitlines() if line.strip()]
+    return (pieces + [""] * wanted)[:wanted]
+
+
+def _ask_together(scorer: Scorer, batch_size: int):
+    """The scorer as an Arrow-batched function of single prompts, sent ``batch_size`` to a request."""
+
+    def ask(prompts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for chunk in prompts:
+            replies: list[str | None] = []
+            for start in range(0, len(chunk), batch_size):
+                some = chunk.iloc[start : start + batch_size]
+                replies += _replies_of(_answer(scorer, REQUEST_SEPARATOR.join(some)), len(some))
+            yield pd.Series(replies, dtype=object)
+
+    ask.__annotations__ = {"prompts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(ask, "string").asNondeterministic()
+
+
 def _pieces(text: Column, wanted: Column) -> Column:
     """One reply per row: split at separators, or at lines when there are too few of them."""
     parts = F.transform(F.split(text, REPLY_SEPARATOR), strip)
@@ -125,7 +148,7 @@ def score_batches(
 
     Rows are grouped by number, so a group never holds more than ``batch_size`` of them, and requests run on the
     executors. ``parallel`` spreads few batches over that many tasks; without it small data may end up in one. A task
-    that is run again asks again, so store the result before using it twice.
+    that is run again asks again, so store the result before using it twice. ``failed`` marks rows whose request raised.
     """
     carried = [name for name in rows.columns if name != "row_id"]
     batch = F.floor((F.col("row_id") - 1) / batch_size).alias("batch_id")
@@ -140,13 +163,19 @@ def score_batches(
     reply = F.when(F.col("text").isNull(), FAILED_REPLY).otherwise(
         F.coalesce(F.get("pieces", F.col("position")), F.lit(""))
     )
-    return spread.select("item.*", reply.alias("reply"))
+    return spread.select("item.*", reply.alias("reply"), F.col("text").isNull().alias("failed"))
 
 
-def score_rows(rows: DataFrame, scorer: Scorer) -> DataFrame:
-    """One request per row for rows that bring the five features: adds prompt, reply and its parsed fields."""
-    asked = prompts(rows, single=True).withColumn("reply", _ask(scorer)(F.col("prompt")))
-    return parse_replies(asked.withColumn("reply", F.coalesce("reply", F.lit(FAILED_REPLY))))
+def score_rows(rows: DataFrame, scorer: Scorer, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """Scores rows that bring the five features: adds prompt, reply, its parsed fields, and whether the request failed.
+
+    The rows of a task are sent ``batch_size`` to a request, so nothing is shuffled; 1 sends each on its own, in the
+    wording of single requests.
+    """
+    asked = prompts(rows, single=batch_size == 1)
+    asked = asked.withColumn("reply", _ask_together(scorer, batch_size)(F.col("prompt")))
+    failed = asked.withColumn("failed", F.col("reply").isNull())
+    return parse_replies(failed.withColumn("reply", F.coalesce("reply", F.lit(FAILED_REPLY))))
 
 
 def ai_flags(scored: DataFrame, as_of: AsOf = None) -> DataFrame:

@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from tripmart.functions.text import SPACE
-from tripmart.operators.scoring import BATCH_QUESTION, SINGLE_QUESTION
+# White space as text tools see it, and the two questions of the scoring exchange.
+SPACE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+BATCH_QUESTION = (
+    ".\nQuestion: Is this trip anomalous for the pickup borough? Return a JSON object with keys:"
+    " score (0-1), is_anomaly (true/false), explanation (one short sentence)."
+)
+SINGLE_QUESTION = (
+    "\nQuestion: Is this trip anomalous for the pickup borough?"
+    " Return JSON: {score:0-1, is_anomaly: true/false, explanation: '...'}"
+)
 
 AS_OF = "timestamp '2026-01-01 00:00:00'"
 SECOND_RUN = "timestamp '2026-01-02 00:00:00'"
@@ -258,8 +266,8 @@ _QUALITY_W = _checks(
     ("dim_zones", "not_null", "location_id", "error", _failing("dim", "location_id is null")),
     ("fct_trips", "not_null", "fare_amount", "error", _failing("fact_w", "fare_amount is null")),
     ("fct_trips", "not_null", "pickup_borough", "error", _failing("fact_w", "pickup_borough is null")),
-    ("agg_daily_revenue", "not_null", "total_revenue", "error", "select 0"),
-    ("anomaly_flags", "accepted_values", "is_anomaly", "error", "select 0"),
+    ("agg_daily_revenue", "not_null", "total_revenue", "error", _failing("daily", "total_revenue is null")),
+    ("anomaly_flags", "accepted_values", "is_anomaly", "error", _failing("flags", "is_anomaly not in (true, false)")),
 ) + f""" union all select 'fct_trips', 'assert_no_future_trips', '', n, 'error',
     case when n = 0 then 'pass' else 'error' end
     from (select count(*) as n from fact_w where pickup_ts > {FUTURE_AS_OF})"""
@@ -279,12 +287,11 @@ _QUALITY_L = _checks(
     ("fct_trips", "not_null", "pickup_ts", "error", _failing("fact_l", "pickup_ts is null")),
     ("fct_trips", "not_null", "fare_amount", "error", _failing("fact_l", "fare_amount is null")),
     ("fct_trips", "not_null", "pickup_borough", "error", _failing("fact_l", "pickup_borough is null")),
-    ("fct_trips_incremental", "not_null", "pickup_ts", "error", _failing("fact_l", "pickup_ts is null")),
-    ("agg_daily_revenue", "not_null", "trip_date", "error",
-     "select count(distinct coalesce(pickup_borough, '')) from fact_l where pickup_date is null"),
-    ("agg_daily_revenue", "not_null", "total_revenue", "error", "select 0"),
-    ("anomaly_flags", "not_null", "pickup_ts", "error", _failing("fact_l", "pickup_ts is null")),
-    ("anomaly_flags", "accepted_values", "is_anomaly", "error", "select 0"),
+    ("fct_trips_incremental", "not_null", "pickup_ts", "error", _failing("growing", "pickup_ts is null")),
+    ("agg_daily_revenue", "not_null", "trip_date", "error", _failing("daily", "trip_date is null")),
+    ("agg_daily_revenue", "not_null", "total_revenue", "error", _failing("daily", "total_revenue is null")),
+    ("anomaly_flags", "not_null", "pickup_ts", "error", _failing("flags", "pickup_ts is null")),
+    ("anomaly_flags", "accepted_values", "is_anomaly", "error", _failing("flags", "is_anomaly not in (true, false)")),
 )
 
 
@@ -305,9 +312,17 @@ def _prompt(question: str) -> str:
     || {_quoted(question)}"""
 
 
-_NUMBERED = """numbered as (select row_number() over (order by pickup_ts nulls last, pulocationid, dolocationid,
-    fare_amount, dropoff_ts nulls last, trip_duration_mins nulls last, trip_distance, passenger_count,
-    pickup_borough nulls last) as row_id, * from fact_w)"""
+_ORDER = """pickup_ts nulls last, pulocationid, dolocationid, fare_amount, dropoff_ts nulls last,
+    trip_duration_mins nulls last, trip_distance, passenger_count, pickup_borough nulls last"""
+_LOADED = f"""loaded as (select * replace (case when vendorid % 2 = 1 then {SECOND_RUN} else _dbt_loaded_at end
+    as _dbt_loaded_at) from fact_w)"""
+_NUMBERED = f"""{_LOADED}, numbered as (select row_number() over (order by _dbt_loaded_at desc, {_ORDER}) as row_id, *
+    from loaded)"""
+_LOGGED = f"""{_LOADED},
+    one as (select row_number() over (order by {_ORDER}) as row_id, * from loaded where _dbt_loaded_at = {AS_OF}),
+    two as (select row_number() over (order by _dbt_loaded_at desc, {_ORDER}) as row_id, * from loaded l
+      where not exists (select 1 from one where one.pickup_ts is not distinct from l.pickup_ts
+        and one.pickup_borough is not distinct from l.pickup_borough))"""
 
 _OVER = """cast(coalesce(fare_amount > 50, false) as int) + cast(coalesce(trip_distance > 25, false) as int)
     + cast(coalesce(trip_duration_mins > 85, false) as int)"""
@@ -323,7 +338,7 @@ _SHAPES = (
     ("n / 10", "true", "''"),
     ("0", "true", """'[{"score": 0.' || n || ', "is_anomaly": true}]'"""),
     ("0", "true", """'{"score": 0.' || n || ', "is_anomaly": yes, "explanation": "broken"'"""),
-    ("n / 10", "true", "'SCORE: .' || n || ' yes, unusual'"),
+    ("n / 10", "true", "'SCORE: .' || n || ' yes, unusual' || chr(10) || 'second line'"),
     ("n", "false", "'this looks anomalous, score = ' || n"),
     ("0", "false", "''"),
     ("0", "true", """'{"score": "high", "is_anomaly": true}'"""),
@@ -346,7 +361,7 @@ _PARSED = f"""select l_orderkey as id, cast({_shape(0)} as double) as score, {_s
     select id, coalesce(try_cast(nullif(regexp_extract(piece,
         '(?i)score[{SPACE}]*[:=][{SPACE}]*([0-9]*\\.?[0-9]+)', 1), '') as double), 0) as score,
       regexp_matches(piece, '(?i)(^|[^\\p{{L}}\\p{{N}}_])(true|yes|anomal)($|[^\\p{{L}}\\p{{N}}_])') as is_anomaly,
-      substr(split_part(piece, chr(10), 1), 1, 250) as explanation
+      piece as explanation
     from (select id, regexp_replace(reply, '^[{SPACE}]+|[{SPACE}]+$', '', 'g') as piece from (
       select doc_id as id, text as reply from documents
       union all
@@ -394,8 +409,12 @@ def all_oracles() -> dict[str, str]:
         + f"""select vendorid, {_KEY}, cast(null as double) as tip_pct, cast(null as varchar) as payment_type_desc
         from fact_w""",
         "zone_snapshot": _with("dim", more=_SNAPSHOT),
-        "quality_w": _with("fact_w") + _QUALITY_W,
-        "quality_l": _with("fact_l") + _QUALITY_L,
+        "quality_w": _with("fact_w", more=f"daily as ({_daily('fact_w', True)}), {_flags('fact_w')}") + _QUALITY_W,
+        "quality_l": _with(
+            "fact_l",
+            more=f"daily as ({_daily('fact_l', False)}), {_flags('fact_l')}, growing as ({_two_runs('fact_l')})",
+        )
+        + _QUALITY_L,
         "unique_values": f"""select 'unique_' || c as "check", c as "column", failures, 'error' as severity,
         case when failures = 0 then 'pass' else 'error' end as status from (
         select 'l_orderkey' as c, ({_repeated("lineitem", "l_orderkey")}) as failures
@@ -413,19 +432,23 @@ def all_oracles() -> dict[str, str]:
         "target_months": f"select {_MONTH} as month, count(*) as runs from orders group by 1",
         "month_presence": f"""select month, month in (select strftime(l_shipdate, '%Y-%m') from lineitem) as present
         from (select distinct {_MONTH} as month from orders)""",
-        "score_candidates": candidates
-        + f"select row_id, {_prompt(BATCH_QUESTION)} as prompt from numbered where row_id <= 1000",
+        "score_candidates": candidates + f"select row_id, {_prompt(BATCH_QUESTION)} as prompt from numbered",
         "score_row_k": candidates
-        + f"select row_id, {_prompt(SINGLE_QUESTION)} as prompt from numbered where row_id = 777",
+        + f"""select row_id, {_prompt(SINGLE_QUESTION)} as prompt, {_r("0.3e0 * n_over", 1)} as score,
+        n_over > 0 as is_anomaly, {_OVER_TEXT} as explanation, false as failed
+        from (select *, {_OVER} as n_over from numbered where row_id = 777)""",
         "score_features": _with("fact_l")
         + f"""select {features}, prompt, {_r("0.3e0 * n_over", 1)} as score, n_over > 0 as is_anomaly,
-        {_OVER_TEXT} as explanation
-        from (select {features}, {_OVER} as n_over, {_prompt(SINGLE_QUESTION)} as prompt from fact_l)""",
+        {_OVER_TEXT} as explanation, false as failed
+        from (select {features}, {_OVER} as n_over, {_prompt(BATCH_QUESTION)} as prompt from fact_l)""",
         "parse_reply_texts": _PARSED,
-        "ai_flags": candidates
-        + f"""select row_id as __ai_row_id, pickup_ts, pickup_borough, {_r("0.3e0 * n_over", 1)} as anomaly_score,
-        n_over > 0 as is_anomaly, {_OVER_TEXT} as ai_explanation, {AS_OF} as _dbt_loaded_at
-        from (select *, {_OVER} as n_over from numbered where row_id <= 1000)""",
+        "ai_flags": _with("fact_w", more=_LOGGED)
+        + " union all ".join(
+            f"""select row_id as __ai_row_id, pickup_ts, pickup_borough, {_r("0.3e0 * n_over", 1)} as anomaly_score,
+            n_over > 0 as is_anomaly, {_OVER_TEXT} as ai_explanation, {as_of} as _dbt_loaded_at
+            from (select *, {_OVER} as n_over from {run})"""
+            for run, as_of in (("one", AS_OF), ("two", SECOND_RUN))
+        ),
         "tolerant_csv_load": _with("raw") + f"select {_TYPED} from raw where not ({_CSV_DIRTY})",
         "rejected_csv_rows": _with("raw")
         + f"select vendorid, count(*) as rejected from raw where {_CSV_DIRTY} group by 1",

@@ -282,15 +282,25 @@ def month_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return months.month_presence(spark, folder, wanted).select("month", "present")
 
 
+def _two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as two loads left it: trips of an odd vendor came a day later."""
+    fact = _fact(spark, sf_dir, WAREHOUSE)
+    later = F.lit(SECOND_RUN).cast("timestamp_ntz")
+    return fact.withColumn("_dbt_loaded_at", F.when(F.col("vendorid") % 2 == 1, later).otherwise(F.col("_dbt_loaded_at")))
+
+
 @query
 def score_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.prompts(scoring.candidates(_fact(spark, sf_dir, WAREHOUSE))).select("row_id", "prompt")
+    return scoring.prompts(scoring.candidates(_two_loads(spark, sf_dir))).select("row_id", "prompt")
 
 
 @query
 def score_row_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = scoring.row_k(_fact(spark, sf_dir, WAREHOUSE), 777)
-    return scoring.prompts(row, single=True).select("row_id", "prompt")
+    """One stored row end to end: its number, its prompt, and what the scorer says."""
+    row = scoring.row_k(_two_loads(spark, sf_dir), 777)
+    return scoring.score_rows(row, scoring.rule_scorer, batch_size=1).select(
+        "row_id", "prompt", "score", "is_anomaly", "explanation", "failed"
+    )
 
 
 @query
@@ -322,12 +332,7 @@ REPLY_SHAPES = (
 def parse_reply_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies in every shape, one per line item, plus all documents and conversation turns as free text."""
     lineitem, documents, turns = (
-        readers.spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"), *keys)
-        for table, keys in (
-            ("lineitem", ("l_orderkey", "l_partkey", "l_suppkey")),
-            ("documents", ("doc_id",)),
-            ("conversations", ("conv_id", "turn")),
-        )
+        spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in ("lineitem", "documents", "conversations")
     )
     shapes = F.array(*[F.lit(shape) for shape in REPLY_SHAPES])
     shaped = lineitem.select(
@@ -347,10 +352,16 @@ def parse_reply_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ai_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = scoring.prompts(scoring.candidates(_fact(spark, sf_dir, WAREHOUSE)))
-    flags = scoring.ai_flags(scoring.score_batches(chosen, scoring.rule_scorer), AS_OF)
+    """All rows scored and logged in two runs; the second run takes only what the first did not log."""
+    fact = tables.stored(_two_loads(spark, sf_dir), "scored-fact")
     path = shared_dir(spark, "ai-flags") + "/ai_anomaly_flags"
-    tables.append_ai_flags(flags, path)
+
+    def run(rows: DataFrame, as_of: str) -> None:
+        chosen = scoring.prompts(scoring.candidates(rows))
+        tables.append_ai_flags(scoring.ai_flags(scoring.score_batches(chosen, scoring.rule_scorer), as_of), path)
+
+    run(fact.filter(F.col("_dbt_loaded_at") == F.lit(AS_OF).cast("timestamp_ntz")), AS_OF)
+    run(scoring.unscored(fact, spark.read.parquet(path)), SECOND_RUN)
     return spark.read.parquet(path)
 
 

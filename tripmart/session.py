@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,15 +27,23 @@ def local_session(cores: str | int = "*", app: str = "tripmart", **conf: str) ->
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder that every executor can reach.
+def run_folder(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local session, where driver and
-    executors are one process, may fall back to a temporary folder of the machine.
+    The cluster names its shared folder in ``spark.checkpoint.dir``. Where that is unset, the folder is kept in the
+    warehouse, which is shared as well; a temporary folder of the machine is never used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return f"{base.rstrip('/')}/tripmart/{label}-{uuid.uuid4().hex}"
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix=f"run-{label}-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/tripmart/{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession, label: str) -> str:
+    """A new, unique folder that every executor can reach."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_run_folder(spark: SparkSession) -> None:
+    """Deletes the application's intermediate tables, through the file system they are on. Results that were not
+    written elsewhere can no longer be read; the folder of an application that ended may go at any time."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -132,18 +132,6 @@ def read_zones(spark: SparkSession, path: str, tolerant: bool = False) -> DataFr
     return read_csv(spark, path, ZONES, tolerant)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spreads a scan over all cores when it has fewer splits than cores.
-
-    A small file of one row group is one task, however much work follows. ``keys`` should tell rows apart well; their
-    hash, unlike a round robin, sends a row to the same place when a task is repeated. Large inputs are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A catalog table by name, or a Parquet folder by path."""
     if "/" in name_or_path:
