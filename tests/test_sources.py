@@ -148,8 +148,8 @@ def session_with(**settings):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    cluster = session_with(**{"spark.master": "yarn", "spark.checkpoint.dir": "/shared/place/"})
-    assert shared_dir(cluster, "x").startswith("/shared/place/tripmart/x-")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(session_with(**{"spark.master": "yarn"}), "x")
+    assert shared_dir(spark, "x").startswith(f"{spark.conf.get('spark.checkpoint.dir')}/tripmart/")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+    unset = session_with(**{"spark.sql.warehouse.dir": "/shared/warehouse/"})
+    unset.sparkContext = SimpleNamespace(applicationId="app-1")
+    assert shared_dir(unset, "x").startswith("/shared/warehouse/tripmart/app-1/x-")

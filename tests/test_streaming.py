@@ -76,9 +76,50 @@ def test_a_repeated_batch_replaces_itself(spark, rows, zones, tmp_path):
 
     def batch(number, *trips):
         staged = stage_trips(spark.createDataFrame(list(trips), TRIPS), WAREHOUSE, "2024-02-01")
-        ingest.load_batch(staged, number, target, make_fact)
+        ingest.load_batch(staged, number, target, "s", make_fact)
 
     batch(0, trip(DAY[0]))
     batch(1, trip(DAY[1]), trip(DAY[2]))
     batch(1, trip(DAY[1]), trip(DAY[2]))
     assert ingest.read_stream_fact(spark, target).count() == 3
+
+
+def run_of(spark, zones, landing, target, state, **options):
+    files = ingest.trip_files(spark, f"{landing}/*", **options)
+    ingest.incremental_stream(files, zones, WAREHOUSE, target, state, "2024-02-01").awaitTermination()
+    return sorted(row.pickup_ts for row in ingest.read_stream_fact(spark, target).collect())
+
+
+def test_a_new_checkpoint_keeps_what_is_stored(spark, zones, tmp_path):
+    landing, target = str(tmp_path / "landing"), str(tmp_path / "fact")
+    deliver(spark, landing, "a", trip(DAY[1]), trip(DAY[2]))
+    assert run_of(spark, zones, landing, target, str(tmp_path / "one")) == [DAY[1], DAY[2]]
+    deliver(spark, landing, "b", trip(DAY[0]), trip(DAY[3]))
+    assert run_of(spark, zones, landing, target, str(tmp_path / "two")) == [DAY[1], DAY[2], DAY[3]]
+
+
+def test_batches_do_not_change_the_result(spark, zones, tmp_path):
+    landing = str(tmp_path / "landing")
+    deliver(spark, landing, "a", trip(DAY[3]), trip(DAY[4]))
+    deliver(spark, landing, "b", trip(DAY[0]), trip(DAY[1]))
+    every = [DAY[0], DAY[1], DAY[3], DAY[4]]
+    for name, options in (("whole", {}), ("cut", {"max_files": 1})):
+        assert run_of(spark, zones, landing, str(tmp_path / name), str(tmp_path / f"{name}-state"), **options) == every
+
+
+def test_a_broken_run_goes_on_with_its_mark(spark, zones, tmp_path):
+    landing, target, state = (str(tmp_path / part) for part in ("landing", "fact", "state"))
+    deliver(spark, landing, "a", trip(DAY[4]))
+    deliver(spark, landing, "b", trip(DAY[0]))
+    calls = []
+
+    def failing(batch):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("stopped")
+        return batch
+
+    files = ingest.trip_files(spark, f"{landing}/*", max_files=1)
+    with pytest.raises(Exception, match="stopped"):
+        ingest.incremental_stream(files, zones, WAREHOUSE, target, state, "2024-02-01", failing).awaitTermination()
+    assert len(run_of(spark, zones, landing, target, state, max_files=1)) == 2

@@ -374,6 +374,11 @@ _TYPED = """* replace (try_cast(tpep_pickup_datetime as timestamp) as tpep_picku
 
 def all_oracles() -> dict[str, str]:
     candidates = _with("fact_w", more=_NUMBERED)
+    streamed = (
+        _with("fact_w", more=f"early as (select * from fact_w where payment_type <= 4 and pickup_ts <= {CUT})")
+        + f"""select *, {AS_OF} as _processed_at from early union all
+        select *, {AS_OF} as _processed_at from fact_w where pickup_ts > (select max(pickup_ts) from early)"""
+    )
     features = "pickup_ts, fare_amount, trip_distance, trip_duration_mins, passenger_count, pickup_borough"
     return {
         "stage_trips_w": _with("stg_w") + "select * from stg_w",
@@ -461,8 +466,7 @@ def all_oracles() -> dict[str, str]:
         + "select *, cast(date_trunc('month', pickup_date) as date) as pickup_month from fact_w",
         "export_roundtrip": _with("fact_l") + "select * from fact_l",
         "file_stream_once": _with("raw") + f"select *, {AS_OF} as _loaded_at from raw",
-        "stream_incremental": _with("fact_w", more=f"""early as (select * from fact_w
-          where payment_type <= 4 and pickup_ts <= {CUT})""")
-        + f"""select *, {AS_OF} as _processed_at from early union all
-        select *, {AS_OF} as _processed_at from fact_w where pickup_ts > (select max(pickup_ts) from early)""",
+        "stream_incremental": streamed,
+        "stream_restart": streamed,
+        "stream_incremental_batched": _with("fact_w") + f"select *, {AS_OF} as _processed_at from fact_w",
     }

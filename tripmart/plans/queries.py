@@ -446,20 +446,52 @@ def file_stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/raw")
 
 
-@query
-def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries land one after the other; the stream stores what is newer than the first."""
-    folder = shared_dir(spark, "stream-incremental")
-    zones = _zones(spark, sf_dir)
+def _delivered(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, DataFrame]:
+    """Trips as two deliveries, the early ones and the rest, to land one by one."""
     trips = raw_trips(spark, sf_dir)
     pickup = F.col("tpep_pickup_datetime").try_cast("timestamp_ntz")
     early = (F.col("payment_type") <= 4) & pickup.between(
         F.lit("2009-01-01").cast("timestamp_ntz"), F.lit(CUT).cast("timestamp_ntz")
     )
-    for number, delivery in enumerate((trips.filter(early), trips.filter(F.coalesce(~early, F.lit(True)))), 1):
-        delivery.write.parquet(f"{folder}/landing/d{number}")
-        files = ingest.trip_files(spark, f"{folder}/landing/*", trips.schema)
-        ingest.incremental_stream(
-            files, zones, WAREHOUSE, f"{folder}/fact", f"{folder}/checkpoint", AS_OF
-        ).awaitTermination()
-    return ingest.read_stream_fact(spark, f"{folder}/fact")
+    return {"early": trips.filter(early), "rest": trips.filter(F.coalesce(~early, F.lit(True)))}
+
+
+def _stream_run(
+    spark: SparkSession, sf_dir: str, folder: str, checkpoint: str, max_files: int | None = None
+) -> DataFrame:
+    schema = raw_trips(spark, sf_dir).schema
+    files = ingest.trip_files(spark, f"{folder}/landing/*", schema, max_files)
+    target = f"{folder}/fact"
+    ingest.incremental_stream(
+        files, _zones(spark, sf_dir), WAREHOUSE, target, f"{folder}/{checkpoint}", AS_OF
+    ).awaitTermination()
+    return ingest.read_stream_fact(spark, target)
+
+
+@query
+def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries land one after the other; the stream stores what is newer than the first."""
+    folder = shared_dir(spark, "stream-incremental")
+    for name, delivery in _delivered(spark, sf_dir, folder).items():
+        delivery.write.parquet(f"{folder}/landing/{name}")
+        stored = _stream_run(spark, sf_dir, folder, "checkpoint")
+    return stored
+
+
+@query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second delivery comes to a stream that starts anew: old rows stay, only newer ones are added."""
+    folder = shared_dir(spark, "stream-restart")
+    for name, delivery in _delivered(spark, sf_dir, folder).items():
+        delivery.write.parquet(f"{folder}/landing/{name}")
+        stored = _stream_run(spark, sf_dir, folder, f"checkpoint-{name}")
+    return stored
+
+
+@query
+def stream_incremental_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later trips land before earlier ones and are read file by file; the result is that of one batch."""
+    folder = shared_dir(spark, "stream-batched")
+    for name, delivery in reversed(_delivered(spark, sf_dir, folder).items()):
+        delivery.write.parquet(f"{folder}/landing/{name}")
+    return _stream_run(spark, sf_dir, folder, "checkpoint", max_files=1)

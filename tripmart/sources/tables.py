@@ -20,6 +20,17 @@ GRAINS = {"day": ("pickup_day", "DD"), "month": ("pickup_month", "MM")}
 LAYOUT_COLUMNS = [column for column, _ in GRAINS.values()]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there, asked of the file system it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stamp(df: DataFrame, column: str = "_loaded_at", as_of: AsOf = None) -> DataFrame:
     return df.withColumn(column, clock(as_of))
 
@@ -102,13 +113,19 @@ def write_fact_partitioned(fact: DataFrame, path: str, grain: str = "day", max_r
     return _write_gathered(fact, path, grain, "overwrite", maxRecordsPerFile=max_rows_per_file)
 
 
-def append_fact_partitioned(fact: DataFrame, path: str, grain: str = "day") -> int:
-    return _write_gathered(fact, path, grain, "append")
+def append_fact_partitioned(
+    fact: DataFrame, path: str, grain: str = "day", max_rows_per_file: int = 20_000_000
+) -> int:
+    return _write_gathered(fact, path, grain, "append", maxRecordsPerFile=max_rows_per_file)
 
 
-def replace_periods(fact: DataFrame, path: str, grain: str = "day") -> None:
+def replace_periods(
+    fact: DataFrame, path: str, grain: str = "day", max_rows_per_file: int = 20_000_000
+) -> None:
     """Replaces exactly the periods present in ``fact``; others are neither read nor rewritten."""
-    _write_gathered(fact, path, grain, "overwrite", partitionOverwriteMode="dynamic")
+    _write_gathered(
+        fact, path, grain, "overwrite", partitionOverwriteMode="dynamic", maxRecordsPerFile=max_rows_per_file
+    )
 
 
 def read_fact(spark: SparkSession, path: str, layout: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from tripmart.functions.timestamps import AsOf, clock
 from tripmart.operators.incremental import incremental_fact
 from tripmart.operators.staging import stage_trips
 from tripmart.schemas import TRIPS, Profile
+from tripmart.sources.tables import exists, remove
 
 
 def trip_files(
@@ -42,29 +44,69 @@ def ingest_stream(trips: DataFrame, target: str, checkpoint: str, as_of: AsOf =
     )
 
 
-def _marks(spark: SparkSession, folder: str, before: int) -> DataFrame:
-    """The newest time each earlier batch stored: one row per batch."""
-    schema = "pickup_ts timestamp_ntz, batch_id bigint"
-    return spark.read.schema(schema).parquet(folder).filter(F.col("batch_id") < before)
+# Layout of a stream's fact: rows by month, stream and batch; the mark of a run that has not ended, by stream.
+LAYOUT = ("pickup_month", "stream_id", "batch_id")
+
+
+def stored_mark(spark: SparkSession, target: str) -> DataFrame | None:
+    """The newest time stored, as one row, whoever stored it; None if nothing is. Only the last month is read."""
+    if not exists(spark, f"{target}/rows"):
+        return None
+    rows = spark.read.parquet(f"{target}/rows")
+    last = rows.agg(F.max("pickup_month")).scalar()
+    return rows.filter(F.col("pickup_month") == last).agg(F.max("pickup_ts").alias("pickup_ts"))
+
+
+def run_mark(spark: SparkSession, target: str, stream: str) -> DataFrame | None:
+    """The mark that all batches of a run are compared with: what was stored when the run began.
+
+    It is kept until the run ends, so that neither the cut into batches nor a run that breaks off and goes on later
+    changes what is admitted.
+    """
+    folder = f"{target}/runs/{stream}"
+    if not exists(spark, f"{folder}/_SUCCESS"):
+        mark = stored_mark(spark, target)
+        if mark is None:
+            mark = spark.sql("select cast(null as timestamp_ntz) as pickup_ts, true as first")
+        else:
+            mark = mark.withColumn("first", F.lit(False))
+        mark.write.mode("overwrite").parquet(folder)
+    mark = spark.read.schema("pickup_ts timestamp_ntz, first boolean").parquet(folder)
+    return None if mark.first()["first"] else mark.select("pickup_ts")
 
 
 def load_batch(
     staged: DataFrame,
     batch_id: int,
     target: str,
+    stream: str,
     make_fact: Callable[[DataFrame | None, DataFrame], DataFrame],
 ) -> None:
-    """Stores one micro-batch under its own number, so a repeated batch replaces itself.
+    """Stores one micro-batch under its stream and number, so a repeated batch replaces itself and nothing else.
 
-    The mark a batch is compared with comes from the marks of earlier batches, not from a scan of the whole target, and
-    never from the batch's own first attempt.
+    Rows are filed by month first; readers prune by time, and the next mark comes from the last month alone.
     """
-    spark = staged.sparkSession
-    rows, marks = f"{target}/rows", f"{target}/marks"
-    earlier = _marks(spark, marks, batch_id) if batch_id > 0 else None
-    make_fact(earlier, staged).write.mode("overwrite").parquet(f"{rows}/batch_id={batch_id}")
-    written = spark.read.parquet(f"{rows}/batch_id={batch_id}")
-    written.agg(F.max("pickup_ts").alias("pickup_ts")).write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
+    fact = make_fact(run_mark(staged.sparkSession, target, stream), staged)
+    month = F.date_format("pickup_ts", "yyyy-MM")
+    dealt = fact.withColumns(dict(zip(LAYOUT, (month, F.lit(stream), F.lit(batch_id)), strict=True)))
+    writer = dealt.hint("rebalance", F.col("pickup_month")).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(f"{target}/rows")
+
+
+class IncrementalRun:
+    """A started run. ``awaitTermination`` waits until all files are stored and ends the run."""
+
+    def __init__(self, query: StreamingQuery, end: Callable[[], None]):
+        self.query, self._end = query, end
+
+    def awaitTermination(self) -> None:  # noqa: N802 - named as in Spark
+        self.query.awaitTermination()
+        self._end()
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Spark's own id of the stream, which a new checkpoint gets anew, even one in the place of an old one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def incremental_stream(
@@ -75,25 +117,29 @@ def incremental_stream(
     checkpoint: str,
     as_of: AsOf = None,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
-) -> StreamingQuery:
-    """Stages each micro-batch and stores the trips newer than everything stored by earlier ones.
+) -> IncrementalRun:
+    """Stages each micro-batch and stores the trips newer than everything stored before this run.
 
-    ``prepare`` turns a micro-batch of files into what staging expects, silver trips for the lakehouse rules.
+    ``prepare`` turns a micro-batch of files into what staging expects, silver trips for the lakehouse rules. A new
+    checkpoint on a target with rows reads all files again and adds only what is newer.
     """
+    spark = trips.sparkSession
 
     def make_fact(earlier: DataFrame | None, staged: DataFrame) -> DataFrame:
         return incremental_fact(earlier, staged, zones, profile, as_of)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(stage_trips(prepare(batch), profile, as_of), batch_id, target, make_fact)
+        stream = _stream_id(batch.sparkSession, checkpoint)
+        load_batch(stage_trips(prepare(batch), profile, as_of), batch_id, target, stream, make_fact)
 
-    return (
+    query = (
         trips.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    return IncrementalRun(query, lambda: remove(spark, f"{target}/runs/{_stream_id(spark, checkpoint)}"))
 
 
 def read_stream_fact(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/rows").drop("batch_id")
+    return spark.read.parquet(f"{target}/rows").drop(*LAYOUT)
