@@ -368,6 +368,10 @@ _PARSED = f"""select l_orderkey as id, cast({_shape(0)} as double) as score, {_s
       select conv_id, 'turn' || chr(10) || 'score=' || turn || ' ' || text from conversations))"""
 
 _CSV_DIRTY = "dolocationid % 13 in (1, 2, 3) or tpep_pickup_datetime = 'corrupt'"
+_TYPED_DIRTY = """* replace (try_cast(tpep_pickup_datetime as timestamp) as tpep_pickup_datetime,
+    try_cast(tpep_dropoff_datetime as timestamp) as tpep_dropoff_datetime,
+    case when dolocationid % 13 <> 1 then passenger_count end as passenger_count,
+    case when dolocationid % 13 <> 3 then cbd_congestion_fee end as cbd_congestion_fee)"""
 _TYPED = """* replace (try_cast(tpep_pickup_datetime as timestamp) as tpep_pickup_datetime,
     try_cast(tpep_dropoff_datetime as timestamp) as tpep_dropoff_datetime)"""
 
@@ -455,8 +459,24 @@ def all_oracles() -> dict[str, str]:
             for run, as_of in (("one", AS_OF), ("two", SECOND_RUN))
         ),
         "tolerant_csv_load": _with("raw") + f"select {_TYPED} from raw where not ({_CSV_DIRTY})",
-        "rejected_csv_rows": _with("raw")
-        + f"select vendorid, count(*) as rejected from raw where {_CSV_DIRTY} group by 1",
+        "rejected_csv_rows": _with("raw") + f"select {_TYPED_DIRTY} from raw where {_CSV_DIRTY}",
+        "mixed_header_csv": _with("raw")
+        + f"""select {_TYPED} from (select * replace (case when vendorid = 1 then extra end as extra) from raw)
+        where tpep_pickup_datetime <> 'corrupt'""",
+        "drifted_parquet_load": _with("raw") + f"select {_TYPED} from raw",
+        "tolerant_parquet_load": _with("raw") + f"select {_TYPED} from raw where not (vendorid = 2 and pulocationid % 5 = 0)",
+        "rejected_parquet_rows": _with("raw")
+        + f"""select {_TYPED} from (select * replace (cast(null as bigint) as passenger_count) from raw
+        where vendorid = 2 and pulocationid % 5 = 0)""",
+        "zones_csv": _with("dim") + "select * from dim",
+        "read_table_by_name": _with("fact_w") + "select * from fact_w",
+        "schema_overwrite": _with("fact_w", more=f"hourly as ({_hourly('fact_w')})")
+        + "select *, (select count(*) from hourly) as rows_written from hourly",
+        "day_partitions": _with("fact_l") + """select cast(pickup_date as date) as pickup_day, count(*) as trips
+        from fact_l where pickup_ts >= timestamp '2022-01-01' and pickup_ts < timestamp '2022-03-01'
+        and (payment_type = 1 or pickup_date not between date '2022-01-10' and date '2022-01-12'
+          or (select count(*) from fact_l f where f.pickup_date = fact_l.pickup_date and f.payment_type = 1) = 0)
+        group by 1""",
         "name_matched_load": _with("raw")
         + f"select {_TYPED} from (select * replace (cast(null as double) as cbd_congestion_fee) from raw)",
         "bronze_append": _with("raw")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -392,8 +393,87 @@ def tolerant_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rejected_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = readers.rejected_rows(spark, _csv_trips(spark, sf_dir), TRIPS)
-    return rejected.groupBy("vendorid").agg(F.count(F.lit(1)).alias("rejected"))
+    return readers.rejected_rows(spark, _csv_trips(spark, sf_dir), TRIPS, fmt="csv").drop(readers.REJECTED)
+
+
+@query
+def mixed_header_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two CSV deliveries in one folder, the second with its columns the other way round and one column less."""
+    folder = shared_dir(spark, "headers")
+    trips = raw_trips(spark, sf_dir).filter("tpep_pickup_datetime <> 'corrupt'")
+    first, second = (trips.filter(F.col("vendorid") == vendor) for vendor in (1, 2))
+    first.write.option("header", True).csv(f"{folder}/2024-01.csv")
+    turned = second.select(*reversed(second.drop("extra").columns))
+    turned.withColumnsRenamed({"vendorid": "VendorID"}).write.option("header", True).csv(f"{folder}/2024-02.csv")
+    return readers.read_trips(spark, folder)
+
+
+def _drifting_trips(spark: SparkSession, sf_dir: str, passengers: str) -> str:
+    """Parquet deliveries in a plain folder: passengers as bigint in one, as ``passengers`` in the other."""
+    folder = shared_dir(spark, "drift") + "/raw"
+    trips = raw_trips(spark, sf_dir).withColumns(
+        {name: F.col(name).try_cast("timestamp_ntz") for name in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
+    )
+    trips.filter("vendorid = 1").write.parquet(f"{folder}/2024-01")
+    second = trips.filter("vendorid = 2").withColumn("passenger_count", F.expr(passengers))
+    second.withColumn("fare_amount", F.col("fare_amount").cast("string")).write.parquet(f"{folder}/2024-02")
+    return folder
+
+
+@query
+def drifted_parquet_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_trips(spark, _drifting_trips(spark, sf_dir, "cast(passenger_count as double)"))
+
+
+_ODD_PASSENGERS = "case when pulocationid % 5 = 0 then 'many' else cast(passenger_count as string) end"
+
+
+@query
+def tolerant_parquet_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_trips(spark, _drifting_trips(spark, sf_dir, _ODD_PASSENGERS), tolerant=True)
+
+
+@query
+def rejected_parquet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.rejected_rows(spark, _drifting_trips(spark, sf_dir, _ODD_PASSENGERS), TRIPS).drop(readers.REJECTED)
+
+
+@query
+def zones_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "zones") + "/taxi_zone_lookup.csv"
+    zones = raw_zones(spark, sf_dir).withColumnsRenamed({"locationid": "LocationID", "borough": "Borough"})
+    zones.write.option("header", True).csv(path)
+    return staging.dim_zones(staging.stage_zones(readers.read_zones(spark, path)))
+
+
+@query
+def read_table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact saved as a catalog table, twice with another schema, and read by its name."""
+    fact = _fact(spark, sf_dir, WAREHOUSE)
+    name = f"fct_trips_{uuid.uuid4().hex[:12]}"
+    tables.save_as_table(fact.select(*FACT_KEY), "marts", name)
+    return readers.read_table(spark, tables.save_as_table(fact, "marts", name))
+
+
+@query
+def schema_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rebuild with other columns takes the place of the old table; the counts written are returned with it."""
+    path = shared_dir(spark, "rebuild") + "/agg_hourly_demand"
+    fact = _fact(spark, sf_dir, WAREHOUSE)
+    tables.write_table(fact.select("pickup_ts", "fare_amount"), path)
+    written = tables.write_table(marts.hourly_demand(fact), path)
+    tables.register_views({"hourly_view": readers.read_table(spark, path)})
+    return spark.sql("select * from hourly_view").withColumn("rows_written", F.lit(written).cast("bigint"))
+
+
+@query
+def day_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact by day, a few days rewritten, and rows per stored day."""
+    path = shared_dir(spark, "days") + "/fct_trips"
+    fact = _fact(spark, sf_dir, LAKEHOUSE).filter("pickup_ts >= '2022-01-01' and pickup_ts < '2022-03-01'")
+    tables.write_fact_partitioned(fact, path, "day")
+    tables.replace_periods(fact.filter("pickup_date between '2022-01-10' and '2022-01-12' and payment_type = 1"), path, "day")
+    return tables.read_fact(spark, path, layout=True).groupBy("pickup_day").agg(F.count(F.lit(1)).alias("trips"))
 
 
 @query

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,18 +40,43 @@ def match_columns(df: DataFrame, contract: T.StructType, extras: bool = False, s
     return df.select(*picked)
 
 
-def _csv_text(spark: SparkSession, path: str | list[str], mode: str) -> DataFrame:
+def _found_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The data files below files, folders or globs. Names only; no file is opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return sorted(row["path"] for row in listed.select("path").collect())
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Header line -> CSV files that begin with it. Only the first block of each file is read."""
+    lines = spark.read.option("recursiveFileLookup", True).text(paths)
+    first = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("line"),
+    ).filter("start = 0")
+    found: dict[str, list[str]] = {}
+    for row in first.groupBy("file").agg(F.min_by("value", "line").alias("header")).orderBy("file").collect():
+        found.setdefault(row["header"], []).append(unquote(row["file"]))
+    return found
+
+
+def _csv_texts(spark: SparkSession, path: str | list[str], mode: str) -> list[DataFrame]:
     """Headed CSV with optional quotes, every field as text; a row of the wrong length fills ``_rejected_record``.
 
-    Values are typed by expressions afterwards. Spark's own typed reader looks only at the columns a query selects, so
-    which rows count as bad would change from query to query.
+    Files may have different headers; those with one header are read together. Values are typed by expressions
+    afterwards. Spark's own typed reader looks only at the columns a query selects, so which rows count as bad would
+    change from query to query.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    fields = [T.StructField(name, T.StringType()) for name in reader.csv(path).columns]
-    if mode == "PERMISSIVE":
-        fields.append(T.StructField(REJECTED, T.StringType()))
-        reader = reader.option("columnNameOfCorruptRecord", REJECTED)
-    return reader.schema(T.StructType(fields)).option("columnPruning", False).option("mode", mode).csv(path)
+    frames = []
+    for header, files in _by_header(spark, [path] if isinstance(path, str) else list(path)).items():
+        reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+        names = next(csv.reader([header.lstrip("\ufeff")]), [])
+        fields = [T.StructField(name.strip(), T.StringType()) for name in names]
+        if mode == "PERMISSIVE":
+            fields.append(T.StructField(REJECTED, T.StringType()))
+            reader = reader.option("columnNameOfCorruptRecord", REJECTED)
+        reader = reader.schema(T.StructType(fields)).option("columnPruning", False).option("mode", mode)
+        frames.append(reader.csv(files))
+    return frames
 
 
 def _parsed(text: Column, kind: T.DataType) -> Column:
@@ -58,17 +86,23 @@ def _parsed(text: Column, kind: T.DataType) -> Column:
     return text.try_cast(kind)
 
 
-def _typed(text: DataFrame, contract: T.StructType) -> dict[str, tuple[Column, Column]]:
-    """For each contract column its value and whether the file's text for it is unreadable."""
-    found = {name.lower(): name for name in text.columns}
+def _typed(raw: DataFrame, contract: T.StructType) -> dict[str, tuple[Column, Column]]:
+    """For each contract column its value and whether what the file has for it is unreadable."""
+    found = {name.lower(): name for name in raw.columns}
     typed = {}
     for field in contract:
         name = found.get(field.name.lower())
         if name is None:
             typed[field.name] = (F.lit(None).cast(field.dataType), F.lit(False))
+            continue
+        source = F.col(f"`{name}`")
+        if raw.schema[name].dataType == field.dataType:
+            value = source
+        elif isinstance(raw.schema[name].dataType, T.StringType):
+            value = _parsed(source, field.dataType)
         else:
-            value = _parsed(F.col(f"`{name}`"), field.dataType)
-            typed[field.name] = (value, F.col(f"`{name}`").isNotNull() & value.isNull())
+            value = source.try_cast(field.dataType)
+        typed[field.name] = (value, source.isNotNull() & value.isNull())
     return typed
 
 
@@ -76,33 +110,118 @@ def _any(conditions: Iterable[Column]) -> Column:
     return reduce(lambda left, right: left | right, conditions)
 
 
-def read_csv(spark: SparkSession, path: str | list[str], contract: T.StructType, tolerant: bool = False) -> DataFrame:
-    """CSV in the contract's columns. ``tolerant`` skips rows that are short, long or unreadable, else they raise."""
-    text = _csv_text(spark, path, "PERMISSIVE" if tolerant else "FAILFAST")
-    typed = _typed(text, contract)
+def _bad(raw: DataFrame, typed: dict[str, tuple[Column, Column]]) -> Column:
+    wrong_length = F.col(REJECTED).isNotNull() if REJECTED in raw.columns else F.lit(False)
+    return wrong_length | _any(unreadable for _, unreadable in typed.values())
+
+
+def _accepted(raw: DataFrame, contract: T.StructType, tolerant: bool, extras: bool = False) -> DataFrame:
+    """``raw`` in the contract's columns. ``tolerant`` skips rows with an unreadable value, otherwise they raise."""
+    typed = _typed(raw, contract)
+    known = {field.name.lower() for field in contract}
+    others = [F.col(f"`{name}`") for name in raw.columns if extras and name.lower() not in known]
     if tolerant:
-        bad = F.col(REJECTED).isNotNull() | _any(unreadable for _, unreadable in typed.values())
-        return text.filter(~bad).select(*[value.alias(name) for name, (value, _) in typed.items()])
-    return text.select(
+        return raw.filter(~_bad(raw, typed)).select(*[v.alias(name) for name, (v, _) in typed.items()], *others)
+    return raw.select(
         *[
             F.when(unreadable, F.raise_error(F.lit(f"unreadable value in column {name}")).cast(contract[name].dataType))
             .otherwise(value)
             .alias(name)
             for name, (value, unreadable) in typed.items()
-        ]
+        ],
+        *others,
     )
 
 
-def rejected_rows(spark: SparkSession, path: str | list[str], contract: T.StructType) -> DataFrame:
-    """The rows a tolerant CSV load skips: what could be parsed, and the row's text as ``_rejected_record``."""
-    text = _csv_text(spark, path, "PERMISSIVE")
-    typed = _typed(text, contract)
-    fields = [name for name in text.columns if name != REJECTED]
-    bad = F.col(REJECTED).isNotNull() | _any(unreadable for _, unreadable in typed.values())
-    return text.filter(bad).select(
-        *[value.alias(name) for name, (value, _) in typed.items()],
-        F.coalesce(REJECTED, F.to_csv(F.struct(*[F.col(f"`{name}`") for name in fields]))).alias(REJECTED),
-    )
+def _together(frames: list[DataFrame], spark: SparkSession, contract: T.StructType) -> DataFrame:
+    if not frames:
+        return spark.createDataFrame([], contract)
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], contract: T.StructType, tolerant: bool = False) -> DataFrame:
+    """CSV in the contract's columns. ``tolerant`` skips rows that are short, long or unreadable, else they raise."""
+    texts = _csv_texts(spark, path, "PERMISSIVE" if tolerant else "FAILFAST")
+    return _together([_accepted(text, contract, tolerant) for text in texts], spark, contract)
+
+
+def _parquet_groups(spark: SparkSession, files: list[str], tolerant: bool) -> list[DataFrame]:
+    """Parquet files, together if their schemas merge, else by schema, each group under its own.
+
+    Merging is one distributed pass over the footers. Only if types drifted between files is each footer looked at
+    from the driver, several at a time.
+    """
+    try:
+        merged = spark.read.option("mergeSchema", True).parquet(*files)
+        merged.select(*[F.col(f"`{name}`") for name in merged.columns])
+        return [merged]
+    except Exception:  # noqa: BLE001 - Spark has no one class for schemas that do not merge
+        pass
+
+    def schema(file: str) -> str | None:
+        try:
+            return spark.read.parquet(file).schema.json()
+        except Exception:  # noqa: BLE001
+            if tolerant:
+                return None
+            raise
+
+    with ThreadPoolExecutor(16) as pool:
+        schemas = list(pool.map(schema, files))
+    groups: dict[str, list[str]] = {}
+    for file, text in zip(files, schemas, strict=True):
+        if text is not None:
+            groups.setdefault(text, []).append(file)
+    return [spark.read.parquet(*group) for group in groups.values()]
+
+
+def unreadable_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Parquet files without a readable footer, which a tolerant load leaves out."""
+
+    def fails(file: str) -> bool:
+        try:
+            spark.read.parquet(file)
+        except Exception:  # noqa: BLE001
+            return True
+        return False
+
+    files = _parquet_files(_found_files(spark, [path] if isinstance(path, str) else list(path)))
+    with ThreadPoolExecutor(16) as pool:
+        return [file for file, failed in zip(files, pool.map(fails, files), strict=True) if failed]
+
+
+def _parquet_files(files: list[str]) -> list[str]:
+    return [file for file in files if file.lower().endswith((".parquet", ".parq"))]
+
+
+def _raw_frames(spark: SparkSession, path: str | list[str], fmt: str | None, tolerant: bool, permissive: bool) -> list[DataFrame]:
+    """The files below ``path`` as they are, Parquet by its own types and CSV as text; the kind goes by each file."""
+    paths = [path] if isinstance(path, str) else list(path)
+    files = _found_files(spark, paths)
+    parquet = files if fmt == "parquet" else [] if fmt == "csv" else _parquet_files(files)
+    texts = [file for file in files if file not in set(parquet)]
+    frames = _parquet_groups(spark, parquet, tolerant) if parquet else []
+    if texts:
+        frames += _csv_texts(spark, texts, "PERMISSIVE" if permissive else "FAILFAST")
+    return frames
+
+
+def rejected_rows(
+    spark: SparkSession, path: str | list[str], contract: T.StructType, fmt: str | None = None
+) -> DataFrame:
+    """The rows a tolerant load skips: what could be read, and the row's text as ``_rejected_record``."""
+    frames = []
+    for raw in _raw_frames(spark, path, fmt, tolerant=True, permissive=True):
+        typed = _typed(raw, contract)
+        fields = [F.col(f"`{name}`") for name in raw.columns if name != REJECTED]
+        text = F.to_csv(F.struct(*fields))
+        frames.append(
+            raw.filter(_bad(raw, typed)).select(
+                *[value.alias(name) for name, (value, _) in typed.items()],
+                (F.coalesce(REJECTED, text) if REJECTED in raw.columns else text).alias(REJECTED),
+            )
+        )
+    return _together(frames, spark, T.StructType([*contract, T.StructField(REJECTED, T.StringType())]))
 
 
 def read_trips(
@@ -112,20 +231,15 @@ def read_trips(
     tolerant: bool = False,
     evolve: bool = False,
 ) -> DataFrame:
-    """Raw trips from a file, a folder or a glob.
+    """Raw trips from files, folders or globs, by column name ignoring case, absent columns as null.
 
-    Parquet is read with the contract as its schema: Spark then matches names ignoring case, fills absent columns with
-    null, widens narrower numbers, and opens no footer before the scan. ``evolve`` instead merges the schemas of all
-    files, keeps unknown columns and casts drifted types; it costs one distributed pass over the footers.
+    Without ``fmt`` each file's name tells Parquet from CSV. A column may have different types in different files;
+    values are cast to the contract, and one that does not fit raises, or with ``tolerant`` its row is left out (see
+    ``rejected_rows``; files that cannot be read at all are named by ``unreadable_files``). ``evolve`` keeps unknown
+    columns.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    fmt = fmt or ("parquet" if paths[0].rstrip("/*").lower().endswith(".parquet") else "csv")
-    if fmt == "csv":
-        return read_csv(spark, paths, TRIPS, tolerant)
-    reader = spark.read.option("ignoreCorruptFiles", tolerant)
-    if evolve:
-        return match_columns(reader.option("mergeSchema", True).parquet(*paths), TRIPS, extras=True)
-    return reader.schema(TRIPS).parquet(*paths)
+    frames = _raw_frames(spark, path, fmt, tolerant, permissive=tolerant)
+    return _together([_accepted(raw, TRIPS, tolerant, evolve) for raw in frames], spark, TRIPS)
 
 
 def read_zones(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
