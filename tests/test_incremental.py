@@ -95,3 +95,28 @@ def test_merge_rewrites_only_touched_days(rows, spark, tmp_path):
     inc.merge_periods(path, rows(FACT, fact(T0, tip=9.0), fact(T2, tip=8.0), fact(None, tip=7.0)))
     assert sorted(row.tip for row in read_fact(spark, path).collect()) == [2.0, 3.0, 7.0, 8.0, 9.0]
     assert untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("pickup_day=2024-01-02/*.parquet")}
+
+
+def test_keys_must_fix_the_period(rows, tmp_path):
+    with pytest.raises(ValueError, match="pickup_ts"):
+        inc.merge_periods(str(tmp_path / "fact"), rows(FACT, fact(T0)), keys=("pulocationid",))
+
+
+def test_a_first_run_never_appends_to_a_table(rows, spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows(FACT, fact(T0)).write.parquet(path)
+    with pytest.raises(ValueError, match="there already"):
+        inc.append_new(path, None, rows(FACT, fact(T0)), None, None)
+
+
+def test_the_mark_reaches_the_raw_scan(rows, spark, tmp_path):
+    path, raw = str(tmp_path / "fact"), str(tmp_path / "raw")
+    write_fact_partitioned(rows(FACT, fact(T0), fact(T1), fact(None)), path)
+    assert inc.stored_mark(spark, path, "day") == T1 and inc.stored_mark(spark, str(tmp_path / "none")) is None
+    rows("tpep_pickup_datetime timestamp_ntz, fare double", (T0, 1.0), (T1, 2.0), (T2, 3.0), (None, 4.0)).write.parquet(raw)
+    newer = inc.raw_after(spark.read.parquet(raw), inc.stored_mark(spark, path, "day"))
+    assert [r.fare for r in newer.collect()] == [3.0]
+    plan = newer._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(tpep_pickup_datetime" in plan.split("PushedFilters")[1].split("ReadSchema")[0]
+    text = rows("tpep_pickup_datetime string", ("2024-01-01",))
+    assert inc.raw_after(text, T1) is text

@@ -1,4 +1,4 @@
-from tripmart.operators.snapshot import snapshot
+from tripmart.operators.snapshot import read_history, row_hash, snapshot, store_snapshot
 
 ZONE = "location_id long, borough string, zone string, service_zone string"
 DAY1, DAY2, DAY3 = "2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"
@@ -30,3 +30,20 @@ def test_history_of_changes(rows):
     closed = snapshot(second, later, as_of=DAY3, close_missing=True)
     assert (4, "A", "s", "2024-01-01", "2024-01-03") in versions(closed)
     assert len({row.row_hash for row in second.collect()}) == 7
+
+
+def test_hashes_of_rows_that_read_alike_differ(rows):
+    df = rows("a string, b string", ("x|=y", "z"), ("x", "y|=z"), (None, "~"), ("~", None), ("", None), (None, ""))
+    assert len({r[0] for r in df.select(row_hash(["a", "b"])).collect()}) == 6
+
+
+def test_a_history_grows_version_by_version(rows, spark, tmp_path):
+    path = str(tmp_path / "history")
+    assert read_history(spark, path) is None
+    for day, borough in ((DAY1, "A"), (DAY2, "B"), (DAY3, "B")):
+        store_snapshot(path, rows(ZONE, (1, borough, "z", "s")), day)
+    # A version that was never completed does not count.
+    rows(ZONE, (1, "C", "z", "s")).write.parquet(f"{path}/v4")
+    (tmp_path / "history" / "v4" / "_SUCCESS").unlink()
+    assert versions(read_history(spark, path)) == [(1, "A", "s", "2024-01-01", "2024-01-02"), (1, "B", "s", "2024-01-02", "None")]
+    assert len(versions(store_snapshot(path, rows(ZONE, (1, "D", "z", "s")), "2024-01-04 00:00:00"))) == 3

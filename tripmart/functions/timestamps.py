@@ -46,14 +46,6 @@ def elapsed_minutes(start: Column, end: Column) -> Column:
     return (F.unix_timestamp(end) - F.unix_timestamp(start)) / 60
 
 
-def in_range(value: Column, low: float, high: float) -> Column:
-    """``between`` with a single reference to the value.
-
-    A pushed-down ``between`` repeats the whole expression, here two parsed times, once per bound.
-    """
-    return F.abs(value * 2 - (low + high)) <= high - low
-
-
 def day_start(ts: Column) -> Column:
     return ts.cast("date").cast("timestamp_ntz")
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.functions.timestamps import AsOf, clock
 from tripmart.operators.marts import fact_trips
@@ -15,6 +17,7 @@ from tripmart.sources.tables import (
     LAYOUT_COLUMNS,
     append_fact_partitioned,
     append_table,
+    exists,
     period,
     read_fact,
     replace_periods,
@@ -49,6 +52,28 @@ def load_counts(target: DataFrame | None, staged: DataFrame, column: str = "pick
     )
 
 
+def raw_after(raw: DataFrame, moment: Column | dt.datetime | None) -> DataFrame:
+    """Raw trips that can have a pickup after ``moment``. Where the file holds times, the scan skips what is older.
+
+    Staging only ever drops a pickup time or keeps it, so the later filter on ``pickup_ts`` implies this one.
+    """
+    kind = raw.schema["tpep_pickup_datetime"].dataType
+    if moment is None or not isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        return raw
+    return raw.filter(F.col("tpep_pickup_datetime") > F.lit(moment).cast(kind))
+
+
+def stored_mark(spark: SparkSession, path: str, grain: str | None = None) -> dt.datetime | None:
+    """The newest pickup of a stored fact; of a partitioned one only the last period is read."""
+    if not exists(spark, path):
+        return None
+    target = spark.read.parquet(path)
+    if grain:
+        layout = F.col(GRAINS[grain][0])
+        target = target.filter(layout == target.agg(F.max(layout)).scalar())
+    return target.agg(F.max("pickup_ts")).first()[0]
+
+
 def incremental_fact(
     target: DataFrame | None, staged: DataFrame, zones: DataFrame | None, profile: Profile, as_of: AsOf = None
 ) -> DataFrame:
@@ -101,8 +126,11 @@ def append_new(
 ) -> int:
     """The production load: admitted rows are strictly newer than every stored row, so an append is the upsert.
 
-    ``grain`` partitions the table by pickup time. Returns the number of rows added.
+    ``grain`` partitions the table by pickup time. Returns the number of rows added. A first run, without a target, must
+    not find a table at ``path``: it would append everything once more.
     """
+    if target is None and exists(staged.sparkSession, path):
+        raise ValueError(f"{path} is there already; give it as the target")
     rows = incremental_fact(target, staged, zones, profile, as_of)
     return append_fact_partitioned(rows, path, grain) if grain else append_table(rows, path)
 
@@ -113,8 +141,10 @@ def merge_periods(path: str, batch: DataFrame, keys: Sequence[str] = FACT_KEY, g
     Matching rows share a pickup time and hence a period. The batch is stored first, so it is computed once and joined
     by its real size; its first and last period are subqueries that prune the partitions of the target before the exact
     semi join. The merged periods are stored as well: a folder must not be overwritten while it is read, and after a
-    failure the last step can simply be repeated.
+    failure the last step can simply be repeated. The keys must hold the pickup time, which fixes the period.
     """
+    if not {"pickup_ts", "pickup_date"} & set(keys):
+        raise ValueError("without pickup_ts among the keys a match may lie in another period")
     batch = stored(batch, "merge-batch")
     periods = batch.select(period(grain).alias("_period"))
     layout = F.col(GRAINS[grain][0])

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.functions.timestamps import AsOf
 from tripmart.operators.anomaly import anomaly_flags
+from tripmart.operators.incremental import append_new, raw_after, stored_mark
 from tripmart.operators.marts import daily_revenue, fact_trips, hourly_demand
 from tripmart.operators.quality import LAKEHOUSE_CHECKS, WAREHOUSE_CHECKS, run_suite
+from tripmart.operators.snapshot import store_snapshot
 from tripmart.operators.staging import dim_zones, silver_trips, stage_trips, stage_zones
 from tripmart.schemas import LAKEHOUSE, WAREHOUSE, Profile
-from tripmart.sources.tables import read_fact, write_fact_partitioned, write_table
+from tripmart.sources.tables import exists, read_fact, write_fact_partitioned, write_table
 
 
 def _marts(fact: DataFrame, profile: Profile, out: str) -> dict[str, DataFrame]:
@@ -26,10 +28,28 @@ def _marts(fact: DataFrame, profile: Profile, out: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{out}/{name}") for name in frames}
 
 
+def grow_fact(
+    spark: SparkSession, raw: DataFrame, zones: DataFrame | None, out: str, profile: Profile, as_of: AsOf = None,
+    grain: str | None = None, silver_zones: DataFrame | None = None,
+) -> DataFrame:
+    """One run of the incremental model: adds to ``out``/fct_trips_incremental what is newer than all it holds.
+
+    ``raw`` is what staging needs or, with ``silver_zones``, what silver needs. The mark reaches the raw scan.
+    """
+    path = f"{out}/fct_trips_incremental"
+    target = read_fact(spark, path) if exists(spark, path) else None
+    fresh = raw_after(raw, stored_mark(spark, path, grain))
+    if silver_zones is not None:
+        fresh = silver_trips(fresh, silver_zones, as_of)
+    append_new(path, target, stage_trips(fresh, profile, as_of), zones, profile, as_of, grain)
+    return read_fact(spark, path)
+
+
 def build_warehouse(
     spark: SparkSession, raw: DataFrame, zones: DataFrame, out: str, as_of: AsOf = None
 ) -> dict[str, DataFrame]:
-    """Staging stays a view; the zone dimension, the fact and everything after it are stored under ``out``."""
+    """Staging stays a view; the zone dimension and its history, the fact and everything after it are stored under
+    ``out``. A further build rebuilds them, but adds to the incremental fact and to the history."""
     staged = stage_trips(raw, WAREHOUSE, as_of)
     write_table(dim_zones(stage_zones(zones)), f"{out}/dim_zones")
     dim = spark.read.parquet(f"{out}/dim_zones")
@@ -37,6 +57,8 @@ def build_warehouse(
     fact = spark.read.parquet(f"{out}/fct_trips")
     return {
         "taxi_zone_lookup": zones, "stg_yellow_trips": staged, "dim_zones": dim, "fct_trips": fact,
+        "fct_trips_incremental": grow_fact(spark, raw, dim, out, WAREHOUSE, as_of),
+        "zone_snapshot": store_snapshot(f"{out}/zone_snapshot", dim, as_of),
         **_marts(fact, WAREHOUSE, out),
     }
 
@@ -44,14 +66,16 @@ def build_warehouse(
 def build_lakehouse(
     spark: SparkSession, raw: DataFrame, zones: DataFrame, out: str, as_of: AsOf = None, grain: str = "day"
 ) -> dict[str, DataFrame]:
-    """Silver is stored, staging is a view on it, the fact and everything after it are stored under ``out``."""
+    """Silver is stored, staging is a view on it, the fact and everything after it are stored under ``out``. A further
+    build rebuilds them, but adds to the incremental fact."""
     write_table(silver_trips(raw, zones, as_of), f"{out}/yellow_trips_clean")
     silver = spark.read.parquet(f"{out}/yellow_trips_clean")
     staged = stage_trips(silver, LAKEHOUSE, as_of)
     write_fact_partitioned(fact_trips(staged, None, LAKEHOUSE), f"{out}/fct_trips", grain)
     fact = read_fact(spark, f"{out}/fct_trips")
     return {
-        "yellow_trips_clean": silver, "stg_yellow_trips": staged, "fct_trips": fact, "fct_trips_incremental": fact,
+        "yellow_trips_clean": silver, "stg_yellow_trips": staged, "fct_trips": fact,
+        "fct_trips_incremental": grow_fact(spark, raw, None, out, LAKEHOUSE, as_of, grain, silver_zones=zones),
         **_marts(fact, LAKEHOUSE, out),
     }
 

@@ -216,8 +216,8 @@ def _upserted(condition: str) -> str:
 
 def _hash(prefix: str) -> str:
     columns = ("location_id", "borough", "zone", "service_zone")
-    parts = ", ".join(f"coalesce('=' || cast({prefix}.{name} as varchar), '~')" for name in columns)
-    return f"md5(concat_ws('|', {parts}))"
+    texts = [f"cast({prefix}.{name} as varchar)" for name in columns]
+    return "md5(" + " || ".join(f"coalesce(length({text}) || ':' || {text}, '~')" for text in texts) + ")"
 
 
 _SNAPSHOT = f"""earlier as (select location_id, case when location_id % 5 = 0 then 'OLD' else borough end as borough,
@@ -418,6 +418,8 @@ def all_oracles() -> dict[str, str]:
         + f"""select vendorid, {_KEY}, cast(null as double) as tip_pct, cast(null as varchar) as payment_type_desc
         from fact_w""",
         "zone_snapshot": _with("dim", more=_SNAPSHOT),
+        "snapshot_roundtrip": _with("dim", more=_SNAPSHOT),
+        "grown_fact_l": _with("fact_l") + _two_runs("fact_l").replace(SECOND_RUN, AS_OF),
         "quality_w": _with("fact_w", more=f"daily as ({_daily('fact_w', True)}), {_flags('fact_w')}") + _QUALITY_W,
         "quality_l": _with(
             "fact_l",
@@ -439,8 +441,9 @@ def all_oracles() -> dict[str, str]:
             )
         ),
         "target_months": f"select {_MONTH} as month, count(*) as runs from orders group by 1",
-        "month_presence": f"""select month, month in (select strftime(l_shipdate, '%Y-%m') from lineitem) as present
-        from (select distinct {_MONTH} as month from orders)""",
+        "month_presence": f"""select month, cast(present as bigint) as files, present from (
+        select month, month in (select strftime(l_shipdate, '%Y-%m') from lineitem) as present
+        from (select distinct {_MONTH} as month from orders))""",
         "score_candidates": candidates + f"select row_id, {_prompt(BATCH_QUESTION)} as prompt from numbered",
         "score_row_k": candidates
         + f"""select row_id, {_prompt(SINGLE_QUESTION)} as prompt, {_r("0.3e0 * n_over", 1)} as score,

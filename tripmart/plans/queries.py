@@ -14,7 +14,7 @@ from tripmart.fixtures import AS_OF, raw_trips, raw_zones, trips_from_lineitem
 from tripmart.functions.numeric import round_half_up
 from tripmart.operators import anomaly, incremental, marts, quality, scoring, snapshot, staging
 from tripmart.operators.replies import parse_replies
-from tripmart.plans.builds import build_lakehouse, build_warehouse, check_build
+from tripmart.plans.builds import build_lakehouse, build_warehouse, check_build, grow_fact
 from tripmart.schemas import FACT_KEY, LAKEHOUSE, TRIPS, WAREHOUSE, Profile
 from tripmart.session import shared_dir
 from tripmart.sources import months, readers, tables
@@ -128,12 +128,12 @@ def _shown_flags(flags: DataFrame) -> DataFrame:
 
 @query
 def anomaly_flags_w(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown_flags(anomaly.anomaly_flags(_fact(spark, sf_dir, WAREHOUSE)))
+    return _shown_flags(anomaly.anomaly_flags(tables.stored(_fact(spark, sf_dir, WAREHOUSE), "fact-w")))
 
 
 @query
 def anomaly_flags_l(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown_flags(anomaly.anomaly_flags(_fact(spark, sf_dir, LAKEHOUSE)))
+    return _shown_flags(anomaly.anomaly_flags(tables.stored(_fact(spark, sf_dir, LAKEHOUSE), "fact-l")))
 
 
 def _first_delivery(staged: DataFrame) -> DataFrame:
@@ -206,8 +206,7 @@ def schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.sync_schema(old, like)
 
 
-@query
-def zone_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _two_looks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     zones, key = _zones(spark, sf_dir), F.col("location_id")
     earlier = zones.filter(key % 7 != 3).select(
         "location_id",
@@ -216,13 +215,37 @@ def zone_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 4 != 1, F.col("service_zone")).alias("service_zone"),
     )
     later = zones.filter(key % 11 != 10)
-    first = snapshot.snapshot(None, earlier, as_of=AS_OF)
-    return snapshot.snapshot(first, later, as_of=SECOND_RUN)
+    return earlier, later
+
+
+@query
+def zone_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    earlier, later = _two_looks(spark, sf_dir)
+    return snapshot.snapshot(snapshot.snapshot(None, earlier, as_of=AS_OF), later, as_of=SECOND_RUN)
+
+
+@query
+def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone history stored look by look; a third look at unchanged zones adds nothing."""
+    path = shared_dir(spark, "snapshot") + "/zone_snapshot"
+    earlier, later = _two_looks(spark, sf_dir)
+    snapshot.store_snapshot(path, earlier, AS_OF)
+    snapshot.store_snapshot(path, later, SECOND_RUN)
+    snapshot.store_snapshot(path, later, "2026-01-03 00:00:00")
+    return snapshot.read_history(spark, path)
+
+
+def _early_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first delivery, as raw trips."""
+    pickup = F.col("tpep_pickup_datetime").try_cast("timestamp_ntz")
+    early = pickup.isNull() | (pickup <= F.lit(CUT).cast("timestamp_ntz"))
+    return raw_trips(spark, sf_dir).filter((F.col("payment_type") <= 4) & early)
 
 
 @query
 def quality_w(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_dir(spark, "build-warehouse")
+    grow_fact(spark, _early_raw(spark, sf_dir), _zones(spark, sf_dir), out, WAREHOUSE, AS_OF)
     built = build_warehouse(spark, raw_trips(spark, sf_dir), raw_zones(spark, sf_dir), out, AS_OF)
     future = quality.assertion_report(quality.future_trips(built["fct_trips"], FUTURE_AS_OF), "assert_no_future_trips")
     return check_build(built, WAREHOUSE).unionByName(future.withColumn("table", F.lit("fct_trips")))
@@ -230,10 +253,17 @@ def quality_w(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quality_l(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = shared_dir(spark, "build-lakehouse")
-    return check_build(
-        build_lakehouse(spark, raw_trips(spark, sf_dir), raw_zones(spark, sf_dir), out, AS_OF, "month"), LAKEHOUSE
-    )
+    out, zones = shared_dir(spark, "build-lakehouse"), raw_zones(spark, sf_dir)
+    grow_fact(spark, _early_raw(spark, sf_dir), None, out, LAKEHOUSE, AS_OF, "month", silver_zones=zones)
+    return check_build(build_lakehouse(spark, raw_trips(spark, sf_dir), zones, out, AS_OF, "month"), LAKEHOUSE)
+
+
+@query
+def grown_fact_l(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental model as the builds run it: two runs on silver, the table partitioned by month."""
+    out, zones = shared_dir(spark, "grown-lakehouse"), raw_zones(spark, sf_dir)
+    grow_fact(spark, _early_raw(spark, sf_dir), None, out, LAKEHOUSE, AS_OF, "month", silver_zones=zones)
+    return grow_fact(spark, raw_trips(spark, sf_dir), None, out, LAKEHOUSE, AS_OF, "month", silver_zones=zones)
 
 
 @query
@@ -244,7 +274,9 @@ def unique_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def no_future_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.future_trips(_fact(spark, sf_dir, WAREHOUSE), FUTURE_AS_OF)
+    raw = incremental.raw_after(raw_trips(spark, sf_dir), F.lit(FUTURE_AS_OF))
+    fact = marts.fact_trips(staging.stage_trips(raw, WAREHOUSE, AS_OF), _zones(spark, sf_dir), WAREHOUSE)
+    return quality.future_trips(fact, FUTURE_AS_OF)
 
 
 @query
@@ -277,10 +309,10 @@ def month_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "months") + "/raw"
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     delivered = lineitem.select("l_orderkey", F.date_format("l_shipdate", "yyyy-MM").alias("month"))
-    delivered.hint("rebalance", F.col("month")).write.partitionBy("month").parquet(folder)
+    delivered.repartition("month").write.partitionBy("month").parquet(folder)
     runs = spark.read.parquet(f"{sf_dir}/orders.parquet")
     wanted = runs.select(months.target_month(F.col("o_orderdate")).alias("month")).distinct()
-    return months.month_presence(spark, folder, wanted).select("month", "present")
+    return months.month_presence(spark, folder, wanted)
 
 
 def _two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 DEFAULT_MONTH = "2025-03"
 FILE_NAME = "yellow_tripdata_{month}.parquet"
 
-MONTH_IN_PATH = r"(?:month=|_)(\d{4}-\d{2})(?=[./]|$)"
-
 
 def target_month(run_date: Column) -> Column:
     """The month a run on this date loads, as ``yyyy-MM``: two months before the run's own month."""
@@ -35,20 +33,18 @@ def month_glob(folder: str, month: str) -> str:
 def month_presence(spark: SparkSession, folder: str, months: DataFrame) -> DataFrame:
     """``months`` (one text column ``month``) with ``files`` found for each and ``present``.
 
-    Lists names only: the ``binaryFile`` reader does not open a file whose content is not selected. Both one file per
-    month and ``month=yyyy-MM`` folders are recognised.
+    Only the wanted months are asked for, by name, whatever else the lake holds: one file per month, or a folder
+    ``month=yyyy-MM``. The months of a question are few and known to the driver.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(folder)
-        .select(F.regexp_extract("path", MONTH_IN_PATH, 1).alias("month"))
-        .groupBy("month")
-        .agg(F.count(F.lit(1)).alias("files"))
-    )
-    return months.join(files, "month", "left").select(
-        "month",
-        F.coalesce("files", F.lit(0)).cast("bigint").alias("files"),
-        F.col("files").isNotNull().alias("present"),
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def files(month: str) -> int:
+        names = f"{{{FILE_NAME.format(month=month)},month={month}/*.parquet}}"
+        return len(system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(where, names)) or ())
+
+    wanted = sorted({row["month"] for row in months.select("month").collect() if row["month"] is not None})
+    found = spark.createDataFrame([(month, files(month)) for month in wanted], "month string, files bigint")
+    return months.join(found, "month", "left").select(
+        "month", F.coalesce("files", F.lit(0)).alias("files"), (F.coalesce("files", F.lit(0)) > 0).alias("present")
     )
