@@ -85,7 +85,11 @@ def test_trees_find_every_link(percent):
             if rule.linked(common, len(sets[a]), len(sets[b])):
                 root = [root[b] if r == root[a] else r for r in root]
                 # Linked sets meet under a routing key.
-                assert np.intersect1d(rule.keys(sets[a]), rule.keys(sets[b])).size
+                for common in (base[:0], np.sort(base[:20]), np.sort(base)):
+                    assert np.intersect1d(rule.keys(sets[a], common), rule.keys(sets[b], common)).size
+    # Sketches never part what links.
+    group = jaccard.compatible(np.array([len(x) for x in sets]), [jaccard.sketch(x) for x in sets], rule)
+    assert all(group[a] == group[b] for a in range(len(sets)) for b in range(a) if root[a] == root[b])
     joined = list(range(len(sets)))
     for a, b in jaccard.Tree(sets, list(range(len(sets))), rule).links():
         joined = [joined[b] if r == joined[a] else r for r in joined]

@@ -24,14 +24,15 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm.blocks import Blocks, map_blocks
 from tripmart.llm.common import col
 from tripmart.llm.pieces import Cut, cut, ragged
 from tripmart.session import shared_dir
 
 #: Words in the lexicon, at most, and their bytes; all others are merged.
 LEXICON_WORDS, LEXICON_BYTES = 50_000, 48
-#: Characters cut at once (more only for a single longer text).
-BATCH_CHARACTERS = 2 << 20
+#: Bytes of text cut at once (more only for a single longer text): a larger block has fewer distinct pieces for its size.
+BATCH_BYTES = 1 << 20
 #: Longest piece, in bytes, that is merged in arrays; a longer one is merged with a heap.
 ARRAY_BYTES = 32
 _NONE = np.int32(2**31 - 1)
@@ -359,48 +360,35 @@ def decode(ids: np.ndarray, vocab: Vocabulary) -> str:
     return ragged(vocab.flat, vocab.offsets, ids)[0].tobytes().decode("utf-8", "replace")
 
 
-def batches(texts: list[str | None], characters: int = BATCH_CHARACTERS) -> Iterator[list[str]]:
-    block, size = [], 0
-    for text in texts:
-        text = text or ""
-        if block and size + len(text) > characters:
-            yield block
-            block, size = [], 0
-        block.append(text)
-        size += len(text)
-    if block:
-        yield block
-
-
 def frequent_pieces(docs: DataFrame, special: str | None, text_col: str = "text", words: int = LEXICON_WORDS) -> list[bytes]:
     """The most frequent pieces of all documents; ties by bytes. At most ``words`` short ones reach the driver.
 
     A task adds up its own counts first and passes on pieces that it has met twice or more, and those met once as well.
     """
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(blocks: Blocks) -> Iterator[pd.DataFrame]:
         pieces: dict[bytes, int] = {}
 
         def given() -> pd.DataFrame:
             return pd.DataFrame({"piece": list(pieces), "n": list(pieces.values())})
 
-        for frame in frames:
-            for block in batches(list(frame["text"])):
-                found = cut(block, special)
-                starts, ends = found.distinct()
-                times = np.bincount(found.codes, minlength=len(starts))
-                short = ends - starts <= LEXICON_BYTES
-                raw = found.data.tobytes()
-                for a, b, n in zip(starts[short].tolist(), ends[short].tolist(), times[short].tolist(), strict=True):
-                    piece = raw[a:b]
-                    pieces[piece] = pieces.get(piece, 0) + n
-                if len(pieces) > 500_000:
-                    yield given()
-                    pieces.clear()
+        for _, block in blocks:
+            found = cut(block, special)
+            starts, ends = found.distinct()
+            times = np.bincount(found.codes, minlength=len(starts))
+            short = ends - starts <= LEXICON_BYTES
+            raw = found.data.tobytes()
+            for a, b, n in zip(starts[short].tolist(), ends[short].tolist(), times[short].tolist(), strict=True):
+                piece = raw[a:b]
+                pieces[piece] = pieces.get(piece, 0) + n
+            if len(pieces) > 200_000:
+                yield given()
+                pieces.clear()
         if pieces:
             yield given()
 
-    partial = docs.select(col(text_col).alias("text")).mapInPandas(count, "piece binary, n long")
+    texts = docs.select(F.lit(None).cast("long").alias("doc_id"), col(text_col).alias("text"))
+    partial = map_blocks(texts, count, "piece binary, n long", BATCH_BYTES)
     counted = partial.groupBy("piece").agg(F.sum("n").alias("n")).filter("n > 1")
     return [bytes(r["piece"]) for r in counted.orderBy(F.desc("n"), "piece").limit(words).collect()]
 
@@ -437,23 +425,20 @@ def encode(
 ) -> DataFrame:
     """Per row: doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and, if asked for, what they decode to."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(blocks: Blocks) -> Iterator[pd.DataFrame]:
         vocab, words = vocabulary(vocab_path), mapped_lexicon(lexicon)
-        for frame in frames:
-            done = 0
-            for block in batches(list(frame["text"])):
-                flat, places = encode_cut(cut(block, vocab.special_text), vocab, words)
-                spans = list(zip(places[:-1].tolist(), places[1:].tolist(), strict=True))
-                columns = {
-                    "doc_id": pd.array(frame["doc_id"].iloc[done : done + len(block)], dtype="Int64"),
-                    "n_tokens": np.diff(places),
-                    "ids": [flat[a:b].astype("<u4").tobytes() for a, b in spans],
-                }
-                if decoded:
-                    columns["decoded"] = [decode(flat[a:b], vocab) for a, b in spans]
-                yield pd.DataFrame(columns)
-                done += len(block)
+        for ids, block in blocks:
+            flat, places = encode_cut(cut(block, vocab.special_text), vocab, words)
+            spans = list(zip(places[:-1].tolist(), places[1:].tolist(), strict=True))
+            columns = {
+                "doc_id": pd.array(ids, dtype="Int64"),
+                "n_tokens": np.diff(places),
+                "ids": [flat[a:b].astype("<u4").tobytes() for a, b in spans],
+            }
+            if decoded:
+                columns["decoded"] = [decode(flat[a:b], vocab) for a, b in spans]
+            yield pd.DataFrame(columns)
 
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
     schema = "doc_id long, n_tokens long, ids binary"
-    return rows.mapInPandas(run, f"{schema}, decoded string" if decoded else schema)
+    return map_blocks(rows, run, f"{schema}, decoded string" if decoded else schema, BATCH_BYTES)

@@ -17,24 +17,28 @@ import pandas as pd
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Powers of the base that are kept, as a power of two; more only for a longer batch.
+_LEAST_POWERS = 20
 
 
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
     kinds = {"L": LETTER, "N": NUMBER}
-    table = np.array([kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)], dtype=np.uint8)
+    table = np.full(0x110000, OTHER, dtype=np.uint8)
+    # Beyond the third plane no character is a letter or number.
+    table[:0x40000] = [kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x40000)]
     # The characters with the White_Space property.
     white = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
     table[white] = SPACE
     return table
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> np.ndarray:
     return np.cumprod(np.full(size, _BASE, dtype=np.uint64))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _inverse_powers(size: int) -> np.ndarray:
     return np.cumprod(np.full(size, np.uint64(pow(int(_BASE), -1, 1 << 64)), dtype=np.uint64))
 
@@ -55,7 +59,7 @@ class Rolling:
     """Hashes of any slices of one byte array, from sums of a random value per byte times powers of an odd base."""
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(16, int(len(data)).bit_length())
+        size = 1 << max(_LEAST_POWERS, int(len(data)).bit_length())
         self._sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(_byte_values()[data] * _powers(size)[: len(data)], out=self._sums[1:])
         self._inverse = _inverse_powers(size)

@@ -28,6 +28,9 @@ _TOTAL_BITS = 24
 _TOTAL = 1 << _TOTAL_BITS
 _STEP = 12
 _CONFIDENCE = 16
+_ID_BITS = 20
+_JUMP = 64
+_ID_MASK = (1 << _ID_BITS) - 1
 _STATES = 2 * _CONFIDENCE * _CONFIDENCE
 _HEADER = struct.Struct("<4sIIIII")
 
@@ -37,63 +40,83 @@ class BlockError(ValueError):
 
 
 class _Model:
-    """The predictions for a group of blocks; ``block`` is the block of each lane."""
+    """The predictions for a group of blocks. ``block`` is the block of each lane; ids and counts fit 32 bits.
 
-    def __init__(self, blocks: int, symbols: int):
+    A context's slot holds the predicted id and, above ``_ID_BITS``, how far it is trusted. Shares and counts are taken
+    up by ``refresh`` only, so a step is a few lookups and two stores.
+    """
+
+    def __init__(self, blocks: int, symbols: int, block: np.ndarray):
         self.blocks, self.symbols = blocks, symbols
-        self.counts = np.ones((blocks, symbols), dtype=np.int64)
-        self.sums = np.zeros((blocks, symbols + 1), dtype=np.int64)
-        self.guess = [np.zeros(blocks * CONTEXTS, dtype=np.int64) for _ in range(2)]
-        self.trust = [np.zeros(blocks * CONTEXTS, dtype=np.int64) for _ in range(2)]
+        self.counts = np.ones((blocks, symbols), dtype=np.int32)
+        self.sums = np.zeros((blocks, symbols + 1), dtype=np.int32)
+        self.slots = [np.zeros(blocks * CONTEXTS, dtype=np.int32) for _ in range(2)]
         self.right = [np.full(blocks * _STATES, 0.4) for _ in range(2)]
         self.tried = [np.full(blocks * _STATES, 1.0) for _ in range(2)]
-        self.pending: list[np.ndarray] = []
+        self.at_context, self.at_state = (block * n for n in (CONTEXTS, _STATES))
+        self.at_symbol, self.at_sum = (block * n for n in (symbols, symbols + 1))
+        self.pending: list[tuple[np.ndarray, np.ndarray]] = []
         self.refresh()
 
     def refresh(self) -> None:
-        """Takes the ids seen since the last time into the table."""
+        """Takes what was seen since the last time into the table and the shares."""
         if self.pending:
-            seen = np.concatenate(self.pending)
+            seen, outcome = (np.concatenate(x) for x in zip(*self.pending, strict=True))
             self.pending.clear()
-            self.counts += _STEP * np.bincount(seen, minlength=self.counts.size).reshape(self.counts.shape)
+            missed = seen[(outcome & 1) == 1]
+            self.counts += (_STEP * np.bincount(missed, minlength=self.counts.size)).astype(np.int32).reshape(self.counts.shape)
+            by = np.bincount(outcome, minlength=self.blocks * _STATES * 4).reshape(-1, 4)
+            self.tried[1] += by.sum(axis=1)
+            self.right[1] += by[:, 0]
+            self.tried[0] += by[:, 2] + by[:, 3]
+            self.right[0] += by[:, 2]
         np.cumsum(self.counts, axis=1, out=self.sums[:, 1:])
-        self.size = self.sums[:, -1].copy()
+        self.flat_sums = self.sums.reshape(-1)
+        self.size = self.sums[:, -1].astype(np.int64)
         # One ascending sequence for all blocks, for the decoder's search.
         self.stride = int(self.size.max()) + 1
-        self.ordered = (self.sums[:, :-1] + (np.arange(self.blocks) * self.stride)[:, None]).reshape(-1)
-        self.shares = [
-            np.minimum(right / tried, 0.875) * _TOTAL for right, tried in zip(self.right, self.tried, strict=True)
-        ]
+        offsets = (np.arange(self.blocks, dtype=np.int32) * self.stride).astype(np.int32)
+        self.ordered = np.full(self.counts.size + _JUMP, np.iinfo(np.int32).max, dtype=np.int32)
+        self.ordered[: self.counts.size] = (self.sums[:, :-1] + offsets[:, None]).reshape(-1)
+        self.coarse = self.ordered[: self.counts.size : _JUMP].copy()
+        second, first = (np.minimum(self.right[k] / self.tried[k], 0.875) for k in (1, 0))
+        self.share2 = (second * _TOTAL).astype(np.int64)
+        # Neither share is ever empty, and the table keeps at least a sixteenth, more than it has counts.
+        share1 = np.minimum((first * (_TOTAL - self.share2)).astype(np.int64), _TOTAL * 15 // 16 - self.share2)
+        share1[1::2] = 0
+        self.both = self.share2 + share1
 
-    def predict(self, block: np.ndarray, last: np.ndarray, before: np.ndarray):
-        base = block * CONTEXTS
+    def predict(self, k: int, last: np.ndarray, before: np.ndarray):
+        """For the first ``k`` lanes: slots, predicted ids, state, and where their shares end."""
+        base = self.at_context[:k]
         one = base + (last & (CONTEXTS - 1))
         two = base + (((last * 40503 + before * 60493) ^ (before >> 4)) & (CONTEXTS - 1))
-        guess2, guess1 = self.guess[1][two], self.guess[0][one]
-        trust2, trust1 = self.trust[1][two], self.trust[0][one]
+        held1, held2 = self.slots[0][one], self.slots[1][two]
+        guess1, guess2 = held1 & _ID_MASK, held2 & _ID_MASK
         same = guess1 == guess2
-        state = block * _STATES + (trust2 * _CONFIDENCE + trust1) * 2 + same
-        share2 = self.shares[1][state].astype(np.int64)
-        share1 = (self.shares[0][state] * ((_TOTAL - share2) * (1 / _TOTAL))).astype(np.int64)
-        # Neither share is ever empty, and the table keeps at least a sixteenth, more than it has counts.
-        share1 = np.minimum(share1, _TOTAL * 15 // 16 - share2)
-        share1[same] = 0
-        return one, two, guess1, guess2, trust1, trust2, same, state, share1, share2
-
-    def update(self, block, ids, found) -> None:
-        one, two, guess1, guess2, trust1, trust2, same, state, _, _ = found
-        hit2, hit1 = ids == guess2, ids == guess1
-        for k, (at, guess, trust, hit) in enumerate(((one, guess1, trust1, hit1), (two, guess2, trust2, hit2))):
-            self.guess[k][at] = np.where(hit | (trust > 1), guess, ids)
-            self.trust[k][at] = np.where(hit, np.minimum(trust + 1, _CONFIDENCE - 1), trust >> 1)
-        size = self.blocks * _STATES
-        self.tried[1] += np.bincount(state, minlength=size)
-        self.right[1] += np.bincount(state[hit2], minlength=size)
-        second = ~(hit2 | same)
-        self.tried[0] += np.bincount(state[second], minlength=size)
-        self.right[0] += np.bincount(state[second & hit1], minlength=size)
-        missed = ~(hit2 | hit1)
-        self.pending.append((block * self.symbols + ids)[missed])
+        state = self.at_state[:k] + (((held2 >> _ID_BITS) << 5) | ((held1 >> _ID_BITS) << 1) | same)
+        return one, two, held1, held2, guess1, guess2, same, state, self.share2[state], self.both[state]
+
+    def place(self, target: np.ndarray) -> np.ndarray:
+        """Where the last of ``ordered`` stands that is not above the target: first among every ``_JUMP``-th one, whose
+        array is small enough for a processor's cache, then by halving."""
+        place = (np.searchsorted(self.coarse, target, "right") - 1) * _JUMP
+        half = _JUMP // 2
+        while half:
+            place += half * (self.ordered[place + half] <= target)
+            half //= 2
+        return place
+
+    def update(self, k: int, ids: np.ndarray, found, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """``hit2``: the first prediction was right; ``hit1``: the second was, and the first was not."""
+        one, two, held1, held2, _, _, same, state, _, _ = found
+        for table, at, held, hit in ((0, one, held1, hit1 | (hit2 & same)), (1, two, held2, hit2)):
+            trust = held >> _ID_BITS
+            weaker = np.where(trust > 1, (held & _ID_MASK) | ((trust >> 1) << _ID_BITS), ids)
+            self.slots[table][at] = np.where(hit, held + ((trust < _CONFIDENCE - 1).astype(np.int32) << _ID_BITS), weaker)
+        # 0: first right; 1: first wrong and the second the same; 2: second right; 3: both wrong.
+        outcome = np.where(hit2, 0, np.where(same, 1, np.where(hit1, 2, 3)))
+        self.pending.append((self.at_symbol[:k] + ids, state * 4 + outcome))
 
 
 def _refresh_due(step: int) -> bool:
@@ -136,29 +159,27 @@ def _encode_group(blocks: list[np.ndarray], symbols: int) -> list[bytes]:
     sizes = [len(b) for b in blocks]
     many = [lanes_for(n) for n in sizes]
     lanes = _Lanes.of(sizes, many)
-    flat = np.concatenate(blocks).astype(np.int64)
+    flat = np.concatenate(blocks).astype(np.int32)
     first = np.concatenate([[0], np.cumsum(sizes)])[lanes.block] + lanes.start
     n, steps = len(lanes.block), int(lanes.length[0])
-    model = _Model(len(blocks), symbols)
+    model = _Model(len(blocks), symbols, lanes.block)
     low, width = np.zeros(n, dtype=np.int64), np.full(n, 1 << 48, dtype=np.int64)
-    digits, filled = np.zeros((n, 2 * steps + 4), dtype=np.int64), np.zeros(n, dtype=np.int64)
-    last, before = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    digits, filled = np.zeros((n, 2 * steps + 4), dtype=np.int32), np.zeros(n, dtype=np.int64)
+    last, before = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
     for step in range(steps):
         if _refresh_due(step):
             model.refresh()
         k = lanes.active(step)
-        block, ids = lanes.block[:k], flat[first[:k] + step]
-        found = model.predict(block, last[:k], before[:k])
-        guess1, guess2, share1, share2 = found[2], found[3], found[8], found[9]
-        both = share1 + share2
-        rest, size = _TOTAL - both, model.size[block]
-        place = block * (symbols + 1) + ids
-        sums = model.sums.reshape(-1)
-        begin, end = both + sums[place] * rest // size, both + sums[place + 1] * rest // size
+        ids = flat[first[:k] + step]
+        found = model.predict(k, last[:k], before[:k])
+        guess1, guess2, share2, both = found[4], found[5], found[8], found[9]
         hit2 = ids == guess2
         hit1 = (ids == guess1) & ~hit2
-        begin = np.where(hit2, 0, np.where(hit1, share2, begin))
-        end = np.where(hit2, share2, np.where(hit1, both, end))
+        begin, end = np.where(hit2, 0, share2), np.where(hit2, share2, both)
+        other = np.flatnonzero(~(hit2 | hit1))
+        place, rest, size = model.at_sum[other] + ids[other], _TOTAL - both[other], model.size[lanes.block[other]]
+        begin[other] = both[other] + model.flat_sums[place] * rest // size
+        end[other] = both[other] + model.flat_sums[place + 1] * rest // size
         unit = width[:k] >> _TOTAL_BITS
         low[:k] += unit * begin
         width[:k] = unit * (end - begin)
@@ -169,7 +190,7 @@ def _encode_group(blocks: list[np.ndarray], symbols: int) -> list[bytes]:
             low[due] = (low[due] & 0xFFFFFFFF) << 16
             width[due] <<= 16
             due = due[width[due] < 1 << 32]
-        model.update(block, ids, found)
+        model.update(k, ids, found, hit2, hit1)
         before[:k], last[:k] = last[:k], ids
     column = np.arange(n)
     for shift in (32, 16, 0):
@@ -212,24 +233,22 @@ def _decode_group(payloads: list[bytes]) -> list[np.ndarray]:
     lanes = _Lanes.of(sizes, many)
     counts = [np.frombuffer(b, dtype="<u2", count=m).astype(np.int64) for b, m in zip(bodies, many, strict=True)]
     words = [np.frombuffer(b, dtype="<u2", offset=2 * m) for b, m in zip(bodies, many, strict=True)]
-    digits = np.concatenate([*words, np.zeros(4, dtype="<u2")]).astype(np.int64)
+    digits = np.concatenate([*words, np.zeros(4, dtype="<u2")]).astype(np.int32)
     every = np.concatenate(counts)
     place = (np.cumsum(every) - every)[lanes.order]
     n, steps = len(lanes.block), int(lanes.length[0])
-    model = _Model(len(payloads), symbols)
-    code = digits[place] << 32 | digits[place + 1] << 16 | digits[place + 2]
+    model = _Model(len(payloads), symbols, lanes.block)
+    code = digits[place].astype(np.int64) << 32 | digits[place + 1].astype(np.int64) << 16 | digits[place + 2]
     place += 3
     width = np.full(n, 1 << 48, dtype=np.int64)
-    last, before = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    last, before = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
     result = np.zeros((steps, n), dtype=np.int32)
     for step in range(steps):
         if _refresh_due(step):
             model.refresh()
         k = lanes.active(step)
-        block = lanes.block[:k]
-        found = model.predict(block, last[:k], before[:k])
-        guess1, guess2, share1, share2 = found[2], found[3], found[8], found[9]
-        both = share1 + share2
+        found = model.predict(k, last[:k], before[:k])
+        guess1, guess2, share2, both = found[4], found[5], found[8], found[9]
         unit = width[:k] >> _TOTAL_BITS
         value = np.minimum(code[:k] // unit, _TOTAL - 1)
         hit2 = value < share2
@@ -238,15 +257,14 @@ def _decode_group(payloads: list[bytes]) -> list[np.ndarray]:
         ids = np.where(hit2, guess2, guess1)
         other = np.flatnonzero(value >= both)
         if len(other):
-            b, rest = block[other], (_TOTAL - both)[other]
+            b, rest = lanes.block[other], _TOTAL - both[other]
             size = model.size[b]
-            target = ((value[other] - both[other] + 1) * size - 1) // rest
-            flat = np.searchsorted(model.ordered, target + b * model.stride, "right") - 1
+            target = ((value[other] - both[other] + 1) * size - 1) // rest + b * model.stride
+            flat = model.place(target.astype(np.int32))
             ids[other] = flat - b * symbols
-            sums = model.sums.reshape(-1)
             at = flat + b
-            begin[other] = both[other] + sums[at] * rest // size
-            end[other] = both[other] + sums[at + 1] * rest // size
+            begin[other] = both[other] + model.flat_sums[at] * rest // size
+            end[other] = both[other] + model.flat_sums[at + 1] * rest // size
         code[:k] -= unit * begin
         width[:k] = unit * (end - begin)
         due = np.flatnonzero(width[:k] < 1 << 32)
@@ -255,7 +273,7 @@ def _decode_group(payloads: list[bytes]) -> list[np.ndarray]:
             place[due] += 1
             width[due] <<= 16
             due = due[width[due] < 1 << 32]
-        model.update(block, ids, found)
+        model.update(k, ids, found, hit2, hit1)
         before[:k], last[:k] = last[:k], ids
         result[step, :k] = ids
     out = []

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.bpe import batches
+from tripmart.llm.blocks import BLOCK_BYTES, Blocks, map_blocks
 from tripmart.llm.common import col
 from tripmart.llm.packing import packed, packed_ascending, unpacked, unpacked_ascending
 from tripmart.llm.pieces import Rolling, mixed
@@ -38,7 +38,7 @@ from tripmart.sources.tables import stored
 DEPTH, GRAM = 100, 24
 SIDE = (DEPTH - GRAM) // 2
 #: Bytes of text whose records a task holds before it passes them on, and bytes of text for each bin, about.
-HELD_BYTES, BIN_BYTES = 24 << 20, 12 << 20
+HELD_BYTES, BIN_BYTES = 8 << 20, 8 << 20
 _NO_ID = -(1 << 63)
 _RUN = np.dtype(
     [("gram", "<u8"), ("run", "<u8"), ("left", "<u4"), ("right", "<u4"), ("doc", "<u4"), ("low", "<u4"), ("many", "u1")]
@@ -64,12 +64,13 @@ class _Texts:
         self.rolling = Rolling(self.data)
 
 
-def _read(frames: Iterator[pd.DataFrame]) -> Iterator[_Texts]:
-    for frame in frames:
-        done = 0
-        for block in batches(list(frame["text"])):
-            yield _Texts(frame["doc_id"].iloc[done : done + len(block)].tolist(), block)
-            done += len(block)
+def _parted(frame: pd.DataFrame) -> Iterator[_Texts]:
+    """The rows of a group (doc_id, text) in blocks."""
+    ends = np.cumsum([len(text) for text in frame["text"]])
+    for block in np.split(np.arange(len(frame)), np.flatnonzero(np.diff(ends // BLOCK_BYTES)) + 1):
+        if len(block):
+            some = frame.iloc[block[0] : block[-1] + 1]
+            yield _Texts(some["doc_id"].tolist(), some["text"].tolist())
 
 
 def runs_of(texts: _Texts) -> np.ndarray:
@@ -240,7 +241,7 @@ def _shared(gram: np.ndarray, side: np.ndarray) -> np.ndarray:
 def _first_passes(docs: DataFrame, bins: int) -> DataFrame:
     """Digits one and two: spans that are repeated, and runs (as spans of starts) that the third pass has to sort."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(blocks: Blocks) -> Iterator[pd.DataFrame]:
         held, named, size = [], [], 0
 
         def given() -> pd.DataFrame:
@@ -251,7 +252,7 @@ def _first_passes(docs: DataFrame, bins: int) -> DataFrame:
             rows = _binned("run", "gram", first, known, bins)
             return _frame(rows + [(k, -1 - b, r, d) for k, b, r, d in _dealt("span", spans, bins)])
 
-        for texts in _read(frames):
+        for texts in (_Texts(ids, block) for ids, block in blocks):
             records = runs_of(texts)
             records["doc"] += sum(map(len, named))
             held.append(records)
@@ -275,7 +276,7 @@ def _first_passes(docs: DataFrame, bins: int) -> DataFrame:
         starts = _spans(known, open_["doc"], low, low + open_["many"] + 1)
         return _frame(_dealt("span", spans, bins) + _dealt("open", starts, bins))
 
-    return docs.mapInPandas(run, _SCHEMA).groupBy("place").applyInPandas(sort, _SCHEMA)
+    return map_blocks(docs, run, _SCHEMA).groupBy("place").applyInPandas(sort, _SCHEMA)
 
 
 def _by_document(rows: pd.DataFrame) -> dict[tuple[int, int], np.ndarray]:
@@ -297,7 +298,7 @@ def _last_pass(docs: DataFrame, open_: DataFrame, bins: int) -> DataFrame:
         if texts.empty or not wanted:
             return _frame([])
         held, named, count = [], [], 0
-        for block in _read(iter([texts])):
+        for block in _parted(texts):
             parts, owner = [], []
             for k, doc in enumerate(block.docs.tolist()):
                 for span in wanted.get(doc, ()):
@@ -360,7 +361,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def cut(texts: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         wanted = _by_document(rows)
         out = []
-        for block in _read(iter([texts])):
+        for block in _parted(texts):
             for doc, start, end in zip(block.docs.tolist(), block.starts.tolist(), block.ends.tolist(), strict=True):
                 data = block.data[start:end]
                 gone = np.zeros(len(data) + 2, dtype=np.int8)

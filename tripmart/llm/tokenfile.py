@@ -12,17 +12,19 @@ by text; an empty table gives an empty file set; other columns are never looked
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tripmart.llm.bpe import batches
+from tripmart.llm.blocks import Blocks, arrow_schema, map_blocks
+from tripmart.llm.bpe import BATCH_BYTES
 from tripmart.llm.common import col
 from tripmart.llm.pieces import Cut, cut, ragged
 from tripmart.llm.rangecoder import BLOCK_IDS, GROUP, decode_blocks, encode_blocks
@@ -30,7 +32,7 @@ from tripmart.sources.tables import stored
 
 END_ID = 2
 #: Distinct pieces whose ids a worker remembers; beyond, it forgets all and goes on.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 _SCHEMA = (
     "part int, block int, before long, first_doc long, docs array<long>, counts array<int>, n_ids int, payload binary"
 )
@@ -49,30 +51,46 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.special = next((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), None)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self._known: dict[int, np.ndarray] = {}
+        self._forget()
 
-    def _ids(self, found: Cut) -> list[np.ndarray]:
+    def _forget(self) -> None:
+        # Keys in ascending order, and for each the row of its ids.
+        self._keys, self._rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+        self._ids, self._bounds = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+
+    def _learn(self, found: Cut, new: np.ndarray) -> None:
         starts, ends = found.distinct()
-        keys = found.keys.tolist()
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
-        new = [k for k, key in enumerate(keys) if key not in self._known]
         raw = found.data.tobytes()
+        ids: list[int] = []
+        sizes: list[int] = []
         for k in range(0, len(new), 4096):
             some = new[k : k + 4096]
             pieces = [raw[a:b].decode() for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)]
-            for number, encoding in zip(
-                some, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True
-            ):
-                self._known[keys[number]] = np.array(encoding.ids, dtype=np.int32)
-        return [self._known[key] for key in keys]
+            for encoding in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
+                got = encoding.ids
+                ids += got
+                sizes.append(len(got))
+        rows = np.arange(len(self._bounds) - 1, len(self._bounds) - 1 + len(new), dtype=np.int32)
+        bounds = self._bounds[-1] + np.cumsum(sizes, dtype=np.int64)
+        self._ids = np.concatenate([self._ids, np.array(ids, dtype=np.int32)])
+        self._bounds = np.concatenate([self._bounds, bounds])
+        keys, rows = np.concatenate([self._keys, found.keys[new]]), np.concatenate([self._rows, rows])
+        order = np.argsort(keys, kind="stable")
+        self._keys, self._rows = keys[order], rows[order]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin."""
         found = cut(texts, self.special)
-        rows = self._ids(found)
-        bounds = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]).astype(np.int64)
-        flat, places = ragged(np.concatenate(rows) if rows else np.zeros(0, np.int32), bounds, found.codes)
+        if len(self._keys) > REMEMBERED:
+            self._forget()
+        for _ in range(2):
+            place = np.minimum(np.searchsorted(self._keys, found.keys), max(len(self._keys) - 1, 0))
+            new = np.flatnonzero(self._keys[place] != found.keys) if len(self._keys) else np.arange(len(found.keys))
+            if not len(new):
+                break
+            self._learn(found, new)
+        rows = self._rows[place] if len(self._keys) else np.zeros(0, dtype=np.int64)
+        flat, places = ragged(self._ids, self._bounds, rows[found.codes])
         return flat, places[found.doc_starts]
 
 
@@ -135,21 +153,17 @@ def write(
 ) -> None:
     """Encodes all texts and writes the file set. Parts are ranges of ids with about equal numbers of documents."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Blocks) -> Iterator[pd.DataFrame]:
         encoder = piece_encoder(tokenizer_path)
         blocks = _Blocks(TaskContext.get().partitionId(), max(encoder.size, end_id + 1))
-        for frame in frames:
-            done = 0
-            for texts in batches(list(frame["text"])):
-                some = [None if pd.isna(d) else int(d) for d in frame["doc_id"].iloc[done : done + len(texts)]]
-                blocks.add(some, *_with_ends(*encoder.encode(texts), end_id))
-                done += len(texts)
-                yield from blocks.take(last=False)
+        for ids, texts in parts:
+            blocks.add(ids, *_with_ends(*encoder.encode(texts), end_id))
+            yield from blocks.take(last=False)
         yield from blocks.take(last=True)
 
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInPandas(run, _SCHEMA).write.mode("overwrite").parquet(path)
+    map_blocks(ordered, run, _SCHEMA, BATCH_BYTES).write.mode("overwrite").parquet(path)
 
 
 def _crc_shift(crc: int, size: int) -> int:
@@ -185,29 +199,36 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """The pieces of documents in the blocks: part, number (of the document in its part), doc_id, block, before (ids of
     the part before this piece), n, ids (little-endian unsigned 32-bit integers)."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for k in range(0, len(frame), GROUP):
-                some = frame.iloc[k : k + GROUP]
-                for row, ids in zip(some.itertuples(), decode_blocks([bytes(p) for p in some["payload"]]), strict=True):
-                    counts = np.array(row.counts, dtype=np.int64)
+    schema = "part int, number long, doc_id long, block int, before long, n long, ids binary"
+    return _decoded(spark, path, schema, lambda pieces: {"ids": pieces})
+
+
+def _decoded(spark: SparkSession, path: str, schema: str, last: Callable[[list[bytes]], dict]) -> DataFrame:
+    """A row for each piece of a document in a block; ``last`` makes the last column of the pieces' ids."""
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, GROUP):
+                rows = batch.slice(k, GROUP).to_pylist()
+                for row, ids in zip(rows, decode_blocks([row["payload"] for row in rows]), strict=True):
+                    counts = np.array(row["counts"], dtype=np.int64)
                     ends = np.cumsum(counts)
                     raw = ids.astype("<u4").tobytes()
-                    yield pd.DataFrame(
+                    frame = pd.DataFrame(
                         {
-                            "part": row.part,
-                            "number": row.first_doc + np.arange(len(counts)),
-                            "doc_id": pd.array([None if d is None or d != d else int(d) for d in row.docs], dtype="Int64"),
-                            "block": row.block,
-                            "before": row.before + ends - counts,
+                            "part": row["part"],
+                            "number": row["first_doc"] + np.arange(len(counts)),
+                            "doc_id": pd.array(row["docs"], dtype="Int64"),
+                            "block": row["block"],
+                            "before": row["before"] + ends - counts,
                             "n": counts,
-                            "ids": [raw[4 * (e - c) : 4 * e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)],
+                            **last([raw[4 * (e - c) : 4 * e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]),
                         }
                     )
+                    yield pa.RecordBatch.from_pandas(frame, schema=arrow, preserve_index=False)
 
-    return spark.read.parquet(path).mapInPandas(
-        run, "part int, number long, doc_id long, block int, before long, n long, ids binary"
-    )
+    return spark.read.parquet(path).mapInArrow(run, schema)
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
@@ -217,13 +238,8 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     of the parts are sums over one row per part.
     """
 
-    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.drop(columns="ids").assign(crc=[zlib.crc32(ids) for ids in frame["ids"]])
-
-    pieces = read(spark, path).mapInPandas(
-        summed, "part int, number long, doc_id long, block int, before long, n long, crc long"
-    )
+    schema = "part int, number long, doc_id long, block int, before long, n long, crc long"
+    pieces = _decoded(spark, path, schema, lambda ids: {"crc": [zlib.crc32(i) for i in ids]})
     parts = (
         spark.read.parquet(path).groupBy("part").agg(F.sum("n_ids").alias("total"))
         .select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("part_start"))
