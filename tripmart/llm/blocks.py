@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text in a block, about (more only for a single longer text).
 BLOCK_BYTES = 1 << 19
 
+#: Rows that go to a worker at once while a long pass over texts runs. Spark's default of 10,000 rows is tens of
+#: megabytes of text, held by the executor and by the worker.
+ARROW_ROWS = 500
+
 Blocks = Iterator[tuple[list, list[str]]]
 _TYPES = {
     "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
@@ -20,6 +25,18 @@ _TYPES = {
 }
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]:
+    """Smaller Arrow batches for the jobs that run inside the block; the session's setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def arrow_schema(text: str) -> pa.Schema:
     """The Arrow schema of a schema text such as ``"doc_id long, ids binary"``."""
     return pa.schema([(name, _TYPES[kind]) for name, kind in (part.split() for part in text.split(","))])

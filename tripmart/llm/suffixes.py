@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.blocks import BLOCK_BYTES, Blocks, map_blocks
+from tripmart.llm.blocks import BLOCK_BYTES, Blocks, arrow_rows, map_blocks
 from tripmart.llm.common import col
 from tripmart.llm.packing import packed, packed_ascending, unpacked, unpacked_ascending
 from tripmart.llm.pieces import Rolling, mixed
@@ -347,7 +347,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A prime, so that ids in steps fill all buckets.
     bins = _prime(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size // BIN_BYTES) + 1))
-    first = stored(_first_passes(rows, bins), "suffix-runs")
+    with arrow_rows(docs.sparkSession):
+        first = stored(_first_passes(rows, bins), "suffix-runs")
     number = F.pmod(F.coalesce("doc_id", F.lit(_NO_ID).cast("long")), F.lit(bins).cast("long")).cast("int")
     dealt = rows.withColumn("place", number)
     last = _last_pass(dealt, first.filter("kind = 'open'"), bins)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tripmart.llm.blocks import Blocks, arrow_schema, map_blocks
+from tripmart.llm.blocks import Blocks, arrow_rows, arrow_schema, map_blocks
 from tripmart.llm.bpe import BATCH_BYTES
 from tripmart.llm.common import col
 from tripmart.llm.pieces import Cut, cut, ragged
@@ -163,7 +163,8 @@ def write(
 
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    map_blocks(ordered, run, _SCHEMA, BATCH_BYTES).write.mode("overwrite").parquet(path)
+    with arrow_rows(docs.sparkSession):
+        map_blocks(ordered, run, _SCHEMA, BATCH_BYTES).write.mode("overwrite").parquet(path)
 
 
 def _crc_shift(crc: int, size: int) -> int:
