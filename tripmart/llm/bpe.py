@@ -28,6 +28,7 @@ from tripmart.llm.blocks import Blocks, map_blocks
 from tripmart.llm.common import col
 from tripmart.llm.pieces import Cut, cut, ragged
 from tripmart.session import shared_dir
+from tripmart.sources.tables import stored
 
 #: Words in the lexicon, at most, and their bytes; all others are merged.
 LEXICON_WORDS, LEXICON_BYTES = 50_000, 48
@@ -390,7 +391,9 @@ def frequent_pieces(docs: DataFrame, special: str | None, text_col: str = "text"
     texts = docs.select(F.lit(None).cast("long").alias("doc_id"), col(text_col).alias("text"))
     partial = map_blocks(texts, count, "piece binary, n long", BATCH_BYTES)
     counted = partial.groupBy("piece").agg(F.sum("n").alias("n")).filter("n > 1")
-    return [bytes(r["piece"]) for r in counted.orderBy(F.desc("n"), "piece").limit(words).collect()]
+    # Stored first: collected at once, every task would send its own best to the driver.
+    top = stored(counted.orderBy(F.desc("n"), "piece").limit(words), "frequent-pieces")
+    return [bytes(r["piece"]) for r in top.collect()]
 
 
 def _write(spark: SparkSession, path: str, content: bytes) -> None:
