@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.text import printed_double, strip
 from tripmart.operators import scoring as s
+from tripmart.plans import queries
+
+SF_DIR = "/root/testdata/sf0.001"
 
 FACT = (
     "_dbt_loaded_at timestamp_ntz, pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, trip_duration_mins long,"
@@ -46,6 +49,25 @@ def test_unscored_rows(rows):
     assert [r.fare_amount for r in s.unscored(fact, log).collect()] == [11.0]
 
 
+def test_trips_that_share_time_and_borough_are_told_apart(rows):
+    fact = rows(FACT, fact_row(1, 0), fact_row(2, 0)[:7] + (99.0, 1, 2), fact_row(1, 1), fact_row(2, 1), fact_row(2, 1),
+                *[(dt.datetime(2024, 1, 1 + i % 2), None, None, None, 1.0, 1, "A", float(i), 1, 2) for i in range(8)])
+    first = fact.filter("_dbt_loaded_at = '2024-01-01'")
+    scored = s.candidates(first).withColumn("reply", F.lit("0.5"))
+    left = s.unscored(fact, s.ai_flags(scored, "2024-01-03"))
+    assert left.columns == fact.columns
+    assert sorted(left.collect(), key=repr) == sorted(fact.filter("_dbt_loaded_at = '2024-01-02'").collect(), key=repr)
+
+
+def test_every_fact_row_is_logged_once(spark):
+    fact = queries._two_loads(spark, SF_DIR)
+    log = queries.all_queries()["ai_flags"](spark, SF_DIR)
+    logged = log.groupBy("pickup_ts", "pickup_borough").count()
+    wanted = fact.groupBy("pickup_ts", "pickup_borough").count()
+    assert log.count() == fact.count()
+    assert wanted.exceptAll(logged).count() == logged.exceptAll(wanted).count() == 0
+
+
 def test_prompt_texts(rows):
     df = rows("fare_amount double, trip_distance double, trip_duration_mins long, passenger_count long,"
               "pickup_borough string", (1e7, None, 12, None, "Queens"))

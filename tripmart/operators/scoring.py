@@ -8,7 +8,7 @@ from collections.abc import Callable
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.text import LINE_BREAK, printed, strip
@@ -63,10 +63,17 @@ def row_k(fact: DataFrame, k: int) -> DataFrame:
 
 
 def unscored(fact: DataFrame, log: DataFrame) -> DataFrame:
-    """Fact rows that the log of scored rows does not have; it knows a trip by pickup time and borough."""
-    known = log.select(F.col("pickup_ts").alias("_ts"), F.col("pickup_borough").alias("_borough"))
-    same = F.col("pickup_ts").eqNullSafe(F.col("_ts")) & F.col("pickup_borough").eqNullSafe(F.col("_borough"))
-    return fact.join(known, same, "left_anti")
+    """Fact rows that the log of scored rows does not have; each logged row stands for one of the fact.
+
+    Trips are told apart by the candidate columns that the log keeps, nulls included. Of trips that are equal in them as
+    many are left out as were logged, the oldest load first.
+    """
+    key = [name for name in CANDIDATE_COLUMNS if name in log.columns]
+    times = log.groupBy(*[F.col(name).alias(f"_{name}") for name in key]).agg(F.count(F.lit(1)).alias("_times"))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("_dbt_loaded_at").asc_nulls_last()))
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in key]
+    left = fact.withColumn("_place", place).join(times, same, "left")
+    return left.filter(F.col("_times").isNull() | (F.col("_place") > F.col("_times"))).select(*fact.columns)
 
 
 def prompts(df: DataFrame, single: bool = False) -> DataFrame:
@@ -179,7 +186,8 @@ def score_rows(rows: DataFrame, scorer: Scorer, batch_size: int = BATCH_SIZE) ->
 
 
 def ai_flags(scored: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Scored rows in the shape of the stored log."""
+    """Scored rows in the shape of the stored log, and the other candidate columns, by which ``unscored`` knows a trip."""
+    others = [name for name in CANDIDATE_COLUMNS if name in scored.columns and name not in AI_FLAGS.fieldNames()]
     return (
         parse_replies(scored)
         .select(
@@ -190,8 +198,9 @@ def ai_flags(scored: DataFrame, as_of: AsOf = None) -> DataFrame:
             "is_anomaly",
             F.col("explanation").alias("ai_explanation"),
             clock(as_of).alias("_dbt_loaded_at"),
+            *others,
         )
-        .select(*AI_FLAGS.fieldNames())
+        .select(*AI_FLAGS.fieldNames(), *others)
     )
 
 

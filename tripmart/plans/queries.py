@@ -394,8 +394,8 @@ def ai_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables.append_ai_flags(scoring.ai_flags(scoring.score_batches(chosen, scoring.rule_scorer), as_of), path)
 
     run(fact.filter(F.col("_dbt_loaded_at") == F.lit(AS_OF).cast("timestamp_ntz")), AS_OF)
-    run(scoring.unscored(fact, spark.read.parquet(path)), SECOND_RUN)
-    return spark.read.parquet(path)
+    run(scoring.unscored(fact, tables.read_ai_flags(spark, path, beside=True)), SECOND_RUN)
+    return tables.read_ai_flags(spark, path)
 
 
 def _csv_trips(spark: SparkSession, sf_dir: str) -> str:

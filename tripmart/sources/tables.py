@@ -142,8 +142,16 @@ def export_parquet(df: DataFrame, folder: str, name: str, day: dt.date) -> str:
 
 
 def append_ai_flags(flags: DataFrame, path: str) -> None:
-    """Append-only log of scored rows."""
-    flags.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AI_FLAGS]).write.mode("append").parquet(path)
+    """Append-only log of scored rows; columns beyond the log's shape are stored beside it."""
+    shape = [F.col(f.name).cast(f.dataType).alias(f.name) for f in AI_FLAGS]
+    others = [name for name in flags.columns if name not in AI_FLAGS.fieldNames()]
+    flags.select(*shape, *others).write.mode("append").parquet(path)
+
+
+def read_ai_flags(spark: SparkSession, path: str, beside: bool = False) -> DataFrame:
+    """The log of scored rows; ``beside`` keeps the columns stored beside it."""
+    log = spark.read.option("mergeSchema", True).parquet(path)
+    return log if beside else log.select(*AI_FLAGS.fieldNames())
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
