@@ -1,5 +1,6 @@
 from tripmart.fixtures import AS_OF, raw_trips, raw_zones
 from tripmart.plans.builds import build_lakehouse, build_warehouse, check_build
+from tripmart.plans import queries
 from tripmart.schemas import LAKEHOUSE, WAREHOUSE
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,3 +20,12 @@ def test_lakehouse_build(spark, tmp_path):
     assert built["fct_trips"].columns == list(LAKEHOUSE.fact_columns)
     assert built["agg_hourly_demand"].count() > 0
     assert check_build(built, LAKEHOUSE).count() == 17
+
+
+def test_day_partitions_hold_the_whole_fact(spark):
+    fact = queries._fact(spark, SF_DIR, LAKEHOUSE).selectExpr("cast(pickup_date as date) as day", "payment_type")
+    rewritten = "day between '2022-01-10' and '2022-01-12'"
+    kept = {r.day: r["count"] for r in fact.groupBy("day").count().collect()}
+    kept |= {r.day: r["count"] for r in fact.filter(f"{rewritten} and payment_type = 1").groupBy("day").count().collect()}
+    stored = {r.pickup_day: r.trips for r in queries.all_queries()["day_partitions"](spark, SF_DIR).collect()}
+    assert stored == kept
