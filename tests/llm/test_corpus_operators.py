@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
 
 import corpus_pipeline
 from tests.llm.conftest import WORDS, edge_rows, sentence
@@ -60,6 +61,32 @@ def test_jaccard_join(spark, monkeypatch, block):
     assert found == plain_components(rows)
 
 
+def test_sketches_of_large_clusters_never_meet(spark, monkeypatch):
+    handed, apply = [], GroupedData.applyInPandas
+
+    def watched(self, *args):
+        handed.append(self._df.groupBy("cluster").count().agg(F.max("count")).first()[0])
+        return apply(self, *args)
+
+    monkeypatch.setattr(jaccard, "COMPARED", 10)
+    monkeypatch.setattr(GroupedData, "applyInPandas", watched)
+    met = spark.createDataFrame([(5, i) for i in range(5, 17)] + [(40, 40), (40, 41)], "cluster long, doc long")
+    bits = np.packbits(jaccard.sketch(np.arange(9, dtype=np.uint64))).tobytes()
+    reps = spark.createDataFrame(
+        [(i, 9, bits) for i in [*range(5, 17), 40, 41]], "doc long, n_shingles long, sketch binary"
+    )
+    found = sorted(tuple(r) for r in jaccard._narrowed(met, reps, jaccard.Rule(85)).collect())
+    assert found == [(5, i) for i in range(5, 17)] + [(40, 40), (40, 41)]
+    assert handed == [2]
+
+
+def test_links_of_clusters_that_stay_whole(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "COMPARED", 10)
+    rows = variants(1, 60, 0.02) + variants(2, 60, 0.05)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(r) for r in jaccard.linked_components(docs).collect()) == plain_components(rows)
+
+
 def test_jaccard_join_edge_cases(edge_docs, no_docs):
     rows = jaccard.linked_components(edge_docs).collect()
     assert len(rows) == len(edge_rows())
