@@ -230,6 +230,14 @@ def test_base_spans_equal_the_patterns():
     assert pii.masked(None) is None and pii.masked("") == ""
 
 
+@pytest.mark.parametrize("after", ["", " BIC: COBADEFFXXX", " I am", " 2024", " A1 B2 C3", " DE00 3704 0044 0532 0130 00"])
+def test_account_numbers_before_other_words(after):
+    number = "DE89 3704 0044 0532 0130 00"
+    assert pii.masked(f"IBAN {number}{after}") == f"IBAN <IBAN>{after}"
+    assert pii.masked(f"{number} {number}{after}") == f"<IBAN> <IBAN>{after}"
+    assert pii.masked(f"AB12 CDEF {number}{after}") == f"AB12 CDEF <IBAN>{after}"
+
+
 def test_spans_in_spark(edge_docs, no_docs):
     found = pii.with_spans(edge_docs, "found_").collect()
     for row in found:

@@ -84,6 +84,21 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers. A match may have swallowed words after the number, so its parts up to a blank are tried as well,
+    the longest first; a match has at most 30 of them."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, end = m.span()
+        at = start + 1
+        while len(account := text[start:end].replace(" ", "")) >= 15:
+            if mod97(account):
+                yield start, end
+                at = end
+                break
+            end = max(start, text.rfind(" ", start, end))
+
+
 def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
     """Spans that pass their validator."""
     if "@" in text:
@@ -101,9 +116,7 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
         for m in _PHONE.finditer(text):
             if 8 <= len(_digits(m[0])) <= 15:
                 yield "phone", *m.span()
-    for m in _IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield "iban", *m.span()
+    yield from (("iban", *span) for span in _ibans(text))
     for m in _IDENTITY.finditer(text):
         if m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000":
             yield "identity", *m.span()
