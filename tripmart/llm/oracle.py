@@ -62,6 +62,25 @@ select doc_id, size, source_size, target,
          ('0x' || substr(md5('mix-1:' || coalesce(doc_id::varchar, '')), 1, 13))::bigint / 4503599627370496.0::double
          < rate - floor(rate) then 1 else 0 end))::bigint as taken
 from sized left join rates on sized.source is not distinct from rates.source
+""",
+    "op11_lexical_search": r"""
+with cut as (
+  select item_id, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select null as item_id, doc_id, text from documents union all select item_id, null, text from benchmark)),
+asked as (select item_id, term, count(*) as repeats from cut where item_id is not null group by all),
+tf as (select doc_id, term, count(*) as tf from cut where doc_id is not null group by all),
+sizes as (select doc_id, sum(tf)::bigint as n from tf group by doc_id),
+whole as (select count(*) as many, sum(n)::bigint as words from sizes),
+weights as (
+  select term, floor(1000 * ln((2 * many + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from tf, whole group by term, many),
+scores as (
+  select item_id, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * many) // words))))::bigint as score
+  from asked join tf using (term) join weights using (term) join sizes using (doc_id), whole group by all)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0)
+where rank <= 20
 """,
 }
 

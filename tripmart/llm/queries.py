@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import ann, bpe, jaccard, language, mixing, pii, quality_rules, suffixes, tokenfile, toxicity
+from tripmart.llm import ann, bpe, jaccard, language, lexical, mixing, pii, quality_rules, suffixes, tokenfile, toxicity
 from tripmart.llm.common import crc32_bucket, documents
 from tripmart.session import shared_dir
 
@@ -118,3 +118,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_components(documents(spark, sf_dir))
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
