@@ -81,6 +81,18 @@ scores as (
 select item_id, rank::int as rank, doc_id, score
 from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0)
 where rank <= 20
+""",
+    "op12_exact_search": """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+  from whole q join whole c on q.vec_id % 20 = 0 and q.vec_id != c.vec_id)
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
+where rank <= 20
 """,
 }
 
