@@ -93,6 +93,39 @@ scores as (
 select query_id, rank::int as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
 where rank <= 20
+""",
+    "op13_collocations": r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+cut as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
+sizes as (select lang, sum(len(words))::bigint as n from cut group by lang),
+counts as (
+  select lang, words, count(*) as f
+  from (select lang, unnest(list_transform(range(1, len(words) - k + 2), lambda i: words[i:i + k - 1])) as words
+        from cut, range(1, 6) as lengths(k) where len(words) >= k)
+  group by all having count(*) >= 100),
+longer as (
+  select lang, unnest([words[1:len(words) - 1], words[2:]]) as words, f from counts where len(words) > 2),
+most as (select lang, words, max(f) as f from longer group by all),
+kept as (
+  select c.* from counts c left join most m using (lang, words) where len(words) > 1 and coalesce(m.f, 0) < c.f),
+cuts as (
+  select lang, words, f, unnest(range(1, len(words))) as k from kept),
+scored as (
+  select c.lang, c.words, c.f as a, k, l.f as l, r.f as r, n,
+         ((1000::hugeint * c.f * n) // (l.f::hugeint * r.f))::bigint as score
+  from cuts c join counts l on l.lang = c.lang and l.words = c.words[1:k]
+  join counts r on r.lang = c.lang and r.words = c.words[k + 1:] join sizes s on s.lang = c.lang),
+lowest as (
+  select * from scored qualify row_number() over (partition by lang, words order by score, k) = 1),
+ranked as (
+  select lang, array_to_string(words, ' ') as phrase, a, l, r, n, score,
+         row_number() over (partition by lang order by score desc, a desc, array_to_string(words, ' ')) as rank
+  from lowest)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
 """,
 }
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import ann, bpe, impacts, jaccard, language, lexical, mixing, pii, quality_rules, suffixes, tokenfile, toxicity
+from tripmart.llm import ann, bpe, collocations, impacts, jaccard, language, lexical, mixing, pii, quality_rules, suffixes, tokenfile, toxicity
 from tripmart.llm.common import crc32_bucket, documents
 from tripmart.session import shared_dir
 
@@ -128,3 +128,8 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impacts.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
