@@ -124,7 +124,7 @@ class Scorer:
 
     def scores(self, lengths: np.ndarray, text: np.ndarray, term: np.ndarray, times: np.ndarray) -> np.ndarray:
         """A row per text, a column per item."""
-        m = np.array([75 + 25 * n * self.documents // self.words for n in lengths.tolist()], dtype=np.int64)
+        m = np.array([75 + 25 * n * self.documents // max(1, self.words) for n in lengths.tolist()], dtype=np.int64)
         parts = self.weights[term] * (1_000_000_000 * times // (1000 * times + 12 * m[text]))
         many = self.bounds[term + 1] - self.bounds[term]
         starts = np.cumsum(many) - many
