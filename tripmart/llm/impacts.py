@@ -256,8 +256,8 @@ def nearest(
     spark = table.sparkSession
     rows = table.select(col(id_col).cast("long").alias("vec_id"), col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector"))).withColumn("vector", whole(F.col("vector"), scale))
-    rows = stored(rows, "impact-rows")
-    asked = rows.filter(is_query).distinct()
+    rows = stored(rows.distinct(), "impact-rows")
+    asked = rows.filter(is_query)
     many, queries = rows.count(), asked.count()
     tasks = spark.sparkContext.defaultParallelism
     shard_rows = min(SHARD_ROWS, max(LEAST_ROWS, math.ceil(many / (2 * tasks))))
