@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import WORDS, edge_rows, sentence
-from tripmart.llm import bpe, language, mixing, pii, quality_rules, rangecoder, tokenfile, toxicity
+from tripmart.llm import bpe, language, mixing, pii, quality_rules, rangecoder, shingles, tokenfile, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 BLANK = r"[^\x20\x09-\x0D]+"
@@ -44,6 +44,28 @@ def test_pieces_and_merges_equal_the_library(tokenizer):
     assert bpe.decode(broken, vocab) == tokenizer.decode(broken.tolist(), skip_special_tokens=False)
 
 
+def thue_morse(size):
+    """A string and its complement: equal under every polynomial hash modulo a power of two, from 1,024 letters on."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(size))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_equal_pieces_are_equal_bytes(tokenizer, size):
+    one, two = thue_morse(size)
+    vocab = bpe.vocabulary(PATH)
+    lexicon = bpe.Lexicon.of_buffer(bpe.Lexicon.compile([b"ab"], vocab).to_bytes())
+    encoder = tokenfile.PieceEncoder(PATH)
+    for blocks in ([[one, two]], [[one], [two]]):
+        for texts in blocks:
+            for flat, places in (encoder.encode(texts), bpe.encode_cut(bpe.cut(texts, vocab.special_text), vocab, lexicon)):
+                for text, a, b in zip(texts, places[:-1], places[1:], strict=True):
+                    assert flat[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    sentences = [f"we saw {word} there today" for word in (one, two)]
+    first, second = shingles.shingle_sets(sentences)
+    assert len(first) == len(second) == 2 and not set(first.tolist()) & set(second.tolist())
+
+
 def test_automaton_is_minimal_and_numbers_its_words():
     words = sorted({b"tap", b"taps", b"top", b"tops", b"a", b"stop", b"stops"})
     automaton = bpe.Automaton.build(words)
@@ -200,7 +222,7 @@ def plain_base(text):
     text, out = text or "", {}
     out["email"] = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     ips = re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
-    out["ip"] = [m.span() for m in ips if all(int(p) <= 255 for p in m[0].split("."))]
+    out["ip"] = [m.span() for m in ips if all(len(d := p.lstrip("0")) <= 3 and int(d or 0) <= 255 for p in m[0].split("."))]
 
     def luhn(digits):
         return sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(map(int, reversed(digits)))) % 10 == 0

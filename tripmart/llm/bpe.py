@@ -111,6 +111,8 @@ class Vocabulary:
         left, right = (np.array([ids[p[k]] for p in pairs], dtype=np.int64) for k in (0, 1))
         made = np.array([ids[a + b] for a, b in pairs], dtype=np.int32)
         ranks = np.arange(len(pairs), dtype=np.int32)
+        if len(self.offsets) > 1 << 20:
+            raise ValueError("pairs of ids are packed for vocabularies of at most 2^20 entries")
         self.merges = Table(left << 20 | right, np.stack([ranks, made], axis=1))
         self.byte_ids = np.array([ids[letter] for _, letter in sorted(byte_letters().items())], dtype=np.int32)
         self._pairs = dict(zip(zip(left.tolist(), right.tolist(), strict=True), zip(ranks.tolist(), made.tolist(), strict=True), strict=True))

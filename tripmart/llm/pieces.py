@@ -13,10 +13,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Bases of independent rolling hashes.
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 #: Powers of the base that are kept, as a power of two; more only for a longer batch.
 _LEAST_POWERS = 20
 
@@ -33,19 +34,20 @@ def _classes() -> np.ndarray:
     return table
 
 
-@lru_cache(maxsize=1)
-def _powers(size: int) -> np.ndarray:
-    return np.cumprod(np.full(size, _BASE, dtype=np.uint64))
+@lru_cache(maxsize=2)
+def _powers(size: int, kind: int) -> np.ndarray:
+    return np.cumprod(np.full(size, np.uint64(_BASES[kind]), dtype=np.uint64))
 
 
-@lru_cache(maxsize=1)
-def _inverse_powers(size: int) -> np.ndarray:
-    return np.cumprod(np.full(size, np.uint64(pow(int(_BASE), -1, 1 << 64)), dtype=np.uint64))
+@lru_cache(maxsize=2)
+def _inverse_powers(size: int, kind: int) -> np.ndarray:
+    return np.cumprod(np.full(size, np.uint64(pow(_BASES[kind], -1, 1 << 64)), dtype=np.uint64))
 
 
-@lru_cache(maxsize=1)
-def _byte_values() -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+@lru_cache(maxsize=2)
+def _byte_values(kind: int) -> np.ndarray:
+    random = np.random.Generator(np.random.PCG64(7 + kind))
+    return random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -56,13 +58,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Hashes of any slices of one byte array, from sums of a random value per byte times powers of an odd base."""
+    """Hashes of any slices of one byte array, from sums of a random value per byte times powers of an odd base.
+
+    For short slices, of some hundred bytes: modulo a power of two, long ones of a certain make (a Thue-Morse string of
+    1,024 bytes and its complement) have one hash whatever the base. ``kind`` gives independent hashes.
+    """
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, kind: int = 0):
         size = 1 << max(_LEAST_POWERS, int(len(data)).bit_length())
         self._sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_byte_values()[data] * _powers(size)[: len(data)], out=self._sums[1:])
-        self._inverse = _inverse_powers(size)
+        np.cumsum(_byte_values(kind)[data] * _powers(size, kind)[: len(data)], out=self._sums[1:])
+        self._inverse = _inverse_powers(size, kind)
 
     def windows(self, size: int) -> np.ndarray:
         """Hashes of all slices of ``size`` bytes."""
@@ -75,15 +81,25 @@ class Rolling:
         return mixed(difference + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def distinct_slices(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """``data`` cut at ``bounds``: the number of each slice's content, in order of appearance, and the distinct contents.
+
+    Contents are compared byte by byte.
+    """
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(bounds, dtype=np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
+
+
 @dataclass
 class Cut:
-    """Pieces of a batch: byte starts (with the end appended), the distinct ones, and where each document begins."""
+    """Pieces of a batch: byte starts (with the end appended), which are equal, and where each document begins."""
 
     data: np.ndarray
     starts: np.ndarray
     codes: np.ndarray
     first: np.ndarray
-    keys: np.ndarray
+    pieces: pa.Array
     doc_starts: np.ndarray
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
@@ -144,12 +160,11 @@ def cut(texts: list[str], special: str | None = None) -> Cut:
         starts = np.append(at, len(data))
     else:
         starts = np.append(np.flatnonzero((data & 0xC0) != 0x80)[at], len(data))
-    hashes = Rolling(data).hashes(starts[:-1], starts[1:])
-    order, keys = pd.factorize(hashes)
-    first = np.zeros(len(keys), dtype=np.int64)
+    order, pieces = distinct_slices(data, starts)
+    first = np.zeros(len(pieces), dtype=np.int64)
     first[order[::-1]] = np.arange(len(order) - 1, -1, -1)
     doc_starts = np.append(np.searchsorted(at, begins), len(at))
-    return Cut(data, starts, order, first, np.asarray(keys), doc_starts)
+    return Cut(data, starts, order, first, pieces, doc_starts)
 
 
 def ragged(flat: np.ndarray, offsets: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

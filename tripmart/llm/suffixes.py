@@ -305,11 +305,12 @@ def _last_pass(docs: DataFrame, open_: DataFrame, bins: int) -> DataFrame:
                     parts.append(np.arange(span["low"], span["high"], dtype=np.int64))
                     owner.append(np.full(len(parts[-1]), k))
             if parts:
+                other = Rolling(block.data, kind=1)
                 low, doc = np.concatenate(parts), np.concatenate(owner)
                 start = block.starts[doc] + low
                 records = np.zeros(len(low), dtype=_WINDOW)
                 records["one"] = block.rolling.hashes(start, start + DEPTH)
-                records["two"] = block.rolling.hashes(start, start + DEPTH // 2)
+                records["two"] = other.hashes(start, start + DEPTH)
                 records["doc"], records["low"] = doc + count, low
                 held.append(records)
             named.append(block.docs)

@@ -26,13 +26,13 @@ from tokenizers import Tokenizer
 from tripmart.llm.blocks import Blocks, arrow_rows, arrow_schema, map_blocks
 from tripmart.llm.bpe import BATCH_BYTES
 from tripmart.llm.common import col
-from tripmart.llm.pieces import Cut, cut, ragged
+from tripmart.llm.pieces import cut, ragged
 from tripmart.llm.rangecoder import BLOCK_IDS, GROUP, decode_blocks, encode_blocks
 from tripmart.sources.tables import stored
 
 END_ID = 2
 #: Distinct pieces whose ids a worker remembers; beyond, it forgets all and goes on.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 _SCHEMA = (
     "part int, block int, before long, first_doc long, docs array<long>, counts array<int>, n_ids int, payload binary"
 )
@@ -54,42 +54,31 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        # Keys in ascending order, and for each the row of its ids.
-        self._keys, self._rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+        self._rows: dict[bytes, int] = {}
         self._ids, self._bounds = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
-    def _learn(self, found: Cut, new: np.ndarray) -> None:
-        starts, ends = found.distinct()
-        raw = found.data.tobytes()
+    def _learn(self, new: list[bytes]) -> None:
         ids: list[int] = []
         sizes: list[int] = []
         for k in range(0, len(new), 4096):
-            some = new[k : k + 4096]
-            pieces = [raw[a:b].decode() for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)]
-            for encoding in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
+            some = [piece.decode() for piece in new[k : k + 4096]]
+            for encoding in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
                 got = encoding.ids
                 ids += got
                 sizes.append(len(got))
-        rows = np.arange(len(self._bounds) - 1, len(self._bounds) - 1 + len(new), dtype=np.int32)
+        self._rows.update(zip(new, range(len(self._rows), len(self._rows) + len(new)), strict=True))
         bounds = self._bounds[-1] + np.cumsum(sizes, dtype=np.int64)
         self._ids = np.concatenate([self._ids, np.array(ids, dtype=np.int32)])
         self._bounds = np.concatenate([self._bounds, bounds])
-        keys, rows = np.concatenate([self._keys, found.keys[new]]), np.concatenate([self._rows, rows])
-        order = np.argsort(keys, kind="stable")
-        self._keys, self._rows = keys[order], rows[order]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin."""
         found = cut(texts, self.special)
-        if len(self._keys) > REMEMBERED:
+        if len(self._rows) > REMEMBERED:
             self._forget()
-        for _ in range(2):
-            place = np.minimum(np.searchsorted(self._keys, found.keys), max(len(self._keys) - 1, 0))
-            new = np.flatnonzero(self._keys[place] != found.keys) if len(self._keys) else np.arange(len(found.keys))
-            if not len(new):
-                break
-            self._learn(found, new)
-        rows = self._rows[place] if len(self._keys) else np.zeros(0, dtype=np.int64)
+        pieces = found.pieces.to_pylist()
+        self._learn([piece for piece in pieces if piece not in self._rows])
+        rows = np.fromiter(map(self._rows.__getitem__, pieces), dtype=np.int64, count=len(pieces))
         flat, places = ragged(self._ids, self._bounds, rows[found.codes])
         return flat, places[found.doc_starts]
 
