@@ -320,9 +320,7 @@ _NUMBERED = f"""{_LOADED}, numbered as (select row_number() over (order by _dbt_
     from loaded)"""
 _LOGGED = f"""{_LOADED},
     one as (select row_number() over (order by {_ORDER}) as row_id, * from loaded where _dbt_loaded_at = {AS_OF}),
-    two as (select row_number() over (order by _dbt_loaded_at desc, {_ORDER}) as row_id, * from loaded l
-      where not exists (select 1 from one where one.pickup_ts is not distinct from l.pickup_ts
-        and one.pickup_borough is not distinct from l.pickup_borough))"""
+    two as (select row_number() over (order by {_ORDER}) as row_id, * from loaded where _dbt_loaded_at <> {AS_OF})"""
 
 _OVER = """cast(coalesce(fare_amount > 50, false) as int) + cast(coalesce(trip_distance > 25, false) as int)
     + cast(coalesce(trip_duration_mins > 85, false) as int)"""
@@ -475,10 +473,10 @@ def all_oracles() -> dict[str, str]:
         "read_table_by_name": _with("fact_w") + "select * from fact_w",
         "schema_overwrite": _with("fact_w", more=f"hourly as ({_hourly('fact_w')})")
         + "select *, (select count(*) from hourly) as rows_written from hourly",
-        "day_partitions": _with("fact_l") + """select cast(pickup_date as date) as pickup_day, count(*) as trips
-        from fact_l where pickup_ts >= timestamp '2022-01-01' and pickup_ts < timestamp '2022-03-01'
-        and (payment_type = 1 or pickup_date not between date '2022-01-10' and date '2022-01-12'
-          or (select count(*) from fact_l f where f.pickup_date = fact_l.pickup_date and f.payment_type = 1) = 0)
+        "day_partitions": _with("fact_w") + """select cast(pickup_date as date) as pickup_day, count(*) as trips
+        from fact_w where payment_type = 1 or pickup_date is null
+          or pickup_date not between date '2022-01-10' and date '2022-01-12'
+          or (select count(*) from fact_w f where f.pickup_date = fact_w.pickup_date and f.payment_type = 1) = 0
         group by 1""",
         "name_matched_load": _with("raw")
         + f"select {_TYPED} from (select * replace (cast(null as double) as cbd_congestion_fee) from raw)",

@@ -500,9 +500,9 @@ def schema_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def day_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole fact by day, a few days rewritten, and rows per stored day."""
+    """The whole fact by day, trips without a day included, a few days rewritten, and rows per stored day."""
     path = shared_dir(spark, "days") + "/fct_trips"
-    fact = _fact(spark, sf_dir, LAKEHOUSE)
+    fact = _fact(spark, sf_dir, WAREHOUSE)
     tables.write_fact_partitioned(fact, path, "day")
     tables.replace_periods(fact.filter("pickup_date between '2022-01-10' and '2022-01-12' and payment_type = 1"), path, "day")
     return tables.read_fact(spark, path, layout=True).groupBy("pickup_day").agg(F.count(F.lit(1)).alias("trips"))
