@@ -43,6 +43,25 @@ def test_all_rows_are_candidates_in_one_order(rows):
     assert s.candidates(fact, 1500).count() == 1500
 
 
+@pytest.mark.parametrize("most", [10_000, 10])
+def test_the_first_rows_are_those_of_the_whole_order(rows, monkeypatch, most):
+    monkeypatch.setattr(s, "MOST_TAKEN", most)
+    fact = rows(FACT, *[fact_row(1 + i % 3, i % 60, f"b{i}") for i in range(300)]).repartition(6)
+    whole = {r.row_id: r for r in s.candidates(fact).collect()}
+    assert {r.row_id: r for r in s.candidates(fact, 50).collect()} == {k: whole[k] for k in range(1, 51)}
+    assert s.row_k(fact, 37).collect() == [whole[37]] and s.row_k(fact, 301).count() == 0
+
+
+def test_a_bounded_choice_is_taken_in_order_without_a_write(rows, spark):
+    fact = rows(FACT, *[fact_row(1, i % 60, f"b{i}") for i in range(100)]).repartition(6)
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup())
+    for chosen in (s.candidates(fact, 20), s.row_k(fact, 20)):
+        plan = chosen._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" in plan and "Scan parquet" not in plan
+    assert len(jobs.getJobIdsForGroup()) == before
+
+
 def test_unscored_rows(rows):
     fact = rows(FACT, fact_row(1, 0), fact_row(1, 1), fact_row(2, 2, None))
     log = fact.filter("fare_amount != 11").select("pickup_ts", "pickup_borough")

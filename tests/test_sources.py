@@ -4,9 +4,10 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from tripmart.fixtures import damaged_copy
 from tripmart.schemas import TRIPS, ZONES
 from tripmart.session import shared_dir
-from tripmart.sources import months, readers, tables
+from tripmart.sources import footers, months, readers, tables
 
 
 @pytest.fixture
@@ -82,6 +83,35 @@ def test_tolerant_parquet_skips_a_corrupt_file(spark, tmp_path):
         readers.read_trips(spark, str(tmp_path / "in"), fmt="parquet").count()
 
 
+def test_damaged_files_keep_their_sound_row_groups(spark, tmp_path):
+    rows = spark.range(300).selectExpr("id as vendorid", "cast(id as double) as fare_amount").coalesce(1)
+    for name in ("a", "b", "c"):
+        rows.write.option("parquet.block.row.count.limit", 100).parquet(str(tmp_path / f"whole-{name}"))
+    folder = str(tmp_path / "in")
+    damaged_copy(spark, str(tmp_path / "whole-a"), f"{folder}/a", wrong=(60, 160))
+    damaged_copy(spark, str(tmp_path / "whole-b"), f"{folder}/b", keep=500)
+    damaged_copy(spark, str(tmp_path / "whole-c"), f"{folder}/c")
+    spark.createDataFrame([("7", 1.0)], "vendorid string, fare_amount double").write.parquet(f"{folder}/d")
+    loaded = readers.read_trips(spark, folder, tolerant=True)
+    assert sorted(r.vendorid for r in loaded.collect()) == sorted([*range(300), *range(100, 300), 7])
+    # The rows do not depend on the columns that a query takes.
+    assert loaded.count() == loaded.select("fare_amount").count() == 501
+    found = readers.unreadable_files(spark, folder).collect()
+    assert {(r.file.split("/")[-2], r.reason, r.rows_lost) for r in found} == {
+        ("a", footers.BAD_GROUPS, 100), ("b", footers.NO_FOOTER, None),
+    }
+    with pytest.raises(ValueError, match="readable footer"):
+        readers.read_trips(spark, folder)
+
+
+def test_files_of_stores_that_only_spark_reads(spark, tmp_path):
+    spark.range(10).write.parquet(str(tmp_path / "in"))
+    files = footers.listed(spark, str(tmp_path / "in")).drop("content")
+    content = spark.read.format("binaryFile").load(str(tmp_path / "in")).select(F.col("path").alias("file"), "content")
+    found = footers.catalogue(files.join(content, "file"), pages=True).collect()
+    assert sum(r.rows for r in found) == 10 and all(r.reason is None for r in found)
+
+
 def test_months():
     assert months.chosen_month("2024-01") == "2024-01"
     assert months.chosen_month() == months.DEFAULT_MONTH == "2025-03"

@@ -65,3 +65,24 @@ def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
             "service_zone"
         ),
     )
+
+
+def damaged_copy(spark: SparkSession, source: str, target: str, keep: int | None = None, wrong: tuple[int, int] | None = None) -> None:
+    """Copies the only Parquet file of a folder, cut off after ``keep`` bytes, or with some bytes overwritten.
+
+    The file systems' streams do it, so nothing is held in memory.
+    """
+    hadoop, copy = spark._jvm.org.apache.hadoop, spark._jvm.org.apache.commons.io.IOUtils.copyLarge
+    store = hadoop.fs.Path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    (found,) = [f for f in store.listStatus(hadoop.fs.Path(source)) if f.getPath().getName().endswith(".parquet")]
+    read, write = store.open(found.getPath()), store.create(hadoop.fs.Path(f"{target}/part.parquet"))
+    end = found.getLen() if keep is None else min(keep, found.getLen())
+    if wrong is None:
+        copy(read, write, 0, end)
+    else:
+        copy(read, write, 0, wrong[0])
+        write.write(bytearray(b"\xff" * (wrong[1] - wrong[0])))
+        read.seek(wrong[1])
+        copy(read, write, 0, end - wrong[1])
+    read.close()
+    write.close()

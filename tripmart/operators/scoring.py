@@ -36,6 +36,9 @@ SINGLE_QUESTION = (
     " Return JSON: {score:0-1, is_anomaly: true/false, explanation: '...'}"
 )
 
+# Rows that one task may choose and number.
+MOST_TAKEN = 10_000
+
 CANDIDATE_COLUMNS = (
     "pickup_ts", "dropoff_ts", "trip_duration_mins", "trip_distance", "passenger_count", "pickup_borough",
     "fare_amount",
@@ -50,8 +53,16 @@ def _newest_first() -> list[Column]:
 
 
 def candidates(fact: DataFrame, n: int | None = None) -> DataFrame:
-    """Rows to score, numbered from 1, newest load first: all of them, or the first ``n``."""
-    rows = numbered(fact, _newest_first()).select("row_id", *CANDIDATE_COLUMNS)
+    """Rows to score, numbered from 1, newest load first: all of them, or the first ``n``.
+
+    Up to ``MOST_TAKEN`` rows each task keeps its own first ``n`` and these meet; nothing is sorted whole or written. Only
+    more than that are numbered by ranges of the order.
+    """
+    order = _newest_first()
+    if n is not None and n <= MOST_TAKEN:
+        number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+        return fact.orderBy(*order).limit(n).withColumn("row_id", number).select("row_id", *CANDIDATE_COLUMNS)
+    rows = numbered(fact, order).select("row_id", *CANDIDATE_COLUMNS)
     return rows if n is None else rows.filter(F.col("row_id") <= n)
 
 
@@ -59,7 +70,7 @@ def row_k(fact: DataFrame, k: int) -> DataFrame:
     """The row that ``candidates`` numbers ``k``; no row if the fact is shorter."""
     if k < 1:
         raise ValueError("rows are numbered from 1")
-    return candidates(fact).filter(F.col("row_id") == k)
+    return candidates(fact, k).filter(F.col("row_id") == k)
 
 
 def unscored(fact: DataFrame, log: DataFrame) -> DataFrame:

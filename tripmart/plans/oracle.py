@@ -443,6 +443,8 @@ def all_oracles() -> dict[str, str]:
         select month, month in (select strftime(l_shipdate, '%Y-%m') from lineitem) as present
         from (select distinct {_MONTH} as month from orders))""",
         "score_candidates": candidates + f"select row_id, {_prompt(BATCH_QUESTION)} as prompt from numbered",
+        "score_newest": candidates
+        + f"select row_id, {_prompt(BATCH_QUESTION)} as prompt from numbered where row_id <= 1000",
         "score_row_k": candidates
         + f"""select row_id, {_prompt(SINGLE_QUESTION)} as prompt, {_r("0.3e0 * n_over", 1)} as score,
         n_over > 0 as is_anomaly, {_OVER_TEXT} as explanation, false as failed
@@ -469,6 +471,14 @@ def all_oracles() -> dict[str, str]:
         "rejected_parquet_rows": _with("raw")
         + f"""select {_TYPED} from (select * replace (cast(null as bigint) as passenger_count) from raw
         where vendorid = 2 and pulocationid % 5 = 0)""",
+        "damaged_parquet_load": _with("raw")
+        + f"""select {_TYPED} from raw where vendorid = 1 or payment_type in (1, 3)
+        union all select {_TYPED.replace("* replace", "* exclude (place) replace")} from (
+          select *, row_number() over (order by total_amount, tip_amount,
+            try_cast(tpep_pickup_datetime as timestamp) nulls first, pulocationid, dolocationid, trip_distance) as place
+          from raw where payment_type = 7) where place > 50""",
+        "damaged_parquet_files": """select '2024-03' as delivery, 'no readable footer' as reason, null::bigint as rows_lost
+        union all select '2024-04', 'damaged row groups', least(50, count(*)) from lineitem where l_linenumber = 7""",
         "zones_csv": _with("dim") + "select * from dim",
         "read_table_by_name": _with("fact_w") + "select * from fact_w",
         "schema_overwrite": _with("fact_w", more=f"hourly as ({_hourly('fact_w')})")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.fixtures import AS_OF, raw_trips, raw_zones, trips_from_lineitem
+from tripmart.fixtures import AS_OF, damaged_copy, raw_trips, raw_zones, trips_from_lineitem
 from tripmart.functions.numeric import round_half_up
 from tripmart.operators import anomaly, incremental, marts, quality, scoring, snapshot, staging
 from tripmart.operators.replies import parse_replies
@@ -327,6 +327,12 @@ def score_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.prompts(scoring.candidates(_two_loads(spark, sf_dir))).select("row_id", "prompt")
 
 
+@query
+def score_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thousand rows of the newest load that a run with a budget would score."""
+    return scoring.prompts(scoring.candidates(_two_loads(spark, sf_dir), 1000)).select("row_id", "prompt")
+
+
 @query
 def score_row_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stored row end to end: its number, its prompt, and what the scorer says."""
@@ -470,6 +476,42 @@ def rejected_parquet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.rejected_rows(spark, _drifting_trips(spark, sf_dir, _ODD_PASSENGERS), TRIPS).drop(readers.REJECTED)
 
 
+# Rows of a row group of the damaged delivery; the bytes overwritten lie within its first one.
+GROUP_ROWS, WRONG_BYTES = 50, (200, 600)
+
+
+def _damaged_trips(spark: SparkSession, sf_dir: str) -> str:
+    """Deliveries in one folder: a plain one, one whose types drifted, one cut off, one with a damaged page."""
+    made = shared_dir(spark, "damage")
+    folder = f"{made}/raw"
+    trips = raw_trips(spark, sf_dir).withColumns(
+        {name: F.col(name).try_cast("timestamp_ntz") for name in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
+    )
+    trips.filter("vendorid = 1").write.parquet(f"{folder}/2024-01")
+    drifted = trips.filter("payment_type in (1, 3)").withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    drifted.write.parquet(f"{folder}/2024-02")
+    trips.filter("payment_type = 5").coalesce(1).write.parquet(f"{made}/whole-03")
+    damaged_copy(spark, f"{made}/whole-03", f"{folder}/2024-03", keep=4000)
+    order = ["total_amount", "tip_amount", F.asc_nulls_first("tpep_pickup_datetime"), "pulocationid", "dolocationid", "trip_distance"]
+    last = trips.filter("payment_type = 7").coalesce(1).sortWithinPartitions(*order)
+    last.write.option("parquet.block.row.count.limit", GROUP_ROWS).parquet(f"{made}/whole-04")
+    damaged_copy(spark, f"{made}/whole-04", f"{folder}/2024-04", wrong=WRONG_BYTES)
+    return folder
+
+
+@query
+def damaged_parquet_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sound rows of deliveries that drift, break off, or hold a damaged page."""
+    return readers.read_trips(spark, _damaged_trips(spark, sf_dir), tolerant=True)
+
+
+@query
+def damaged_parquet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What that load leaves out: delivery, reason, and rows lost where a footer tells."""
+    found = readers.unreadable_files(spark, _damaged_trips(spark, sf_dir))
+    return found.select(F.regexp_extract("file", "/(20[0-9-]+)/", 1).alias("delivery"), "reason", "rows_lost")
+
+
 @query
 def zones_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "zones") + "/taxi_zone_lookup.csv"

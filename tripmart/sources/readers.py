@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.schemas import TRIPS, ZONES
+from tripmart.sources import footers
 
 REJECTED = "_rejected_record"
+# Conditions under which files have different schemas, or a footer cannot be read: the catalogue tells which.
+_DRIFT = ("CANNOT_MERGE_SCHEMAS", "AMBIGUOUS_REFERENCE", "COLUMN_ALREADY_EXISTS", "CANNOT_READ_FILE_FOOTER")
 
 
 def match_columns(df: DataFrame, contract: T.StructType, extras: bool = False, strict: bool = True) -> DataFrame:
@@ -148,46 +152,26 @@ def read_csv(spark: SparkSession, path: str | list[str], contract: T.StructType,
 def _parquet_groups(spark: SparkSession, files: list[str], tolerant: bool) -> list[DataFrame]:
     """Parquet files, together if their schemas merge, else by schema, each group under its own.
 
-    Merging is one distributed pass over the footers. Only if types drifted between files is each footer looked at
-    from the driver, several at a time.
+    Merging is one distributed pass over the footers. If types drifted between files, or any file may be damaged, executors
+    make a catalogue of the files.
     """
-    try:
-        merged = spark.read.option("mergeSchema", True).parquet(*files)
-        merged.select(*[F.col(f"`{name}`") for name in merged.columns])
-        return [merged]
-    except Exception:  # noqa: BLE001 - Spark has no one class for schemas that do not merge
-        pass
-
-    def schema(file: str) -> str | None:
+    if not tolerant:
         try:
-            return spark.read.parquet(file).schema.json()
-        except Exception:  # noqa: BLE001
-            if tolerant:
-                return None
-            raise
+            merged = spark.read.option("mergeSchema", True).parquet(*files)
+            merged.select(*[F.col(f"`{name}`") for name in merged.columns])
+            return [merged]
+        except (PySparkException, Py4JJavaError) as error:
+            if not any(condition in str(error) for condition in _DRIFT):
+                raise
+    found = footers.catalogue(footers.listed(spark, files), pages=tolerant)
+    if not tolerant and (bad := footers.report(found).limit(3).collect()):
+        raise ValueError(f"files without a readable footer, such as {[row['file'] for row in bad]}")
+    return footers.frames(spark, found)
 
-    with ThreadPoolExecutor(16) as pool:
-        schemas = list(pool.map(schema, files))
-    groups: dict[str, list[str]] = {}
-    for file, text in zip(files, schemas, strict=True):
-        if text is not None:
-            groups.setdefault(text, []).append(file)
-    return [spark.read.parquet(*group) for group in groups.values()]
 
-
-def unreadable_files(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Parquet files without a readable footer, which a tolerant load leaves out."""
-
-    def fails(file: str) -> bool:
-        try:
-            spark.read.parquet(file)
-        except Exception:  # noqa: BLE001
-            return True
-        return False
-
-    files = _parquet_files(_found_files(spark, [path] if isinstance(path, str) else list(path)))
-    with ThreadPoolExecutor(16) as pool:
-        return [file for file, failed in zip(files, pool.map(fails, files), strict=True) if failed]
+def unreadable_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """file, reason and rows_lost of what a tolerant load leaves out of the Parquet files below ``path``."""
+    return footers.report(footers.catalogue(footers.named_parquet(footers.listed(spark, path)), pages=True))
 
 
 def _parquet_files(files: list[str]) -> list[str]:
@@ -235,8 +219,8 @@ def read_trips(
 
     Without ``fmt`` each file's name tells Parquet from CSV. A column may have different types in different files;
     values are cast to the contract, and one that does not fit raises, or with ``tolerant`` its row is left out (see
-    ``rejected_rows``; files that cannot be read at all are named by ``unreadable_files``). ``evolve`` keeps unknown
-    columns.
+    ``rejected_rows``). What cannot be read of a damaged Parquet file, a tolerant load leaves out as well, by row groups,
+    and ``unreadable_files`` names it; for that every page is read before the load. ``evolve`` keeps unknown columns.
     """
     frames = _raw_frames(spark, path, fmt, tolerant, permissive=tolerant)
     return _together([_accepted(raw, TRIPS, tolerant, evolve) for raw in frames], spark, TRIPS)
