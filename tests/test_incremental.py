@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from tripmart.operators import incremental as inc
-from tripmart.sources.tables import LAYOUT_COLUMNS, read_fact, write_fact_partitioned
+from tripmart.sources.tables import LAYOUT_COLUMNS, append_rows, read_fact, write_fact_partitioned, write_table
 
 T0, T1, T2 = (dt.datetime(2024, 1, day, 8) for day in (1, 2, 3))
 SCHEMA = "pickup_ts timestamp_ntz, pulocationid long, dolocationid long, fare_amount double, tip double"
@@ -120,3 +120,38 @@ def test_the_mark_reaches_the_raw_scan(rows, spark, tmp_path):
     assert "GreaterThan(tpep_pickup_datetime" in plan.split("PushedFilters")[1].split("ReadSchema")[0]
     text = rows("tpep_pickup_datetime string", ("2024-01-01",))
     assert inc.raw_after(text, T1) is text
+
+
+@pytest.mark.parametrize("grain", [None, "day"])
+def test_columns_follow_the_last_append(rows, spark, tmp_path, grain):
+    path = str(tmp_path / "fact")
+    base = "pickup_ts timestamp_ntz, pickup_date timestamp_ntz, pickup_borough string, payment_type long"
+    first, second = (T0, T0.replace(hour=0), "A", 1), (T1, T1.replace(hour=0), "A", 1)
+    assert append_rows(rows(f"{base}, gone string", (*first, "old")), path, grain) == 1
+    assert append_rows(rows(f"fresh double, {base}", (5.0, *second)), path, grain) == 1
+    found = read_fact(spark, path)
+    assert found.columns[0] == "fresh" and "gone" not in found.columns
+    assert {(r.pickup_ts, r.fresh) for r in found.collect()} == {(T0, None), (T1, 5.0)}
+    # A column that comes back does not bring back what it held before it left.
+    append_rows(rows(f"{base}, gone string, fresh double", (T2, T2.replace(hour=0), "A", 1, "new", 6.0)), path, grain)
+    assert {(r.pickup_ts, r.gone) for r in read_fact(spark, path).collect()} == {(T0, None), (T1, None), (T2, "new")}
+    with pytest.raises(ValueError, match="fresh was double"):
+        append_rows(rows(f"{base}, fresh string", (*second, "x")), path, grain)
+    if grain:
+        inc.merge_periods(path, rows(f"{base}, gone string, fresh double", (*second, "merged", 7.0)), ("pickup_ts",))
+        assert {(r.pickup_ts, r.gone, r.fresh) for r in read_fact(spark, path).collect()} == {
+            (T0, None, None), (T1, "merged", 7.0), (T2, "new", 6.0),
+        }
+        pruned = read_fact(spark, path, layout=True).filter("pickup_day = date'2024-01-02'")
+        assert "PartitionFilters: [isnotnull(pickup_day" in pruned._jdf.queryExecution().executedPlan().toString()
+        write_fact_partitioned(rows(f"{base}, other long", (*first, 3)), path)
+    else:
+        write_table(rows(f"{base}, other long", (*first, 3)), path)
+    assert read_fact(spark, path).columns[-1] == "other"
+
+
+def test_a_table_without_contract_gets_one(rows, spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows("pickup_ts timestamp_ntz, a long", (T0, 1)).write.parquet(path)
+    append_rows(rows("pickup_ts timestamp_ntz, b long", (T1, 2)), path)
+    assert {tuple(r) for r in read_fact(spark, path).collect()} == {(T0, None), (T1, 2)}

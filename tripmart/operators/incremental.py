@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +15,7 @@ from tripmart.schemas import FACT_KEY, Profile
 from tripmart.sources.tables import (
     GRAINS,
     LAYOUT_COLUMNS,
-    append_fact_partitioned,
-    append_table,
+    append_rows,
     exists,
     period,
     read_fact,
@@ -123,16 +122,20 @@ def append_new(
     profile: Profile,
     as_of: AsOf = None,
     grain: str | None = None,
+    extend: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """The production load: admitted rows are strictly newer than every stored row, so an append is the upsert.
 
-    ``grain`` partitions the table by pickup time. Returns the number of rows added. A first run, without a target, must
+    ``extend`` changes the columns that a run stores. ``grain`` partitions the table by pickup time. The table's columns follow the run: earlier rows are null in a new
+    column, and a column that the run lacks is gone (``sources.tables.sync_contract``). Returns the number of rows added. A first run, without a target, must
     not find a table at ``path``: it would append everything once more.
     """
     if target is None and exists(staged.sparkSession, path):
         raise ValueError(f"{path} is there already; give it as the target")
     rows = incremental_fact(target, staged, zones, profile, as_of)
-    return append_fact_partitioned(rows, path, grain) if grain else append_table(rows, path)
+    if extend is not None:
+        rows = extend(rows)
+    return append_rows(rows, path, grain)
 
 
 def merge_periods(path: str, batch: DataFrame, keys: Sequence[str] = FACT_KEY, grain: str = "day") -> None:

@@ -381,6 +381,8 @@ def all_oracles() -> dict[str, str]:
         + f"""select *, {AS_OF} as _processed_at from early union all
         select *, {AS_OF} as _processed_at from fact_w where pickup_ts > (select max(pickup_ts) from early)"""
     )
+    evolved = _with("fact_w", more=f"grown as ({_two_runs('fact_w')})") + f"""select * exclude (ratecodeid),
+        case when _processed_at = {SECOND_RUN} then fare_amount / trip_distance end as fare_per_mile from grown"""
     features = "pickup_ts, fare_amount, trip_distance, trip_duration_mins, passenger_count, pickup_borough"
     return {
         "stage_trips_w": _with("stg_w") + "select * from stg_w",
@@ -415,6 +417,8 @@ def all_oracles() -> dict[str, str]:
         "schema_sync": _with("fact_w")
         + f"""select vendorid, {_KEY}, cast(null as double) as tip_pct, cast(null as varchar) as payment_type_desc
         from fact_w""",
+        "evolving_fact": evolved,
+        "evolving_fact_by_month": evolved,
         "zone_snapshot": _with("dim", more=_SNAPSHOT),
         "snapshot_roundtrip": _with("dim", more=_SNAPSHOT),
         "grown_fact_l": _with("fact_l") + _two_runs("fact_l").replace(SECOND_RUN, AS_OF),

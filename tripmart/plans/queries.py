@@ -206,6 +206,29 @@ def schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.sync_schema(old, like)
 
 
+def _evolved(spark: SparkSession, sf_dir: str, grain: str | None) -> DataFrame:
+    """The incremental fact over two runs, of which the second brings one new column and lacks one of the first."""
+    staged, zones = _staged(spark, sf_dir, WAREHOUSE), _zones(spark, sf_dir)
+    path = shared_dir(spark, "evolved") + "/fct_trips_incremental"
+    incremental.append_new(path, None, _first_delivery(staged), zones, WAREHOUSE, AS_OF, grain)
+
+    def changed(rows: DataFrame) -> DataFrame:
+        return rows.drop("store_and_fwd_flag", "ratecodeid").withColumn("fare_per_mile", F.col("fare_amount") / F.col("trip_distance"))
+
+    incremental.append_new(path, tables.read_fact(spark, path), staged, zones, WAREHOUSE, SECOND_RUN, grain, changed)
+    return tables.read_fact(spark, path)
+
+
+@query
+def evolving_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _evolved(spark, sf_dir, None)
+
+
+@query
+def evolving_fact_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _evolved(spark, sf_dir, "month")
+
+
 def _two_looks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     zones, key = _zones(spark, sf_dir), F.col("location_id")
     earlier = zones.filter(key % 7 != 3).select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ LAYERS = {"raw": "RAW", "staging": "STAGING", "marts": "MARTS", "ai": "MARTS", "
 
 # Layout column and truncation unit of each partition grain; the column exists in the stored folders only.
 GRAINS = {"day": ("pickup_day", "DD"), "month": ("pickup_month", "MM")}
+MAX_ROWS_PER_FILE = 20_000_000
 LAYOUT_COLUMNS = [column for column, _ in GRAINS.values()]
 
 
@@ -31,6 +33,64 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def _contract_path(path: str) -> str:
+    return path.rstrip("/") + ".contract"
+
+
+_CONTRACT = "version int, position int, name string, stored_as string, field string"
+
+
+def _versions(spark: SparkSession, path: str) -> list:
+    """All versions of a table's contract, a row per column; none for a table without one."""
+    where = _contract_path(path)
+    if not exists(spark, where):
+        return []
+    return spark.read.schema(_CONTRACT).parquet(where).orderBy("version", "position").collect()
+
+
+def contract(spark: SparkSession, path: str) -> dict[str, tuple[str, T.DataType]] | None:
+    """The columns of a growing table: name -> (name in the files, type). None if the table was always written whole."""
+    rows = _versions(spark, path)
+    last = max((row["version"] for row in rows), default=None)
+    if last is None:
+        return None
+    return {r["name"]: (r["stored_as"], T.StructField.fromJson(json.loads(r["field"])).dataType) for r in rows if r["version"] == last}
+
+
+def sync_contract(spark: SparkSession, path: str, schema: T.StructType) -> dict[str, tuple[str, T.DataType]]:
+    """Brings the contract of the table at ``path`` to ``schema``: added columns join, vanished ones leave.
+
+    Values of a column that left stay in old files but are reached no more: should it come back, it gets another name
+    there. A changed type is an error, for old files could not be read by it.
+    """
+    rows = _versions(spark, path)
+    version = max((row["version"] for row in rows), default=0)
+    now = contract(spark, path) or {}
+    if not rows and exists(spark, path):
+        grown = spark.read.option("mergeSchema", True).parquet(path).drop(*LAYOUT_COLUMNS).schema
+        now = {f.name: (f.name, f.dataType) for f in grown}
+    used = {row["stored_as"] for row in rows} | {stored for stored, _ in now.values()}
+    synced = {}
+    for field in schema:
+        if field.name in now:
+            if now[field.name][1] != field.dataType:
+                raise ValueError(f"column {field.name} was {now[field.name][1].simpleString()}, is {field.dataType.simpleString()}")
+            synced[field.name] = now[field.name]
+        else:
+            synced[field.name] = (f"{field.name}__{version + 1}" if field.name in used else field.name, field.dataType)
+    if synced != now or not rows:
+        made = [
+            (version + 1, k, name, stored, T.StructField(stored, kind).json())
+            for k, (name, (stored, kind)) in enumerate(synced.items())
+        ]
+        spark.createDataFrame(made, _CONTRACT).coalesce(1).write.mode("append").parquet(_contract_path(path))
+    return synced
+
+
+def _by_contract(df: DataFrame, columns: dict[str, tuple[str, T.DataType]]) -> DataFrame:
+    return df.select(*[F.col(f"`{name}`").alias(stored) for name, (stored, _) in columns.items()])
+
+
 def stamp(df: DataFrame, column: str = "_loaded_at", as_of: AsOf = None) -> DataFrame:
     return df.withColumn(column, clock(as_of))
 
@@ -52,6 +112,7 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str) -> int:
     """Full rebuild, taking over the new schema. ``df`` must not read from ``path`` itself."""
+    remove(df.sparkSession, _contract_path(path))
     counted, seen = _counted(df)
     counted.write.mode("overwrite").parquet(path)
     return seen.get["rows"]
@@ -98,40 +159,59 @@ def _gathered(fact: DataFrame, grain: str) -> DataFrame:
     )
 
 
-def _write_gathered(fact: DataFrame, path: str, grain: str, mode: str, **options: str | int) -> int:
+def _write_gathered(
+    fact: DataFrame, path: str, grain: str, mode: str, columns: dict[str, tuple[str, T.DataType]] | None = None,
+    **options: str | int,
+) -> int:
     counted, seen = _counted(fact)
-    writer = _gathered(counted, grain).write.mode(mode).options(**options)
+    rows = _gathered(counted, grain)
+    if columns:
+        rows = _by_contract(rows, columns | {GRAINS[grain][0]: (GRAINS[grain][0], T.DateType())})
+    writer = rows.write.mode(mode).options(**options)
     writer.partitionBy(GRAINS[grain][0]).parquet(path)
     return seen.get["rows"]
 
 
-def write_fact_partitioned(fact: DataFrame, path: str, grain: str = "day", max_rows_per_file: int = 20_000_000) -> int:
+def write_fact_partitioned(fact: DataFrame, path: str, grain: str = "day", max_rows_per_file: int = MAX_ROWS_PER_FILE) -> int:
     """Full rebuild of a fact, partitioned by day and clustered by borough and payment type.
 
     A coarser ``grain`` suits a history whose days are smaller than one good file.
     """
+    remove(fact.sparkSession, _contract_path(path))
     return _write_gathered(fact, path, grain, "overwrite", maxRecordsPerFile=max_rows_per_file)
 
 
-def append_fact_partitioned(
-    fact: DataFrame, path: str, grain: str = "day", max_rows_per_file: int = 20_000_000
-) -> int:
-    return _write_gathered(fact, path, grain, "append", maxRecordsPerFile=max_rows_per_file)
+def append_rows(df: DataFrame, path: str, grain: str | None = None) -> int:
+    """Appends to a growing table, flat or partitioned, whose columns follow the batch: see ``sync_contract``."""
+    columns = sync_contract(df.sparkSession, path, df.schema)
+    if grain is None:
+        return append_table(_by_contract(df, columns), path)
+    return _write_gathered(df, path, grain, "append", columns, maxRecordsPerFile=MAX_ROWS_PER_FILE)
 
 
 def replace_periods(
-    fact: DataFrame, path: str, grain: str = "day", max_rows_per_file: int = 20_000_000
+    fact: DataFrame, path: str, grain: str = "day", max_rows_per_file: int = MAX_ROWS_PER_FILE
 ) -> None:
     """Replaces exactly the periods present in ``fact``; others are neither read nor rewritten."""
+    kept = contract(fact.sparkSession, path) and sync_contract(fact.sparkSession, path, fact.schema)
     _write_gathered(
-        fact, path, grain, "overwrite", partitionOverwriteMode="dynamic", maxRecordsPerFile=max_rows_per_file
+        fact, path, grain, "overwrite", kept, partitionOverwriteMode="dynamic", maxRecordsPerFile=max_rows_per_file
     )
 
 
 def read_fact(spark: SparkSession, path: str, layout: bool = False) -> DataFrame:
-    """A partitioned fact; ``layout`` keeps the layout column, for filters that prune whole partitions."""
-    fact = spark.read.parquet(path)
-    return fact if layout else fact.drop(*LAYOUT_COLUMNS)
+    """A stored fact; ``layout`` keeps the layout column, for filters that prune whole partitions.
+
+    A growing one is read by its contract, which also spares a look at footers: columns that a file lacks are null.
+    """
+    columns = contract(spark, path)
+    if not columns:
+        fact = spark.read.parquet(path)
+        return fact if layout else fact.drop(*LAYOUT_COLUMNS)
+    files = T.StructType([T.StructField(stored, kind) for stored, kind in columns.values()])
+    fact = spark.read.schema(files).parquet(path)
+    named = [F.col(f"`{stored}`").alias(name) for name, (stored, _) in columns.items()]
+    return fact.select(*named, *[c for c in LAYOUT_COLUMNS if layout and c in fact.columns])
 
 
 def export_parquet(df: DataFrame, folder: str, name: str, day: dt.date) -> str:
