@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tripmart.functions.text import printed_double, strip
 from tripmart.operators import scoring as s
 from tripmart.plans import queries
+from tripmart.sources import tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -68,6 +69,31 @@ def test_unscored_rows(rows):
     assert [r.fare_amount for r in s.unscored(fact, log).collect()] == [11.0]
 
 
+def test_runs_log_every_row_once(rows, spark, tmp_path):
+    path = str(tmp_path / "log")
+    blank = [(dt.datetime(2024, 1, 1 + i % 3), None, None, None, 1.0, 1, "A", 5.0, 1, 2) for i in range(12)]
+    fact = rows(FACT, *blank, *[fact_row(1 + i % 3, i, f"b{i}") for i in range(20)])
+    s.score_run(fact.filter("_dbt_loaded_at < '2024-01-02'"), path, s.rule_scorer, "one", "2024-02-01")
+    s.score_run(fact.filter("_dbt_loaded_at < '2024-01-03' and fare_amount < 20"), path, s.rule_scorer, "two", "2024-02-02")
+    before = tables.read_ai_flags(spark, path).count()
+    for run in ("two", "two", "three"):
+        s.score_run(fact, path, s.rule_scorer, run, "2024-02-03")
+    log = tables.read_ai_flags(spark, path, beside=True)
+    assert before < log.count() == fact.count() and log.filter("run_id = 'three'").count() == 0
+    prints = fact.select(s.row_print().alias("row_print"))
+    assert sorted(log.select("row_print").collect()) == sorted(prints.collect())
+
+
+def test_a_run_reads_only_its_months_of_the_log(rows, spark, tmp_path):
+    path = str(tmp_path / "log")
+    late = fact_row(1, 3)[:1] + (dt.datetime(2024, 5, 1),) + fact_row(1, 3)[2:]
+    s.score_run(rows(FACT, fact_row(1, 0), late), path, s.rule_scorer, "one", "2024-02-01")
+    found = s.log_of_others(rows(FACT, fact_row(2, 7)), path, "two")
+    assert found.count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "pickup_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_trips_that_share_time_and_borough_are_told_apart(rows):
     fact = rows(FACT, fact_row(1, 0), fact_row(2, 0)[:7] + (99.0, 1, 2), fact_row(1, 1), fact_row(2, 1), fact_row(2, 1),
                 *[(dt.datetime(2024, 1, 1 + i % 2), None, None, None, 1.0, 1, "A", float(i), 1, 2) for i in range(8)])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import Iterator
 
 import pandas as pd
@@ -16,6 +16,7 @@ from tripmart.functions.timestamps import AsOf, clock
 from tripmart.operators.numbering import numbered
 from tripmart.operators.replies import parse_replies
 from tripmart.schemas import AI_FLAGS
+from tripmart.sources.tables import append_ai_flags, exists, pickup_month, read_ai_flags
 
 # A scorer takes the text of one request and returns the body of the response.
 Scorer = Callable[[str], str]
@@ -73,18 +74,52 @@ def row_k(fact: DataFrame, k: int) -> DataFrame:
     return candidates(fact, k).filter(F.col("row_id") == k)
 
 
+def row_print(columns: Sequence[str] = CANDIDATE_COLUMNS) -> Column:
+    """128 bits that stand for a trip in these columns, nulls included."""
+    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+
+
 def unscored(fact: DataFrame, log: DataFrame) -> DataFrame:
     """Fact rows that the log of scored rows does not have; each logged row stands for one of the fact.
 
-    Trips are told apart by the candidate columns that the log keeps, nulls included. Of trips that are equal in them as
-    many are left out as were logged, the oldest load first.
+    Trips are told apart by the print stored in the log, or the candidate columns that it keeps. Of trips with one print as
+    many are left out as were logged, the oldest load first. Both sides are counted per print; single rows are numbered only
+    in a load of which a part was logged.
+    """
+    key = CANDIDATE_COLUMNS if "row_print" in log.columns else [name for name in CANDIDATE_COLUMNS if name in log.columns]
+    logged = log.select("row_print") if "row_print" in log.columns else log.select(row_print(key).alias("row_print"))
+    have = logged.groupBy(F.col("row_print").alias("_print")).agg(F.count(F.lit(1)).alias("_have"))
+    marked = fact.withColumn("_print", row_print(key))
+    loads = marked.groupBy("_print", F.col("_dbt_loaded_at").alias("_load")).agg(F.count(F.lit(1)).alias("_rows"))
+    older = Window.partitionBy("_print").orderBy(F.col("_load").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    before = loads.withColumn("_before", F.coalesce(F.sum("_rows").over(older), F.lit(0))).join(have, "_print", "left")
+    out = F.greatest(F.coalesce("_have", F.lit(0)) - F.col("_before"), F.lit(0))
+    still = before.withColumn("_out", out).filter("_out < _rows").withColumnRenamed("_print", "_open")
+    same = (F.col("_print") == F.col("_open")) & F.col("_dbt_loaded_at").eqNullSafe(F.col("_load"))
+    left = marked.join(still.select("_open", "_load", "_out"), same)
+    place = F.row_number().over(Window.partitionBy("_print", "_load").orderBy("_out"))
+    part = left.filter("_out > 0").withColumn("_place", place).filter("_place > _out")
+    return left.filter("_out = 0").select(*fact.columns).union(part.select(*fact.columns))
+
+
+def log_of_others(fact: DataFrame, path: str, run: str) -> DataFrame:
+    """What other runs have logged of the months that ``fact`` holds; other months of the log are not read."""
+    months = fact.select(pickup_month().alias("month"))
+    first, last = months.agg(F.min("month")).scalar(), months.agg(F.max("month")).scalar()
+    no_month = months.agg(F.count_if(F.col("month").isNull()) > 0).scalar()
+    log = read_ai_flags(fact.sparkSession, path, beside=True).filter(F.col("run_id") != run)
+    month = F.col("pickup_month").cast("string")
+    return log.filter(((month >= first) & (month <= last)) | (month.isNull() & no_month))
+
+
+def score_run(fact: DataFrame, path: str, scorer: Scorer, run: str, as_of: AsOf = None, n: int | None = None) -> None:
+    """One run: scores the rows of ``fact`` that no other run has logged, all or the newest ``n``, and logs them.
+
+    A run that broke off is simply started again under its name: it takes the same rows and replaces what it wrote.
     """
-    key = [name for name in CANDIDATE_COLUMNS if name in log.columns]
-    times = log.groupBy(*[F.col(name).alias(f"_{name}") for name in key]).agg(F.count(F.lit(1)).alias("_times"))
-    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("_dbt_loaded_at").asc_nulls_last()))
-    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in key]
-    left = fact.withColumn("_place", place).join(times, same, "left")
-    return left.filter(F.col("_times").isNull() | (F.col("_place") > F.col("_times"))).select(*fact.columns)
+    rows = unscored(fact, log_of_others(fact, path, run)) if exists(fact.sparkSession, path) else fact
+    scored = score_batches(prompts(candidates(rows, n)), scorer)
+    append_ai_flags(ai_flags(scored, as_of), path, run)
 
 
 def prompts(df: DataFrame, single: bool = False) -> DataFrame:
@@ -197,8 +232,10 @@ def score_rows(rows: DataFrame, scorer: Scorer, batch_size: int = BATCH_SIZE) ->
 
 
 def ai_flags(scored: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Scored rows in the shape of the stored log, and the other candidate columns, by which ``unscored`` knows a trip."""
+    """Scored rows in the shape of the stored log, the other candidate columns, and the print of all
+    of them, by which ``unscored`` knows a trip."""
     others = [name for name in CANDIDATE_COLUMNS if name in scored.columns and name not in AI_FLAGS.fieldNames()]
+    whole = all(name in scored.columns for name in CANDIDATE_COLUMNS)
     return (
         parse_replies(scored)
         .select(
@@ -210,8 +247,9 @@ def ai_flags(scored: DataFrame, as_of: AsOf = None) -> DataFrame:
             F.col("explanation").alias("ai_explanation"),
             clock(as_of).alias("_dbt_loaded_at"),
             *others,
+            *([row_print().alias("row_print")] if whole else []),
         )
-        .select(*AI_FLAGS.fieldNames(), *others)
+        .select(*AI_FLAGS.fieldNames(), *others, *(["row_print"] if whole else []))
     )
 
 

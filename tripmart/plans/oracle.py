@@ -381,6 +381,15 @@ def all_oracles() -> dict[str, str]:
         + f"""select *, {AS_OF} as _processed_at from early union all
         select *, {AS_OF} as _processed_at from fact_w where pickup_ts > (select max(pickup_ts) from early)"""
     )
+    logged = (
+        _with("fact_w", more=_LOGGED)
+        + " union all ".join(
+            f"""select row_id as __ai_row_id, pickup_ts, pickup_borough, {_r("0.3e0 * n_over", 1)} as anomaly_score,
+            n_over > 0 as is_anomaly, {_OVER_TEXT} as ai_explanation, {as_of} as _dbt_loaded_at
+            from (select *, {_OVER} as n_over from {run})"""
+            for run, as_of in (("one", AS_OF), ("two", SECOND_RUN))
+        )
+    )
     evolved = _with("fact_w", more=f"grown as ({_two_runs('fact_w')})") + f"""select * exclude (ratecodeid),
         case when _processed_at = {SECOND_RUN} then fare_amount / trip_distance end as fare_per_mile from grown"""
     features = "pickup_ts, fare_amount, trip_distance, trip_duration_mins, passenger_count, pickup_borough"
@@ -458,13 +467,8 @@ def all_oracles() -> dict[str, str]:
         {_OVER_TEXT} as explanation, false as failed
         from (select {features}, {_OVER} as n_over, {_prompt(BATCH_QUESTION)} as prompt from fact_l)""",
         "parse_reply_texts": _PARSED,
-        "ai_flags": _with("fact_w", more=_LOGGED)
-        + " union all ".join(
-            f"""select row_id as __ai_row_id, pickup_ts, pickup_borough, {_r("0.3e0 * n_over", 1)} as anomaly_score,
-            n_over > 0 as is_anomaly, {_OVER_TEXT} as ai_explanation, {as_of} as _dbt_loaded_at
-            from (select *, {_OVER} as n_over from {run})"""
-            for run, as_of in (("one", AS_OF), ("two", SECOND_RUN))
-        ),
+        "ai_flags": logged,
+        "ai_flags_repeated": logged,
         "tolerant_csv_load": _with("raw") + f"select {_TYPED} from raw where not ({_CSV_DIRTY})",
         "rejected_csv_rows": _with("raw") + f"select {_TYPED_DIRTY} from raw where {_CSV_DIRTY}",
         "mixed_header_csv": _with("raw")

@@ -427,6 +427,19 @@ def ai_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_ai_flags(spark, path)
 
 
+@query
+def ai_flags_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads scored by runs of which the second broke off halfway and was repeated, and a third that finds nothing."""
+    fact = tables.stored(_two_loads(spark, sf_dir), "scored-fact")
+    path = shared_dir(spark, "ai-flags-repeated") + "/ai_anomaly_flags"
+    first = fact.filter(F.col("_dbt_loaded_at") == F.lit(AS_OF).cast("timestamp_ntz"))
+    scoring.score_run(first, path, scoring.rule_scorer, "one", AS_OF)
+    scoring.score_run(fact.filter("payment_type < 4"), path, scoring.rule_scorer, "two", "2026-01-04 00:00:00")
+    scoring.score_run(fact, path, scoring.rule_scorer, "two", SECOND_RUN)
+    scoring.score_run(fact, path, scoring.rule_scorer, "three", "2026-01-03 00:00:00")
+    return tables.read_ai_flags(spark, path)
+
+
 def _csv_trips(spark: SparkSession, sf_dir: str) -> str:
     """Trips as CSV lines under a header, some with an unreadable number, some too long, some too short."""
     path = shared_dir(spark, "csv") + "/trips"

@@ -221,15 +221,31 @@ def export_parquet(df: DataFrame, folder: str, name: str, day: dt.date) -> str:
     return path
 
 
-def append_ai_flags(flags: DataFrame, path: str) -> None:
-    """Append-only log of scored rows; columns beyond the log's shape are stored beside it."""
+# Layout of the log of scored rows: month of the pickup, and the run that scored them.
+LOG_LAYOUT = ("pickup_month", "run_id")
+
+
+def pickup_month() -> Column:
+    return F.date_format("pickup_ts", "yyyy-MM")
+
+
+def append_ai_flags(flags: DataFrame, path: str, run: str | None = None) -> None:
+    """Log of scored rows; columns beyond the log's shape are stored beside it.
+
+    With the name of a ``run`` rows are filed by month and run, and a run that is repeated replaces its own rows.
+    """
     shape = [F.col(f.name).cast(f.dataType).alias(f.name) for f in AI_FLAGS]
     others = [name for name in flags.columns if name not in AI_FLAGS.fieldNames()]
-    flags.select(*shape, *others).write.mode("append").parquet(path)
+    rows = flags.select(*shape, *others)
+    if run is None:
+        rows.write.mode("append").parquet(path)
+        return
+    filed = rows.withColumns(dict(zip(LOG_LAYOUT, (pickup_month(), F.lit(run)), strict=True))).hint("rebalance", F.col("pickup_month"))
+    filed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LOG_LAYOUT).parquet(path)
 
 
 def read_ai_flags(spark: SparkSession, path: str, beside: bool = False) -> DataFrame:
-    """The log of scored rows; ``beside`` keeps the columns stored beside it."""
+    """The log of scored rows; ``beside`` keeps the columns stored beside it, those of the layout included."""
     log = spark.read.option("mergeSchema", True).parquet(path)
     return log if beside else log.select(*AI_FLAGS.fieldNames())
 
