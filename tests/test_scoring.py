@@ -1,5 +1,8 @@
 import datetime as dt
 import json
+import threading
+import time
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -69,6 +72,47 @@ def test_unscored_rows(rows):
     assert [r.fare_amount for r in s.unscored(fact, log).collect()] == [11.0]
 
 
+def test_requests_overlap_keep_order_and_are_tried_again():
+    calls, running, most, lock = Counter(), 0, 0, threading.Lock()
+
+    def scorer(request):
+        nonlocal running, most
+        with lock:
+            calls[request] += 1
+            running, most = running + 1, max(most, running + 1)
+        time.sleep(0.02)
+        with lock:
+            running -= 1
+        if request == "flaky" and calls[request] < 3 or request == "broken":
+            raise OSError("no answer")
+        return request.upper()
+
+    asked = ["flaky", "broken", *[f"r{i}" for i in range(30)]]
+    how = s.Requests(in_flight=4, attempts=3, wait=0.001)
+    assert how.answers(scorer, asked) == ["FLAKY", None, *[f"R{i}" for i in range(30)]]
+    assert calls == Counter(asked) + Counter({"flaky": 2, "broken": 2}) and 1 < most <= 4
+    assert s.Requests(in_flight=1, attempts=1).answers(scorer, ["broken", "x"]) == [None, "X"]
+
+
+def test_a_failing_batch_is_asked_again_in_its_task(rows, tmp_path):
+    marker = str(tmp_path / "asked")
+
+    def flaky(request):
+        with open(marker, "a+") as file:
+            file.seek(0)
+            first = not file.read()
+            file.write("x")
+        if first:
+            raise OSError("busy")
+        return s.rule_scorer(request)
+
+    fact = rows(FACT, *[fact_row(1, i) for i in range(20)])
+    scored = s.score_batches(s.prompts(s.candidates(fact)), flaky, 10, how=s.Requests(1, 2, 0.01))
+    assert [r.failed for r in scored.collect()] == [False] * 20
+    with open(marker) as file:
+        assert len(file.read()) == 3
+
+
 def test_runs_log_every_row_once(rows, spark, tmp_path):
     path = str(tmp_path / "log")
     blank = [(dt.datetime(2024, 1, 1 + i % 3), None, None, None, 1.0, 1, "A", 5.0, 1, 2) for i in range(12)]

@@ -39,16 +39,23 @@ def select_new(target: DataFrame | None, staged: DataFrame, column: str = "picku
     return staged.filter(F.col(column) > high_water_mark(target, column))
 
 
+COUNTS = ("new", "late", "null_ts")
+
+
+def count_columns(mark: Column | None, first: bool, column: str = "pickup_ts") -> list[Column]:
+    """Aggregates that tell how rows split at ``mark``; a first run admits every row."""
+    missing = F.col(column).isNull()
+    admitted = F.lit(True) if first else F.coalesce(F.col(column) > mark, F.lit(False))
+    parts = (admitted, ~admitted & ~missing, ~admitted & missing)
+    return [F.count_if(part).alias(name) for name, part in zip(COUNTS, parts, strict=True)]
+
+
 def load_counts(target: DataFrame | None, staged: DataFrame, column: str = "pickup_ts") -> DataFrame:
     """How a run would split its rows: admitted, late (at or below the mark), and without a time."""
-    missing = F.col(column).isNull()
-    admitted = F.lit(True) if target is None else F.col(column) > high_water_mark(target, column)
-    admitted = F.coalesce(admitted, F.lit(False))
-    return staged.select(admitted.alias("admitted"), missing.alias("missing")).agg(
-        F.count_if("admitted").alias("new"),
-        F.count_if(~F.col("admitted") & ~F.col("missing")).alias("late"),
-        F.count_if(~F.col("admitted") & F.col("missing")).alias("null_ts"),
-    )
+    if target is None:
+        return staged.agg(*count_columns(None, True, column))
+    marked = staged.select(column, high_water_mark(target, column).alias("_mark"))
+    return marked.agg(*count_columns(F.col("_mark"), False, column))
 
 
 def raw_after(raw: DataFrame, moment: Column | dt.datetime | None) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Sequence
+import time
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from typing import Iterator
 
 import pandas as pd
@@ -144,24 +147,44 @@ def response_text(body: str) -> str:
     return REPLY_SEPARATOR.join(str(item) for item in answer) if isinstance(answer, list) else str(answer)
 
 
-def _ask(scorer: Scorer):
+@dataclass(frozen=True)
+class Requests:
+    """How a task asks: requests in flight at once, attempts for each, and seconds before the second one (then doubled).
+
+    The scorer is called from several threads unless ``in_flight`` is 1.
+    """
+
+    in_flight: int = 8
+    attempts: int = 3
+    wait: float = 0.2
+
+    def answers(self, scorer: Scorer, requests: Iterable[str]) -> list[str | None]:
+        """The answers in the order of the requests; null where every attempt failed."""
+        with ThreadPoolExecutor(self.in_flight) as pool:
+            return list(pool.map(lambda request: self._answer(scorer, request), requests))
+
+    def _answer(self, scorer: Scorer, request: str) -> str | None:
+        for attempt in range(self.attempts):
+            if attempt:
+                time.sleep(self.wait * 2 ** (attempt - 1))
+            try:
+                return response_text(scorer(request))
+            except Exception:  # noqa: BLE001 - whatever a scorer raises, its batch is tried again or gets the fixed reply
+                continue
+        return None
+
+
+def _ask(scorer: Scorer, how: Requests):
     """The scorer as an Arrow-batched function of requests; null where it failed."""
 
     def ask(requests: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for chunk in requests:
-            yield chunk.map(lambda request: _answer(scorer, request))
+            yield pd.Series(how.answers(scorer, chunk), dtype=object)
 
     ask.__annotations__ = {"requests": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(ask, "string").asNondeterministic()
 
 
-def _answer(scorer: Scorer, request: str) -> str | None:
-    try:
-        return response_text(scorer(request))
-    except Exception:  # noqa: BLE001 - whatever a scorer raises, its batch is marked as failed and gets the fixed reply
-        return None
-
-
 def _replies_of(text: str | None, wanted: int) -> list[str | None]:
     """One reply per row from an answer: between separators, or by lines when there are too few of them."""
     if text is None:
@@ -172,15 +195,14 @@ def _replies_of(text: str | None, wanted: int) -> list[str | None]:
     return (pieces + [""] * wanted)[:wanted]
 
 
-def _ask_together(scorer: Scorer, batch_size: int):
+def _ask_together(scorer: Scorer, batch_size: int, how: Requests):
     """The scorer as an Arrow-batched function of single prompts, sent ``batch_size`` to a request."""
 
     def ask(prompts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for chunk in prompts:
-            replies: list[str | None] = []
-            for start in range(0, len(chunk), batch_size):
-                some = chunk.iloc[start : start + batch_size]
-                replies += _replies_of(_answer(scorer, REQUEST_SEPARATOR.join(some)), len(some))
+            batches = [chunk.iloc[start : start + batch_size] for start in range(0, len(chunk), batch_size)]
+            answers = how.answers(scorer, [REQUEST_SEPARATOR.join(some) for some in batches])
+            replies = [r for some, text in zip(batches, answers, strict=True) for r in _replies_of(text, len(some))]
             yield pd.Series(replies, dtype=object)
 
     ask.__annotations__ = {"prompts": Iterator[pd.Series], "return": Iterator[pd.Series]}
@@ -195,13 +217,13 @@ def _pieces(text: Column, wanted: Column) -> Column:
 
 
 def score_batches(
-    rows: DataFrame, scorer: Scorer, batch_size: int = BATCH_SIZE, parallel: int | None = None
+    rows: DataFrame, scorer: Scorer, batch_size: int = BATCH_SIZE, parallel: int | None = None, how: Requests = Requests()
 ) -> DataFrame:
     """Adds ``reply`` to rows that have ``row_id`` (numbered from 1) and ``prompt``.
 
     Rows are grouped by number, so a group never holds more than ``batch_size`` of them, and requests run on the
-    executors. ``parallel`` spreads few batches over that many tasks; without it small data may end up in one. A task
-    that is run again asks again, so store the result before using it twice. ``failed`` marks rows whose request raised.
+    executors. ``parallel`` spreads few batches over that many tasks; without it small data may end up in one. ``how`` says
+    how many requests a task has in flight and how often it tries. A task that is run again asks again, so store the result before using it twice. ``failed`` marks rows whose request raised.
     """
     carried = [name for name in rows.columns if name != "row_id"]
     batch = F.floor((F.col("row_id") - 1) / batch_size).alias("batch_id")
@@ -209,7 +231,7 @@ def score_batches(
     if parallel:
         grouped = grouped.repartition(parallel, "batch_id")
     request = F.array_join(F.transform("items", lambda item: item["prompt"]), REQUEST_SEPARATOR)
-    answered = grouped.withColumn("text", _ask(scorer)(request))
+    answered = grouped.withColumn("text", _ask(scorer, how)(request))
     spread = answered.withColumn("pieces", _pieces(F.col("text"), F.size("items"))).select(
         "text", "pieces", F.posexplode("items").alias("position", "item")
     )
@@ -219,14 +241,14 @@ def score_batches(
     return spread.select("item.*", reply.alias("reply"), F.col("text").isNull().alias("failed"))
 
 
-def score_rows(rows: DataFrame, scorer: Scorer, batch_size: int = BATCH_SIZE) -> DataFrame:
+def score_rows(rows: DataFrame, scorer: Scorer, batch_size: int = BATCH_SIZE, how: Requests = Requests()) -> DataFrame:
     """Scores rows that bring the five features: adds prompt, reply, its parsed fields, and whether the request failed.
 
     The rows of a task are sent ``batch_size`` to a request, so nothing is shuffled; 1 sends each on its own, in the
     wording of single requests.
     """
     asked = prompts(rows, single=batch_size == 1)
-    asked = asked.withColumn("reply", _ask_together(scorer, batch_size)(F.col("prompt")))
+    asked = asked.withColumn("reply", _ask_together(scorer, batch_size, how)(F.col("prompt")))
     failed = asked.withColumn("failed", F.col("reply").isNull())
     return parse_replies(failed.withColumn("reply", F.coalesce("reply", F.lit(FAILED_REPLY))))
 

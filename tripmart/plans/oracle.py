@@ -506,6 +506,12 @@ def all_oracles() -> dict[str, str]:
         "export_roundtrip": _with("fact_l") + "select * from fact_l",
         "file_stream_once": _with("raw") + f"select *, {AS_OF} as _loaded_at from raw",
         "stream_incremental": streamed,
+        "stream_counts": _with("stg_w", more=f"""marked as (
+          select pickup_ts, coalesce(payment_type <= 4 and pickup_ts <= {CUT}, false) as early,
+            (select max(pickup_ts) from stg_w where payment_type <= 4 and pickup_ts <= {CUT}) as m from stg_w)""")
+        + """select 0::bigint as batch_id, count(*) as "new", 0::bigint as late, 0::bigint as null_ts from marked where early
+        union all select 1, count_if(pickup_ts > m)::bigint, count_if(pickup_ts <= m)::bigint, count_if(pickup_ts is null)::bigint
+        from marked where not early""",
         "stream_restart": streamed,
         "stream_incremental_batched": _with("fact_w") + f"select *, {AS_OF} as _processed_at from fact_w",
     }

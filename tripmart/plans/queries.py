@@ -668,6 +668,16 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored
 
 
+@query
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows of each micro-batch of ``stream_incremental`` are new, late, or without a time."""
+    folder = shared_dir(spark, "stream-counts")
+    for name, delivery in _delivered(spark, sf_dir, folder).items():
+        delivery.write.parquet(f"{folder}/landing/{name}")
+        _stream_run(spark, sf_dir, folder, "checkpoint")
+    return ingest.read_stream_counts(spark, f"{folder}/fact").drop("stream_id")
+
+
 @query
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second delivery comes to a stream that starts anew: old rows stay, only newer ones are added."""

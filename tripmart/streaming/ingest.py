@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmart.functions.timestamps import AsOf, clock
-from tripmart.operators.incremental import incremental_fact
+from tripmart.operators.incremental import COUNTS, count_columns, incremental_fact
 from tripmart.operators.staging import stage_trips
 from tripmart.schemas import TRIPS, Profile
 from tripmart.sources.tables import exists, remove
@@ -75,6 +76,15 @@ def run_mark(spark: SparkSession, target: str, stream: str) -> DataFrame | None:
     return None if mark.first()["first"] else mark.select("pickup_ts")
 
 
+def _observed(seen: Observation, rows: DataFrame, columns: list[Column]) -> tuple[int, ...]:
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        # Where nothing can be admitted, Spark does not run the part that is observed.
+        found = rows.agg(*columns).first().asDict()
+    return tuple(found[name] for name in COUNTS)
+
+
 def load_batch(
     staged: DataFrame,
     batch_id: int,
@@ -84,13 +94,19 @@ def load_batch(
 ) -> None:
     """Stores one micro-batch under its stream and number, so a repeated batch replaces itself and nothing else.
 
+    How its rows split (new, late, without a time) is observed while they are written and filed in the same way.
     Rows are filed by month first; readers prune by time, and the next mark comes from the last month alone.
     """
-    fact = make_fact(run_mark(staged.sparkSession, target, stream), staged)
+    mark = run_mark(staged.sparkSession, target, stream)
+    split = count_columns(mark and F.lit(mark.first()["pickup_ts"]).cast("timestamp_ntz"), mark is None)
+    seen = Observation("load")
+    fact = make_fact(mark, staged.observe(seen, *split))
     month = F.date_format("pickup_ts", "yyyy-MM")
     dealt = fact.withColumns(dict(zip(LAYOUT, (month, F.lit(stream), F.lit(batch_id)), strict=True)))
     writer = dealt.hint("rebalance", F.col("pickup_month")).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(f"{target}/rows")
+    counts = staged.sparkSession.createDataFrame([_observed(seen, staged, split)], ", ".join(f"{name} long" for name in COUNTS))
+    counts.coalesce(1).write.mode("overwrite").parquet(f"{target}/counts/stream_id={stream}/batch_id={batch_id}")
 
 
 class IncrementalRun:
@@ -141,5 +157,11 @@ def incremental_stream(
     return IncrementalRun(query, lambda: remove(spark, f"{target}/runs/{_stream_id(spark, checkpoint)}"))
 
 
+def read_stream_counts(spark: SparkSession, target: str) -> DataFrame:
+    """stream_id, batch_id, new, late, null_ts: how each micro-batch split."""
+    columns = ", ".join(f"{name} long" for name in (*COUNTS, "batch_id"))
+    return spark.read.schema(f"{columns}, stream_id string").parquet(f"{target}/counts")
+
+
 def read_stream_fact(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(f"{target}/rows").drop(*LAYOUT)
