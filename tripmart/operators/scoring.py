@@ -49,6 +49,46 @@ CANDIDATE_COLUMNS = (
 )
 
 
+def response_text(body: str) -> str:
+    """The answer inside a response body: under the first known key, or else the body itself."""
+    try:
+        decoded = json.loads(body)
+    except ValueError:
+        return body
+    named = [key for key in RESPONSE_KEYS if isinstance(decoded, dict) and key in decoded]
+    if not named:
+        return json.dumps(decoded)
+    answer = decoded[named[0]]
+    return REPLY_SEPARATOR.join(str(item) for item in answer) if isinstance(answer, list) else str(answer)
+
+
+@dataclass(frozen=True)
+class Requests:
+    """How a task asks: requests in flight at once, attempts for each, and seconds before the second one (then doubled).
+
+    The scorer is called from several threads unless ``in_flight`` is 1.
+    """
+
+    in_flight: int = 8
+    attempts: int = 1
+    wait: float = 0.2
+
+    def answers(self, scorer: Scorer, requests: Iterable[str]) -> list[str | None]:
+        """The answers in the order of the requests; null where every attempt failed."""
+        with ThreadPoolExecutor(self.in_flight) as pool:
+            return list(pool.map(lambda request: self._answer(scorer, request), requests))
+
+    def _answer(self, scorer: Scorer, request: str) -> str | None:
+        for attempt in range(self.attempts):
+            if attempt:
+                time.sleep(self.wait * 2 ** (attempt - 1))
+            try:
+                return response_text(scorer(request))
+            except Exception:  # noqa: BLE001 - whatever a scorer raises, its batch is tried again or gets the fixed reply
+                continue
+        return None
+
+
 def _newest_first() -> list[Column]:
     """Newest load first. Rows of one load are told apart by every column that is kept, so ties are equal rows."""
     ties = ("pickup_ts", "pulocationid", "dolocationid", "fare_amount", "dropoff_ts", "trip_duration_mins",
@@ -115,13 +155,16 @@ def log_of_others(fact: DataFrame, path: str, run: str) -> DataFrame:
     return log.filter(((month >= first) & (month <= last)) | (month.isNull() & no_month))
 
 
-def score_run(fact: DataFrame, path: str, scorer: Scorer, run: str, as_of: AsOf = None, n: int | None = None) -> None:
+def score_run(
+    fact: DataFrame, path: str, scorer: Scorer, run: str, as_of: AsOf = None, n: int | None = None,
+    how: Requests = Requests(attempts=3),
+) -> None:
     """One run: scores the rows of ``fact`` that no other run has logged, all or the newest ``n``, and logs them.
 
     A run that broke off is simply started again under its name: it takes the same rows and replaces what it wrote.
     """
     rows = unscored(fact, log_of_others(fact, path, run)) if exists(fact.sparkSession, path) else fact
-    scored = score_batches(prompts(candidates(rows, n)), scorer)
+    scored = score_batches(prompts(candidates(rows, n)), scorer, how=how)
     append_ai_flags(ai_flags(scored, as_of), path, run)
 
 
@@ -134,46 +177,6 @@ def prompts(df: DataFrame, single: bool = False) -> DataFrame:
     return df.withColumn("prompt", F.concat(F.lit("Trip features:\n"), *fields, F.lit(question)))
 
 
-def response_text(body: str) -> str:
-    """The answer inside a response body: under the first known key, or else the body itself."""
-    try:
-        decoded = json.loads(body)
-    except ValueError:
-        return body
-    named = [key for key in RESPONSE_KEYS if isinstance(decoded, dict) and key in decoded]
-    if not named:
-        return json.dumps(decoded)
-    answer = decoded[named[0]]
-    return REPLY_SEPARATOR.join(str(item) for item in answer) if isinstance(answer, list) else str(answer)
-
-
-@dataclass(frozen=True)
-class Requests:
-    """How a task asks: requests in flight at once, attempts for each, and seconds before the second one (then doubled).
-
-    The scorer is called from several threads unless ``in_flight`` is 1.
-    """
-
-    in_flight: int = 8
-    attempts: int = 3
-    wait: float = 0.2
-
-    def answers(self, scorer: Scorer, requests: Iterable[str]) -> list[str | None]:
-        """The answers in the order of the requests; null where every attempt failed."""
-        with ThreadPoolExecutor(self.in_flight) as pool:
-            return list(pool.map(lambda request: self._answer(scorer, request), requests))
-
-    def _answer(self, scorer: Scorer, request: str) -> str | None:
-        for attempt in range(self.attempts):
-            if attempt:
-                time.sleep(self.wait * 2 ** (attempt - 1))
-            try:
-                return response_text(scorer(request))
-            except Exception:  # noqa: BLE001 - whatever a scorer raises, its batch is tried again or gets the fixed reply
-                continue
-        return None
-
-
 def _ask(scorer: Scorer, how: Requests):
     """The scorer as an Arrow-batched function of requests; null where it failed."""
 
