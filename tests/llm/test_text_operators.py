@@ -282,6 +282,55 @@ def test_folding_and_matching():
     assert words("") == [] and toxicity.evidence(None, key) == (0.0, 0.0)
 
 
+def plain_matches(folded, weights, exceptions):
+    """(start, end, weight) of the longest term at each word start, found by looking at every place."""
+    starts = [i for i, c in enumerate(folded) if not (i and folded[i - 1].isalpha())]
+    closed = [i for i in range(len(folded) + 1) if i == len(folded) or not folded[i].isalpha()]
+    spared = [(i, i + len(p)) for i in starts for p in exceptions if folded.startswith(p, i) and i + len(p) in closed]
+    found = []
+    for start in starts:
+        terms = {}
+        for term, weight in weights.items():
+            word = term.removesuffix("$")
+            end = start + len(word)
+            if folded.startswith(word, start) and (term == word or end in closed):
+                terms[end, term != word] = weight
+        if terms:
+            (end, _), weight = max(terms.items())
+            if not any(a <= start and end <= b for a, b in spared):
+                found.append((start, end, weight))
+    return found
+
+
+def test_matches_equal_a_plain_search():
+    pick = np.random.default_rng(5)
+    for _ in range(300):
+        letters = lambda n: "".join(pick.choice(list("ab"), n))
+        weights = {letters(n) + pick.choice(["", "$"]): float(n) for n in pick.integers(1, 5, 6)}
+        exceptions = {letters(2) + " " + letters(3), letters(3)}
+        folded = "".join(pick.choice(list("abab  -"), pick.integers(0, 60)))
+        key = toxicity.Lexicon(weights, exceptions).key()
+        assert sorted(toxicity.matches(folded, key)) == plain_matches(folded, weights, exceptions)
+
+
+def test_lexicon_prefers_long_forms(spark):
+    chosen = toxicity._chosen(
+        {"path": (20, 3.0), "pathe": (20, 6.0), "pathet": (19, 6.0), "pathet$": (19, 6.0), "stem": (30, 5.0),
+         "stema": (12, 5.0), "stemb": (11, 5.0), "scum$": (9, 4.0)}
+    )
+    assert chosen == {"pathet": 6.0, "stem": 5.0, "scum$": 4.0}
+    both = toxicity._curve(np.array([[0.0, 0], [1, 2], [2, 1], [0, 0]]), np.array([0.0, 1, 1, 0]))
+    assert both[1] >= 0 and both[2] >= 0
+    rows = [(i, f"{sentence(i, 40)} pathetisch" if i % 3 == 0 else f"{sentence(i, 40)} path pathologie") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = [(i, int(i % 3 == 0)) for i in range(300)] + [(i, 1 - int(i % 3 == 0)) for i in range(30)]
+    lexicon = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert set(lexicon.weights) == {"pathetis"}
+    asked = spark.createDataFrame([(1, "the path to the pathology lab"), (2, "pathetisch")], "doc_id long, text string")
+    low, high = (r["s"] for r in toxicity.score(asked, lexicon, "s").orderBy("doc_id").collect())
+    assert low < toxicity.THRESHOLD <= high
+
+
 def test_toxicity_learns(spark, edge_docs, no_docs):
     def make(i):
         bad = i % 3 == 0

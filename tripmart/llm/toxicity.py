@@ -6,7 +6,8 @@ rows; exception phrases, learned as well, switch off a match inside them. The su
 divided by the length, goes through a fitted logistic curve.
 
 Defined cases: null, empty and wordless texts have no match and get the score of no evidence; a table without labels of
-both kinds gives an empty lexicon and the score 0; repeated rows get equal scores; other columns are never looked at.
+both kinds gives an empty lexicon and the score 0; repeated rows get equal scores; an id labelled both ways teaches
+nothing; other columns are never looked at.
 """
 
 from __future__ import annotations
@@ -20,18 +21,23 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import crc32_bucket
+from tripmart.sources.tables import stored
 
 #: Labelled rows of each kind that are learned from, about (chosen by a hash of the id).
 TRAIN_ROWS = 20_000
-#: Candidate terms that are counted in clean rows, and phrases that are looked at for exceptions, at most.
+#: Terms of the lexicon that are looked at, of the highest log odds, and phrases for exceptions, at most.
 CANDIDATES = 20_000
 PREFIXES = range(4, 9)
-MIN_SHARE, MIN_ROWS = 0.01, 5
-MIN_LOG_ODDS = 3.0
+#: Toxic rows that a term must occur in, and its least smoothed log odds: the same at every size of the sample.
+MIN_ROWS, MIN_LOG_ODDS = 5, 3.0
+#: A longer beginning replaces a shorter one if it keeps this share of its toxic rows.
+KEPT_SHARE = 0.9
+#: Terms that a counting task holds before it passes its counts on.
+HELD_TERMS = 200_000
 THRESHOLD = 0.3
 END = "$"
 
@@ -131,28 +137,35 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     The sampled labels are at most about twice ``rows`` small rows, which is why they can be broadcast.
     """
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
-    known = known.filter(crc32_bucket(F.col("doc_id"), 4) != 2)
+    known = known.filter(crc32_bucket(F.col("doc_id"), 4) != 2).groupBy("doc_id")
+    known = known.agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most")).filter("toxic = _most").drop("_most")
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = F.when(F.col("toxic") == 1, F.lit(rows / max(counts.get(1, 0), 1))).otherwise(
         F.lit(rows / max(counts.get(0, 0), 1))
     )
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-    sampled = known.filter(chance < share).dropDuplicates(["doc_id"])
+    sampled = known.filter(chance < share)
     return docs.select("doc_id", "text").join(F.broadcast(sampled), "doc_id").select("text", "toxic")
 
 
 def _counted(sample: DataFrame, of) -> DataFrame:
     """Rows of each kind in which a term occurs; ``of`` gives the terms of a folded text."""
 
+    def passed_on(seen: dict[int, Counter]) -> pd.DataFrame:
+        every = sorted(seen[0].keys() | seen[1].keys())
+        return pd.DataFrame(
+            {"term": every, "clean": [seen[0][t] for t in every], "toxic": [seen[1][t] for t in every]}
+        ).astype({"term": object, "clean": "int64", "toxic": "int64"})
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
                 seen[toxic].update(set(of(fold(text))))
-        every = sorted(seen[0].keys() | seen[1].keys())
-        yield pd.DataFrame(
-            {"term": every, "clean": [seen[0][t] for t in every], "toxic": [seen[1][t] for t in every]}
-        ).astype({"term": object, "clean": "int64", "toxic": "int64"})
+                if len(seen[0]) + len(seen[1]) > HELD_TERMS:
+                    yield passed_on(seen)
+                    seen = {0: Counter(), 1: Counter()}
+        yield passed_on(seen)
 
     partial = sample.mapInPandas(count, "term string, clean long, toxic long")
     return partial.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
@@ -162,27 +175,47 @@ def _all_terms(folded: str) -> set[str]:
     return {term for word in set(_WORD.findall(folded)) for term in terms(word)}
 
 
-def _chosen(counts: dict[str, tuple[int, int]], n_clean: int, n_toxic: int) -> dict[str, float]:
-    """Terms with high log odds; of a beginning and what it extends to, the shorter, unless the longer is purer."""
-    odds = {
-        term: math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
-        for term, (clean, toxic) in counts.items()
-    }
-    kept = {term for term, value in odds.items() if value >= MIN_LOG_ODDS}
-    for term in sorted(kept, key=len):
-        for n in range(PREFIXES.start, len(term)):
-            shorter = term[:n]
-            if shorter in kept and shorter != term:
-                impure = counts[shorter][0] > counts[term][0]
-                if impure and counts[term][1] >= 0.9 * counts[shorter][1]:
-                    kept.discard(shorter)
-                else:
-                    kept.discard(term)
-                    break
-    return {term: odds[term] for term in kept}
+def _log_odds(n_clean: int, n_toxic: int) -> Column:
+    """Smoothed log odds of a counted term, from its columns clean and toxic."""
+    return F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
+
+
+def _chosen(found: dict[str, tuple[int, float]]) -> dict[str, float]:
+    """The terms that stay, of (toxic rows, log odds) of each.
+
+    A beginning gives way to one that is a letter longer and keeps nearly all its toxic rows: ordinary words share the
+    short beginnings of a listed word, but seldom the long ones. Otherwise it stands for all that extends it: a stem
+    with many endings needs one term. A whole word is kept only where no beginning of it is.
+    """
+    kept = set(found)
+    longer: dict[str, list[str]] = {}
+    for term in found:
+        if not term.endswith(END) and len(term) > PREFIXES.start:
+            longer.setdefault(term[:-1], []).append(term)
+    for term in sorted(found, key=lambda t: (len(t.removesuffix(END)), t)):
+        word = term.removesuffix(END)
+        if any(word[:n] in kept and word[:n] != term for n in PREFIXES if n <= len(word)) or any(
+            found[other][0] >= KEPT_SHARE * found[term][0] for other in longer.get(term, [])
+        ):
+            kept.discard(term)
+    return {term: found[term][1] for term in kept}
 
 
 def _curve(features: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
+    """Logistic regression of two features, neither with a negative weight: more evidence never lowers a score."""
+    both = _logistic(features, labels)
+    if both[1] >= 0 and both[2] >= 0:
+        return tuple(float(v) for v in both)
+    loss, weights = [], []
+    for place in (0, 1):
+        w = _logistic(features[:, [place]], labels)
+        p = _score(features[:, [place]], tuple(w))
+        loss.append(-np.log(np.where(labels == 1, p, 1 - p) + 1e-12).sum())
+        weights.append((float(w[0]), *(max(float(w[1]), 0.0) if place == k else 0.0 for k in (0, 1))))
+    return weights[int(np.argmin(loss))]
+
+
+def _logistic(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Ridge-penalised logistic regression by Newton steps; the two kinds count as in the sample."""
     x = np.hstack([np.ones((len(features), 1)), features])
     w = np.zeros(x.shape[1])
@@ -194,26 +227,23 @@ def _curve(features: np.ndarray, labels: np.ndarray) -> tuple[float, float, floa
         w -= step
         if np.abs(step).max() < 1e-8:
             break
-    return tuple(float(v) for v in w)
+    return w
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Lexicon:
-    """Learns lexicon, exceptions and curve. All that reaches the driver is bounded by ``rows`` or ``CANDIDATES``."""
-    sample = labelled_sample(docs, labels, rows)
+    """Learns lexicon, exceptions and curve. All that reaches the driver is bounded by ``rows`` or ``CANDIDATES``.
+
+    The sample is stored: documents and labels are read for it once.
+    """
+    sample = stored(labelled_sample(docs, labels, rows), "toxicity-sample")
     totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_clean, n_toxic = totals.get(0, 0), totals.get(1, 0)
     if not n_clean or not n_toxic:
         return Lexicon({})
-    least = max(MIN_ROWS, math.ceil(MIN_SHARE * n_toxic))
-    common = _counted(sample.filter("toxic = 1"), _all_terms).filter(F.col("toxic") >= least)
-    top = common.orderBy(F.desc("toxic"), "term").limit(CANDIDATES).collect()
-    toxic = {r["term"]: r["toxic"] for r in top}
-    known = frozenset(toxic)
-    clean = {
-        r["term"]: r["clean"]
-        for r in _counted(sample.filter("toxic = 0"), lambda folded: _all_terms(folded) & known).collect()
-    }
-    weights = _chosen({term: (clean.get(term, 0), n) for term, n in toxic.items()}, n_clean, n_toxic)
+    odds = _counted(sample, _all_terms).filter(F.col("toxic") >= MIN_ROWS)
+    odds = odds.withColumn("odds", _log_odds(n_clean, n_toxic)).filter(F.col("odds") >= MIN_LOG_ODDS)
+    top = odds.orderBy(F.desc("odds"), F.desc("toxic"), "term").limit(CANDIDATES).collect()
+    weights = _chosen({r["term"]: (r["toxic"], r["odds"]) for r in top})
     key = Lexicon(weights).key()
 
     def phrases(folded: str) -> Iterator[str]:
