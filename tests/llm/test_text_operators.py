@@ -162,6 +162,22 @@ def test_quality_counts(edge_docs, no_docs):
     assert counted.columns == [*edge_docs.columns, "counts_"]
 
 
+def test_quality_order_by_gain(spark):
+    rules = [quality_rules.Rule(n, None) for n in "abcd"]
+    names = lambda shares, costs: "".join(r.name for r in quality_rules.by_gain(rules, shares, costs, 0.01))
+    assert names([0.1, 0.4, 0.0, 0.1], [0.01] * 4) == "badc"
+    assert names([0.4, 0.1, 0.0, 0.1], [0.64, 0.01, -1.0, 0.02]) == "bdac"
+    assert names([0.2, 0.2, 0.2, 0.2], [0.011, 0.012, 0.009, -0.5]) == "abcd"
+    docs = spark.range(600).selectExpr("id AS doc_id", "repeat(concat('wört ', id, ' '), 400) AS text")
+    slow = quality_rules.Rule("slow", lambda t: F.length(F.regexp_replace(t, r"(\p{L}+) (?=\d)", "")) > 0)
+    fast = quality_rules.Rule("fast", lambda t: F.length(t) > 0)
+    never = quality_rules.Rule("never", lambda t: F.length(t) < 0)
+    for _ in range(2):
+        assert quality_rules.measured_order(docs, "text", [slow, never, fast]) == [fast, slow, never]
+    assert quality_rules.measured_order(docs.limit(0), "text", [slow, fast]) == [slow, fast]
+    assert quality_rules.sampled(docs).count() == 600 and 0 < quality_rules.sampled(docs, 100).count() < 250
+
+
 def test_quality_order_does_not_change_the_verdict(edge_docs):
     counted = quality_rules.with_counts(edge_docs).select("doc_id", "text", "counts_.*")
     text = F.coalesce("text", F.lit(""))

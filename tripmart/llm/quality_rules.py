@@ -9,6 +9,7 @@ table keeps the given order; extra columns are kept, new ones get free names.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -17,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import WHITE, WORD, col, fresh
+from tripmart.sources.tables import stored
 
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
-#: Documents that the order of the rules is estimated on, at most.
-SAMPLE = 2000
+#: Documents that the order of the rules is estimated on, about; how often a query takes each, and how often it runs.
+SAMPLE, REPEATS, RUNS = 2000, 5, 3
 
 
 @dataclass(frozen=True)
@@ -116,25 +118,38 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
 
 
-def measured_order(counted: DataFrame, text_col: str, rules: Sequence[Rule], sample: int = SAMPLE) -> list[Rule]:
-    """``rules`` by rejected share per second on a sample of ``counted`` (counts as top-level columns).
+def sampled(docs: DataFrame, rows: int = SAMPLE) -> DataFrame:
+    """About ``rows`` of all rows, each with the same chance; all of a small table."""
+    many = docs.count()
+    return docs if many <= rows else docs.sample(fraction=rows / many, seed=7)
 
-    The sample is bounded; what it tells is only the order of evaluation.
+
+def measured_order(counted: DataFrame, text_col: str, rules: Sequence[Rule]) -> list[Rule]:
+    """``rules`` by rejected share per cost on the rows of ``counted``, a stored sample with counts as columns.
+
+    A rule's cost is the time of a query that applies it several times to each row, less that of the same query
+    without a rule, the shortest of some runs each. Costs are compared as powers of two, and none counts as less than
+    an eighth of the empty query, so that the clock's noise rarely decides. Shares are exact. What the sample tells is
+    only the order of evaluation.
     """
-    rows = counted.limit(sample).cache()
-    try:
-        n = rows.count()
-        if not n:
-            return list(rules)
-        gains = []
-        for place, rule in enumerate(rules):
-            query = rows.select(F.avg(rule.column(col(text_col)).cast("double")).alias("share"))
+    again = counted.withColumn(fresh(counted.columns, "_again"), F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
+    plans = [F.octet_length(col(text_col)) > 0, *(rule.column(col(text_col)) for rule in rules)]
+    queries = [again.select(F.avg(F.coalesce(c.cast("double"), F.lit(0.0))).alias("share")) for c in plans]
+    if queries[0].first()["share"] is None:
+        return list(rules)
+    took, shares = [float("inf")] * len(queries), [0.0] * len(queries)
+    for _ in range(RUNS):
+        for place, query in enumerate(queries):
             started = time.perf_counter()
-            share = query.first()["share"]
-            gains.append((-share / max(time.perf_counter() - started, 1e-6), place, rule))
-        return [rule for _, _, rule in sorted(gains, key=lambda x: x[:2])]
-    finally:
-        rows.unpersist()
+            shares[place] = query.first()["share"]
+            took[place] = min(took[place], time.perf_counter() - started)
+    return by_gain(rules, shares[1:], [t - took[0] for t in took[1:]], took[0] / 8)
+
+
+def by_gain(rules: Sequence[Rule], shares: Sequence[float], costs: Sequence[float], least: float) -> list[Rule]:
+    """``rules`` by share per cost, the latter rounded to powers of two of ``least``; equal gains keep their order."""
+    gains = [share / 2 ** round(math.log2(max(cost, least) / least)) for share, cost in zip(shares, costs, strict=True)]
+    return [rules[place] for place in sorted(range(len(rules)), key=lambda k: (-gains[k], k))]
 
 
 def cascade(rules: Sequence[Rule], text: Column) -> Column:
@@ -153,7 +168,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule
     def counted(of: DataFrame) -> DataFrame:
         return with_counts(of).select("doc_id", "text", "counts.*")
 
-    order = measured_order(counted(taken.limit(SAMPLE)), "text", rules)
+    order = measured_order(stored(counted(sampled(taken)), "rules-sample"), "text", rules)
     failed = base_failed()
     judged_rows = counted(taken).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
