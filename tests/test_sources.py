@@ -104,6 +104,24 @@ def test_damaged_files_keep_their_sound_row_groups(spark, tmp_path):
         readers.read_trips(spark, folder)
 
 
+def test_a_footer_is_read_once_however_many_row_groups(spark, tmp_path, monkeypatch):
+    rows = spark.range(300).selectExpr("id as vendorid").coalesce(1)
+    rows.write.option("parquet.block.row.count.limit", 10).parquet(str(tmp_path / "whole"))
+    damaged_copy(spark, str(tmp_path / "whole"), str(tmp_path / "in"), wrong=(30, 40))
+    opened = []
+
+    class Counted(footers.pq.ParquetFile):
+        def __init__(self, *args, **kwargs):
+            opened.append(kwargs.get("metadata") is not None)
+            super().__init__(*args, **kwargs)
+
+    monkeypatch.setattr(footers.pq, "ParquetFile", Counted)
+    file = f"file:{tmp_path}/in/part.parquet"
+    row = footers._row(file, 0, None, True)
+    assert row[3:] == (300, [0], footers.BAD_GROUPS, 10)
+    assert opened == [True]
+
+
 def test_files_of_stores_that_only_spark_reads(spark, tmp_path):
     spark.range(10).write.parquet(str(tmp_path / "in"))
     files = footers.listed(spark, str(tmp_path / "in")).drop("content")

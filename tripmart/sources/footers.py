@@ -68,15 +68,15 @@ def _metadata(source: pa.NativeFile) -> pq.FileMetaData | None:
         return None
 
 
-def _batches(source: pa.NativeFile, group: int) -> Iterator[pa.RecordBatch]:
-    file = pq.ParquetFile(source, page_checksum_verification=True)
-    return file.iter_batches(_BATCH_ROWS, row_groups=[group])
+def _checked(source: pa.NativeFile, found: pq.FileMetaData) -> pq.ParquetFile:
+    """The file under its footer, which is as long as the file has row groups and therefore read once, not for each."""
+    return pq.ParquetFile(source, metadata=found, page_checksum_verification=True)
 
 
-def _is_damaged(source: pa.NativeFile, group: int) -> bool:
+def _is_damaged(file: pq.ParquetFile, group: int) -> bool:
     """Whether a page of the row group cannot be decoded or contradicts its checksum."""
     try:
-        for _ in _batches(source, group):
+        for _ in file.iter_batches(_BATCH_ROWS, row_groups=[group]):
             pass
     except (pa.ArrowException, OSError) as error:
         # The store's own failures carry a number of the operating system.
@@ -93,7 +93,8 @@ def _row(file: str, size: int, content: bytes | None, pages: bool) -> tuple:
             return file, size, None, None, [], NO_FOOTER, None
         columns = [found.schema.column(i) for i in range(found.num_columns)]
         print_ = "|".join(f"{c.path}:{c.physical_type}:{c.logical_type}:{c.max_repetition_level}" for c in columns)
-        damaged = [g for g in range(found.num_row_groups) if pages and _is_damaged(source, g)]
+        checked = _checked(source, found)
+        damaged = [g for g in range(found.num_row_groups) if pages and _is_damaged(checked, g)]
         lost = sum(found.row_group(g).num_rows for g in damaged)
         return file, size, print_, found.num_rows, damaged, BAD_GROUPS if damaged else None, lost
 
@@ -140,11 +141,11 @@ def _sound_groups(spark: SparkSession, damaged: list[tuple[str, list[int]]], sch
             for k in range(batch.num_rows):
                 file = batch.column("file")[k].as_py()
                 with _opened(file, batch.column("content")[k].as_py()) as source:
-                    for group in range(_metadata(source).num_row_groups):
-                        if group not in skipped[file]:
-                            for rows in _batches(source, group):
-                                table = pa.Table.from_batches([rows]).select(target.names)
-                                yield from table.cast(target, safe=False).to_batches()
+                    found, left_out = _metadata(source), set(skipped[file])
+                    sound = [group for group in range(found.num_row_groups) if group not in left_out]
+                    for rows in _checked(source, found).iter_batches(_BATCH_ROWS, row_groups=sound):
+                        table = pa.Table.from_batches([rows]).select(target.names)
+                        yield from table.cast(target, safe=False).to_batches()
 
     files = listed(spark, list(skipped)).repartition(len(skipped), "file")
     return files.mapInArrow(read, schema)
