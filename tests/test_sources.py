@@ -122,6 +122,13 @@ def test_a_footer_is_read_once_however_many_row_groups(spark, tmp_path, monkeypa
     assert opened == [True]
 
 
+def test_a_damaged_copy_keeps_the_other_files(spark, tmp_path):
+    spark.range(40).repartitionByRange(4, "id").sortWithinPartitions("id").write.parquet(str(tmp_path / "whole"))
+    damaged_copy(spark, str(tmp_path / "whole"), str(tmp_path / "in"), keep=20)
+    found = footers.catalogue(footers.listed(spark, str(tmp_path / "in")), pages=True).collect()
+    assert sorted((r.rows or 0) > 0 for r in found) == [False, True, True, True]
+
+
 def test_files_of_stores_that_only_spark_reads(spark, tmp_path):
     spark.range(10).write.parquet(str(tmp_path / "in"))
     files = footers.listed(spark, str(tmp_path / "in")).drop("content")

@@ -68,13 +68,14 @@ def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_copy(spark: SparkSession, source: str, target: str, keep: int | None = None, wrong: tuple[int, int] | None = None) -> None:
-    """Copies the only Parquet file of a folder, cut off after ``keep`` bytes, or with some bytes overwritten.
+    """Copies the first Parquet file of a folder, cut off after ``keep`` bytes, or with some bytes overwritten.
 
-    The file systems' streams do it, so nothing is held in memory.
+    The file systems' streams do it, so nothing is held in memory. Other files of the folder are moved beside the copy.
     """
     hadoop, copy = spark._jvm.org.apache.hadoop, spark._jvm.org.apache.commons.io.IOUtils.copyLarge
     store = hadoop.fs.Path(source).getFileSystem(spark._jsc.hadoopConfiguration())
-    (found,) = [f for f in store.listStatus(hadoop.fs.Path(source)) if f.getPath().getName().endswith(".parquet")]
+    files = [f for f in store.listStatus(hadoop.fs.Path(source)) if f.getPath().getName().endswith(".parquet")]
+    found, *others = sorted(files, key=lambda f: f.getPath().getName())
     read, write = store.open(found.getPath()), store.create(hadoop.fs.Path(f"{target}/part.parquet"))
     end = found.getLen() if keep is None else min(keep, found.getLen())
     if wrong is None:
@@ -86,3 +87,5 @@ def damaged_copy(spark: SparkSession, source: str, target: str, keep: int | None
         copy(read, write, 0, end - wrong[1])
     read.close()
     write.close()
+    for file in others:
+        store.rename(file.getPath(), hadoop.fs.Path(target, file.getPath().getName()))

@@ -514,10 +514,13 @@ def rejected_parquet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Rows of a row group of the damaged delivery; the bytes overwritten lie within its first one.
 GROUP_ROWS, WRONG_BYTES = 50, (200, 600)
+# Rows of a file of that delivery, about.
+FILE_ROWS = 20_000
 
 
 def _damaged_trips(spark: SparkSession, sf_dir: str) -> str:
-    """Deliveries in one folder: a plain one, one whose types drifted, one cut off, one with a damaged page."""
+    """Deliveries in one folder: a plain one, one whose types drifted, one cut off, one with a damaged page in its first
+    file."""
     made = shared_dir(spark, "damage")
     folder = f"{made}/raw"
     trips = raw_trips(spark, sf_dir).withColumns(
@@ -526,11 +529,13 @@ def _damaged_trips(spark: SparkSession, sf_dir: str) -> str:
     trips.filter("vendorid = 1").write.parquet(f"{folder}/2024-01")
     drifted = trips.filter("payment_type in (1, 3)").withColumn("passenger_count", F.col("passenger_count").cast("double"))
     drifted.write.parquet(f"{folder}/2024-02")
-    trips.filter("payment_type = 5").coalesce(1).write.parquet(f"{made}/whole-03")
+    trips.filter("payment_type = 5").repartition(1).write.parquet(f"{made}/whole-03")
     damaged_copy(spark, f"{made}/whole-03", f"{folder}/2024-03", keep=4000)
     order = ["total_amount", "tip_amount", F.asc_nulls_first("tpep_pickup_datetime"), "pulocationid", "dolocationid", "trip_distance"]
-    last = trips.filter("payment_type = 7").coalesce(1).sortWithinPartitions(*order)
-    last.write.option("parquet.block.row.count.limit", GROUP_ROWS).parquet(f"{made}/whole-04")
+    last = trips.filter("payment_type = 7")
+    parts = last.count() // FILE_ROWS + 1
+    last = last.repartition(1) if parts == 1 else last.repartitionByRange(parts, *order)
+    last.sortWithinPartitions(*order).write.option("parquet.block.row.count.limit", GROUP_ROWS).parquet(f"{made}/whole-04")
     damaged_copy(spark, f"{made}/whole-04", f"{folder}/2024-04", wrong=WRONG_BYTES)
     return folder
 
