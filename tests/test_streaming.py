@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripmart.operators.incremental import incremental_fact
 from tripmart.operators.staging import dim_zones, silver_trips, stage_zones
@@ -123,3 +124,16 @@ def test_a_broken_run_goes_on_with_its_mark(spark, zones, tmp_path):
     with pytest.raises(Exception, match="stopped"):
         ingest.incremental_stream(files, zones, WAREHOUSE, target, state, "2024-02-01", failing).awaitTermination()
     assert len(run_of(spark, zones, landing, target, state, max_files=1)) == 2
+
+
+def test_a_batch_of_one_file_is_dealt_over_the_cores(spark, tmp_path):
+    spark.range(1000).selectExpr("id as vendorid").coalesce(1).write.parquet(str(tmp_path / "in"))
+    schema, spread = spark.read.parquet(str(tmp_path / "in")).schema, []
+
+    def look(batch, _):
+        spread.append(batch.groupBy(F.spark_partition_id()).count().collect())
+
+    files = ingest.trip_files(spark, str(tmp_path / "in"), schema, max_files=1)
+    files.writeStream.foreachBatch(look).trigger(availableNow=True).start().awaitTermination()
+    (batch,) = spread
+    assert len(batch) == spark.sparkContext.defaultParallelism and sum(row["count"] for row in batch) == 1000

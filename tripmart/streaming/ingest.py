@@ -21,11 +21,16 @@ from tripmart.sources.tables import exists, remove
 def trip_files(
     spark: SparkSession, source: str, schema: T.StructType = TRIPS, max_files: int | None = None
 ) -> DataFrame:
-    """A stream over Parquet files as they arrive. ``max_files`` bounds one micro-batch when a backlog is large."""
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(source)
+    """A stream over Parquet files as they arrive. ``max_files`` bounds one micro-batch when a backlog is large.
+
+    A file is often one row group and thus one task, whatever its size. Batches of fewer files than there are cores are
+    dealt over all of them, so that only decoding is left to that task.
+    """
+    reader, cores = spark.readStream.schema(schema), spark.sparkContext.defaultParallelism
+    if not max_files:
+        return reader.parquet(source)
+    files = reader.option("maxFilesPerTrigger", max_files).parquet(source)
+    return files.repartition(cores, *files.columns) if max_files < cores else files
 
 
 def ingest_stream(trips: DataFrame, target: str, checkpoint: str, as_of: AsOf = None) -> StreamingQuery:
