@@ -44,6 +44,18 @@ def test_rounding(rows):
     assert [r[0] for r in df.select(round_half_up(F.col("x"))).collect()] == [1.01, -1.01, 2.68, None, 1e20]
 
 
+@pytest.mark.parametrize("places", [0, 2, 6])
+def test_rounding_is_that_of_decimals_and_mostly_without_them(spark, places):
+    some = spark.range(200_000).selectExpr("(rand(7) - 0.5) * pow(10, id % 13) as x")
+    ties = spark.range(-20_000, 20_000).selectExpr(f"(id + 0.5) / {10**places}.0 as x")
+    close = ties.selectExpr("x + x * 1e-15 as x").union(ties.selectExpr("x - x * 1e-12 as x"))
+    odd = spark.sql("select explode(array(double('nan'), double('inf'), -0.0D, -1e-9D, 1e300D, null)) as x")
+    df = some.union(ties).union(close).union(odd)
+    fixed = F.coalesce(F.round(F.col("x").try_cast("decimal(28,10)"), places).cast("double"), F.col("x"))
+    shown = df.select(round_half_up(F.col("x"), places).alias("a"), fixed.alias("b"))
+    assert shown.filter(~F.col("a").cast("string").eqNullSafe(F.col("b").cast("string"))).collect() == []
+
+
 def test_division_by_zero(rows):
     row = rows("a double, b double", (1.0, 0.0)).select(safe_ratio(F.col("a"), F.col("b"))).first()
     assert row[0] is None

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # Amounts below this are added as decimals; a sum of 1e11 of them still fits.
 _DECIMAL_LIMIT = "1e19D"
 
+# Units up to which doubles are rounded without decimals, and how far from a tie: their error there is below 1e-6, and the
+# ten places of the decimal are at most 1e-4 of a unit.
+_PLAIN_UNITS, _NEAR_TIE = 1e9, 1e-3
+
 
 def exact_sum(name: str) -> Column:
     """Sum of a column as a double, the same to the last digit for every row order, partitioning or retried task.
@@ -27,9 +31,18 @@ def exact_avg(name: str) -> Column:
 
 
 def round_half_up(value: Column, places: int = 2) -> Column:
-    """Decimal rounding of a double. Beyond 1e18 doubles have no decimal places and stay as they are."""
+    """Decimal rounding of a double. Beyond 1e18 doubles have no decimal places and stay as they are.
+
+    Decimals decide near ties only. Elsewhere the nearest whole number of units is plain, and dividing it gives the double
+    nearest to that decimal, which is the one that the decimal is cast to.
+    """
     fixed = F.round(value.try_cast("decimal(28,10)"), places)
-    return F.coalesce(fixed.cast("double"), value.cast("double"))
+    exact = F.coalesce(fixed.cast("double"), value.cast("double"))
+    if not 0 <= places <= 6:
+        return exact
+    units = value.cast("double") * F.lit(float(10**places))
+    plain = (F.abs(units) < _PLAIN_UNITS) & (F.abs(units - F.floor(units) - 0.5) > _NEAR_TIE)
+    return F.when(plain, F.floor(units + 0.5) / F.lit(float(10**places))).otherwise(exact)
 
 
 def safe_ratio(top: Column, bottom: Column) -> Column:
