@@ -14,6 +14,7 @@ from tests.llm.conftest import WORDS, edge_rows, sentence
 from tripmart.llm import ann, components, jaccard, stages, suffixes
 from tripmart.llm.oracle import llm_oracles
 from tripmart.llm.queries import llm_queries
+from tripmart.llm.shingles import shingle_sets as shingles_of_texts
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -61,6 +62,16 @@ def test_jaccard_join(spark, monkeypatch, block):
     assert found == plain_components(rows)
 
 
+@pytest.mark.parametrize("share", [0, 0.5, 1])
+def test_links_do_not_depend_on_which_ngrams_count_as_common(spark, monkeypatch, share):
+    rows = variants(1, 30, 0.02) + variants(2, 30, 0.05)
+    every = np.unique(np.concatenate(list(shingles_of_texts([text for _, text in rows]))))
+    chosen = every[np.random.default_rng(3).random(len(every)) < share]
+    monkeypatch.setattr(jaccard, "_common_shingles", lambda *args: chosen)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(r) for r in jaccard.linked_components(docs).collect()) == plain_components(rows)
+
+
 def test_sketches_of_large_clusters_never_meet(spark, monkeypatch):
     handed, apply = [], GroupedData.applyInPandas
 
