@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from tripmart.operators import replies
 from tripmart.operators.replies import parse_replies
 
 LONG = "x" * 300
@@ -64,3 +66,19 @@ def test_no_python_in_the_plan(spark):
 def test_short_explanations_on_request(spark):
     texts = spark.createDataFrame([(LONG + "\nmore",), ("first\nsecond",)], "reply string")
     assert [r.explanation for r in parse_replies(texts, text_length=250).collect()] == [LONG[:250], "first"]
+
+
+def test_plain_objects_are_read_once_with_the_same_fields(spark):
+    texts = [
+        '{"score": 0.5, "is_anomaly": true}', ' {"score": 1} ', "{}", '{"score": "}"}', '{"score": 1', '{"score": yes}',
+        '{"score": {"a": 1}}', '{"score": 1, "score": 2}', '{"score": 1} x', '{"a": [1, 2], "reason": null}', "{]}", "{",
+        "}", '{"score": "{"}', '{"_broken": 1, "score": NaN}', "{'score': 1}", '{"score": 1,}', '{"score": 1}, "x": {}',
+        "", '[{"score": 1}]', '{"score": "é}', '{"score": 1e400}', '{"reason": "a\tb"}',
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", replies._plain_object(F.col("t")))
+    nothing = F.when(F.col("t").isNull(), F.col("p"))
+    once, twice = (replies._json_object(F.col("t"), plain) for plain in (F.col("p"), nothing))
+    shown = [F.to_json(F.struct(*[c.getField(k).cast("string").alias(k) for k in replies._KEYS], c.isNull())) for c in (once, twice)]
+    found = df.select("t", *[c.alias(n) for c, n in zip(shown, ("once", "twice"), strict=True)], "p").collect()
+    assert all(r.once == r.twice for r in found), [r for r in found if r.once != r.twice]
+    assert [r.p is not None and r.p["_broken"] is None for r in found][:7] == [True, True, True, False, False, False, False]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.session import over_all_cores
+
 AS_OF = "2026-01-01 00:00:00"
 
 _PICKUP = (
@@ -49,8 +51,10 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return helpers.select(*[F.expr(text).alias(name) for name, text in _TRIP_COLUMNS.items()])
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+def raw_trips(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Trips of the stored line items; ``spread`` deals them over all cores, for work that costs more than the scan."""
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return trips_from_lineitem(over_all_cores(lineitem, "l_orderkey", "l_linenumber") if spread else lineitem)
 
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,33 +21,44 @@ _NUMBER = r"(?i)[+-]?(([0-9][0-9_]*(\.([0-9][0-9_]*)?)?|\.[0-9][0-9_]*)(e[+-]?[0
 # The reader stops after the first complete value; this key at the very end shows that nothing followed it.
 _END = "reply-ends-here"
 _OPTIONS = {"allowSingleQuotes": "false"}
-_FIELDS = ", ".join(f"{key} variant" for key in (*SCORE_KEYS, *FLAG_KEYS, *TEXT_KEYS))
+_MOST_CHARS = (1 << 31) - 1
+_KEYS = (*SCORE_KEYS, *FLAG_KEYS, *TEXT_KEYS)
+_BROKEN = "_broken"
+_FIELDS = ", ".join([*(f"{key} variant" for key in _KEYS), f"{_BROKEN} string"])
+_READ = {**_OPTIONS, "columnNameOfCorruptRecord": _BROKEN}
 
 
-def _json_object(text: Column) -> Column:
+def _plain_object(text: Column) -> Column:
+    """The known fields of a text with one brace at either end and no other, else null.
+
+    Such an object can only end at the last character, so nothing follows it; ``_broken`` holds the text if it is none.
+    """
+    inner = F.trim(text, F.lit(" \t\r\n"))
+    braces = inner.startswith("{") & (F.instr(F.substring(inner, 2, _MOST_CHARS), "{") == 0)
+    return F.when(braces & (F.instr(inner, "}") == F.length(inner)), F.from_json(text, _FIELDS, _READ))
+
+
+def _json_object(text: Column, plain: Column) -> Column:
     """The reply's known fields, or null unless the whole text is one JSON object.
 
-    Fields stay variants, so that false, "false" and 0 can be told apart.
+    Fields stay variants, so that false, "false" and 0 can be told apart. Only what ``plain`` does not settle is read again
+    between keys.
     """
     wrapped = F.from_json(
         F.concat(F.lit('{"reply":'), text, F.lit(f',"{_END}":1}}')), "map<string,string>", _OPTIONS
     )
     opened = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
     whole = F.map_keys(wrapped) == F.array(F.lit("reply"), F.lit(_END))
-    return F.when(opened & whole, F.from_json(text, _FIELDS, _OPTIONS))
+    settled = plain.isNotNull() & plain[_BROKEN].isNull()
+    return F.when(settled, plain).when(opened & whole, F.from_json(text, _FIELDS, _OPTIONS))
 
 
 def _as(value: Column, kind: str) -> Column:
     return F.try_variant_get(value, "$", kind)
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
-
-
-def _truthy(value: Column) -> Column:
+def _truthy(value: Column, kind: Column) -> Column:
     """False for absent, null, false, zero, and empty text, list or object; true for anything else."""
-    kind = _kind(value)
     return F.coalesce(
         F.when(kind == "VOID", F.lit(False))
         .when(kind == "BOOLEAN", _as(value, "boolean"))
@@ -58,9 +69,8 @@ def _truthy(value: Column) -> Column:
     )
 
 
-def _number(value: Column) -> Column:
+def _number(value: Column, kind: Column) -> Column:
     """A truthy value as a number; null where it has none."""
-    kind = _kind(value)
     text = strip(_as(value, "string"))
     return (
         F.when(kind == "BOOLEAN", F.lit(1.0))
@@ -79,17 +89,23 @@ def parse_replies(df: DataFrame, col: str = "reply", text_length: int | None = N
     A JSON object (optionally in quotes) is read by its keys, the first truthy alias winning. Anything else, a list, a
     broken object or a score that is no number, is searched as text.
     """
-    read = df.withColumn("_piece", strip(F.coalesce(F.col(col), F.lit("")))).withColumn(
-        "_json", _json_object(strip_quotes(F.col("_piece")))
-    )
-    score, other_score = (F.col(f"_json.{key}") for key in SCORE_KEYS)
-    flag, other_flag = (F.col(f"_json.{key}") for key in FLAG_KEYS)
-    text, other_text = (F.col(f"_json.{key}") for key in TEXT_KEYS)
+    read = df.withColumn("_piece", strip(F.coalesce(F.col(col), F.lit(""))))
+    unquoted = strip_quotes(F.col("_piece"))
+    # Columns of their own: what several expressions use is then worked out once a row.
+    read = read.withColumn("_plain", _plain_object(unquoted))
+    read = read.withColumn("_json", _json_object(unquoted, F.col("_plain")))
+    read = read.withColumn("_kinds", F.struct(*[F.schema_of_variant(F.col(f"_json.{key}")).alias(key) for key in _KEYS]))
+    fields = {key: (F.col(f"_json.{key}"), F.col(f"_kinds.{key}")) for key in _KEYS}
+    score, other_score = (fields[key] for key in SCORE_KEYS)
+    flag, other_flag = (fields[key] for key in FLAG_KEYS)
+    text, other_text = (fields[key] for key in TEXT_KEYS)
     json_score = (
-        F.when(_truthy(score), _number(score)).when(_truthy(other_score), _number(other_score)).otherwise(F.lit(0.0))
+        F.when(_truthy(*score), _number(*score)).when(_truthy(*other_score), _number(*other_score)).otherwise(F.lit(0.0))
     )
     json_text = (
-        F.when(_truthy(text), _as(text, "string")).when(_truthy(other_text), _as(other_text, "string")).otherwise("")
+        F.when(_truthy(*text), _as(text[0], "string"))
+        .when(_truthy(*other_text), _as(other_text[0], "string"))
+        .otherwise("")
     )
     scored = read.withColumn("_score", F.when(F.col("_json").isNotNull(), json_score))
     is_json = F.col("_score").isNotNull()
@@ -103,11 +119,11 @@ def parse_replies(df: DataFrame, col: str = "reply", text_length: int | None = N
     return scored.withColumns(
         {
             "score": F.coalesce("_score", found, F.lit(0.0)),
-            "is_anomaly": F.when(is_json, _truthy(flag) | _truthy(other_flag)).otherwise(
+            "is_anomaly": F.when(is_json, _truthy(*flag) | _truthy(*other_flag)).otherwise(
                 worded & piece.rlike(FLAG_PATTERN)
             ),
             "explanation": F.when(is_json, json_text).otherwise(
                 piece if text_length is None else F.substring(F.substring_index(piece, "\n", 1), 1, text_length)
             ),
         }
-    ).drop("_piece", "_json", "_score")
+    ).drop("_piece", "_plain", "_json", "_kinds", "_score")
