@@ -283,3 +283,26 @@ def test_single_rows(rows):
     assert [(r.score, r.is_anomaly, r.explanation) for r in scored] == [
         (0.0, False, "typical trip"), (0.3, True, "unusual fare"),
     ]
+
+
+def test_batches_cross_arrow_chunks_and_carry_only_their_prompts(rows, spark):
+    key, sizes = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.sparkContext.accumulator(0)
+
+    def count(request):
+        sizes.add(1)
+        return "\n---\n".join(request.split("\n\n---\n\n"))
+
+    before = spark.conf.get(key)
+    spark.conf.set(key, 7)
+    try:
+        scored = s.score_batches(numbered(rows, 103), count, batch_size=10)
+        got = replies(scored)
+    finally:
+        spark.conf.set(key, before)
+    assert got == {i: f"p{i}" for i in range(1, 104)} and sizes.value == 11
+    assert "collect_list" not in scored._jdf.queryExecution().toString()
+
+
+def test_one_large_row_group_is_scored_by_all_cores(spark):
+    scored = queries.all_queries()["score_features"](spark, SF_DIR)
+    assert scored.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

@@ -8,13 +8,15 @@ import time
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import lru_cache
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.functions.text import LINE_BREAK, printed, strip
+from tripmart.functions.text import printed
 from tripmart.functions.timestamps import AsOf, clock
 from tripmart.operators.numbering import numbered
 from tripmart.operators.replies import parse_replies
@@ -212,11 +214,30 @@ def _ask_together(scorer: Scorer, batch_size: int, how: Requests):
     return F.pandas_udf(ask, "string").asNondeterministic()
 
 
-def _pieces(text: Column, wanted: Column) -> Column:
-    """One reply per row: split at separators, or at lines when there are too few of them."""
-    parts = F.transform(F.split(text, REPLY_SEPARATOR), strip)
-    lines = F.filter(F.transform(F.split(text, LINE_BREAK), strip), lambda line: line != "")
-    return F.when(F.size(parts) >= wanted, parts).otherwise(lines)
+def _ask_by_batch(scorer: Scorer, how: Requests):
+    """The scorer as an Arrow-batched function of batch numbers, in order, and single prompts; null where it failed.
+
+    The last batch of a chunk may go on in the next one, so it waits for that.
+    """
+
+    def answered(held: pd.DataFrame) -> pd.Series:
+        cuts = np.flatnonzero(np.diff(held["number"].to_numpy())) + 1
+        batches = [some for some in np.split(held["prompt"].to_numpy(), cuts) if len(some)]
+        answers = how.answers(scorer, [REQUEST_SEPARATOR.join(some) for some in batches])
+        replies = [r for some, text in zip(batches, answers, strict=True) for r in _replies_of(text, len(some))]
+        return pd.Series(replies, dtype=object)
+
+    def ask(chunks: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        held = pd.DataFrame({"number": pd.Series(dtype="int64"), "prompt": pd.Series(dtype=object)})
+        for numbers, prompts in chunks:
+            held = pd.concat([held, pd.DataFrame({"number": numbers, "prompt": prompts})], ignore_index=True)
+            waits = held["number"] == held["number"].iloc[-1:].sum()
+            yield answered(held[~waits])
+            held = held[waits]
+        yield answered(held)
+
+    ask.__annotations__ = {"chunks": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
+    return F.pandas_udf(ask, "string").asNondeterministic()
 
 
 def score_batches(
@@ -224,24 +245,17 @@ def score_batches(
 ) -> DataFrame:
     """Adds ``reply`` to rows that have ``row_id`` (numbered from 1) and ``prompt``.
 
-    Rows are grouped by number, so a group never holds more than ``batch_size`` of them, and requests run on the
-    executors. ``parallel`` spreads few batches over that many tasks; without it small data may end up in one. ``how`` says
-    how many requests a task has in flight and how often it tries. A task that is run again asks again, so store the result before using it twice. ``failed`` marks rows whose request raised.
+    Rows are dealt to tasks by batch and sorted there, so a request never holds more than ``batch_size`` of them and no
+    row carries another's text. ``parallel`` spreads few batches over that many tasks; without it small data may end up in
+    one. ``how`` says how many requests a task has in flight and how often it tries. A task that is run again asks again, so
+    store the result before using it twice. ``failed`` marks rows whose request raised.
     """
     carried = [name for name in rows.columns if name != "row_id"]
-    batch = F.floor((F.col("row_id") - 1) / batch_size).alias("batch_id")
-    grouped = rows.groupBy(batch).agg(F.array_sort(F.collect_list(F.struct("row_id", *carried))).alias("items"))
-    if parallel:
-        grouped = grouped.repartition(parallel, "batch_id")
-    request = F.array_join(F.transform("items", lambda item: item["prompt"]), REQUEST_SEPARATOR)
-    answered = grouped.withColumn("text", _ask(scorer, how)(request))
-    spread = answered.withColumn("pieces", _pieces(F.col("text"), F.size("items"))).select(
-        "text", "pieces", F.posexplode("items").alias("position", "item")
-    )
-    reply = F.when(F.col("text").isNull(), FAILED_REPLY).otherwise(
-        F.coalesce(F.get("pieces", F.col("position")), F.lit(""))
-    )
-    return spread.select("item.*", reply.alias("reply"), F.col("text").isNull().alias("failed"))
+    numbered_rows = rows.withColumn("_batch", F.floor((F.col("row_id") - 1) / batch_size))
+    dealt = numbered_rows.repartition(*([parallel] if parallel else []), "_batch").sortWithinPartitions("_batch", "row_id")
+    asked = dealt.withColumn("reply", _ask_by_batch(scorer, how)("_batch", "prompt"))
+    failed = asked.withColumn("failed", F.col("reply").isNull())
+    return failed.select("row_id", *carried, F.coalesce("reply", F.lit(FAILED_REPLY)).alias("reply"), "failed")
 
 
 def score_rows(rows: DataFrame, scorer: Scorer, batch_size: int = BATCH_SIZE, how: Requests = Requests()) -> DataFrame:
@@ -281,19 +295,22 @@ def ai_flags(scored: DataFrame, as_of: AsOf = None) -> DataFrame:
 _FEATURE_VALUES = re.compile(r"fare_amount: (\S+), trip_distance: (\S+), trip_duration_mins: (\S+),")
 
 
+@lru_cache(maxsize=8)
+def _rule_reply(over: tuple[str, ...]) -> str:
+    return json.dumps(
+        {
+            "score": round(0.3 * len(over), 1),
+            "is_anomaly": bool(over),
+            "explanation": "unusual " + " and ".join(over) if over else "typical trip",
+        }
+    )
+
+
 def rule_scorer(request: str) -> str:
     """An offline scorer with fixed rules, for tests and dry runs: long, far or expensive trips stand out."""
     replies = []
     for fare, distance, minutes in _FEATURE_VALUES.findall(request):
         limits = (("fare", fare, 50), ("distance", distance, 25), ("duration", minutes, 85))
-        over = [name for name, value, limit in limits if value != "None" and float(value) > limit]
-        replies.append(
-            json.dumps(
-                {
-                    "score": round(0.3 * len(over), 1),
-                    "is_anomaly": bool(over),
-                    "explanation": "unusual " + " and ".join(over) if over else "typical trip",
-                }
-            )
-        )
+        over = tuple(name for name, value, limit in limits if value != "None" and float(value) > limit)
+        replies.append(_rule_reply(over))
     return REPLY_SEPARATOR.join(replies)
