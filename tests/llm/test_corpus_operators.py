@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.group import GroupedData
@@ -253,3 +254,16 @@ def test_suffix_digest(spark):
     rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect())
     for doc_id, size, spans, kept in plain_removed(rows):
         assert found[doc_id] == (size, sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest())
+
+
+@pytest.mark.parametrize("chars", [1, 40, 1 << 17])
+def test_links_in_a_small_group_of_arrow_rows(monkeypatch, chars):
+    monkeypatch.setattr(jaccard, "SET_CHARS", chars)
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join(words[1:]), "other words are in here", " ".join(words[:-1]), " ".join(words)]
+    rows = pa.table({"doc": [4, 2, 3, 9, 4], "part": [-1, 0, -1, 0, -1], "text": texts})
+    every = jaccard._linked_in(rows, jaccard.Rule(85), 4, centre_only=False)
+    assert len(every) == 1 and 4 in every.to_pylist()[0].values()
+    centre = jaccard._linked_in(rows, jaccard.Rule(85), 4, centre_only=True)
+    assert centre.schema.names == ["u", "v"] and centre.to_pylist() == [{"u": 2, "v": 4}]
+    assert jaccard._linked_in(rows.slice(2, 1), jaccard.Rule(85), 4, centre_only=False).num_rows == 0
