@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -176,6 +177,14 @@ def test_repeated_bytes(spark, edge_docs, no_docs, monkeypatch):
     assert suffixes.removed(no_docs).collect() == []
 
 
+def test_runs_fill_all_bins_evenly():
+    pick = random.Random(3)
+    texts = suffixes._Texts(list(range(100)), ["".join(pick.choices(string.ascii_lowercase, k=2000)) for _ in range(100)])
+    rows = suffixes._binned("run", "gram", suffixes.runs_of(texts), texts.docs, 32)
+    sizes = [len(suffixes._records(records, suffixes._RUN, "gram")) for _, _, records, _ in rows]
+    assert len(sizes) == 32 and max(sizes) < 2 * sum(sizes) / 32
+
+
 def plain_neighbours(ids, vectors, k):
     out = {}
     for q in np.flatnonzero(ids % 20 == 0):

@@ -98,7 +98,8 @@ def runs_of(texts: _Texts) -> np.ndarray:
     at = anchor[low]
     doc = np.searchsorted(texts.ends, low, "right")
     out = np.zeros(len(low), dtype=_RUN)
-    out["gram"] = grams[at]
+    # The smallest of many hashes is small; spread again, it deals the runs evenly over all bins.
+    out["gram"] = mixed(grams[at])
     out["run"] = mixed(texts.rolling.hashes(low, high + DEPTH) + (at - low).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     # Without enough bytes on a side, no window reaches that far, and the value is one that others hardly have.
     other = mixed(texts.docs["mark"][doc] + low.astype(np.uint64))
