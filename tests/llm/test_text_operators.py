@@ -50,6 +50,39 @@ def thue_morse(size):
     return word, word.translate(str.maketrans("ab", "ba"))
 
 
+class Counted:
+    """The library, and how many texts it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_library_gets_many_pieces_at_once(tokenizer):
+    encoder = tokenfile.PieceEncoder(PATH)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    words = [f"{a}{b}{c}" for a in WORDS for b in WORDS for c in ("", "q", "é")]
+    blanks = ["  ", " \n", "\n\n \t", "\u00a0", " \u00a0 ", "\u2003", " 12", " '", "'s", " 's", "<|endoftext|>", " <|", "endoftext|>", " \U0001f600", ""]
+    texts = [" " + " ".join(words), "".join(a + b + "x" for a in blanks for b in blanks), "".join(blanks[::-1])]
+    for given, most in ((texts[:1], 10), (texts, 200), (texts, 0)):
+        counted.given = 0
+        ids, places = encoder.encode(given)
+        assert counted.given <= most
+        for text, a, b in zip(given, places[:-1], places[1:], strict=True):
+            assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_joined_pieces_are_told_where_merges_cross(tokenizer):
+    encoder = tokenfile.PieceEncoder(PATH)
+    pieces = [b" the", b"re", b" is", b" not", b"h", b"ing"]
+    ids, at, own = encoder._joined(b"".join(pieces), np.cumsum([len(p) for p in pieces]))
+    assert own.tolist() == [False, False, True, False, False, False]
+    assert ids[at[2] : at[3]].tolist() == tokenizer.encode(" is", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("size", [1024, 2048, 4096])
 def test_equal_pieces_are_equal_bytes(tokenizer, size):
     one, two = thue_morse(size)

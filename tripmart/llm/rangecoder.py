@@ -46,10 +46,13 @@ class _Model:
     up by ``refresh`` only, so a step is a few lookups and two stores.
     """
 
-    def __init__(self, blocks: int, symbols: int, block: np.ndarray):
-        self.blocks, self.symbols = blocks, symbols
+    def __init__(self, blocks: int, symbols: int, block: np.ndarray, searched: bool = False):
+        self.blocks, self.symbols, self.searched = blocks, symbols, searched
         self.counts = np.ones((blocks, symbols), dtype=np.int32)
         self.sums = np.zeros((blocks, symbols + 1), dtype=np.int32)
+        self.flat_sums = self.sums.reshape(-1)
+        if searched:
+            self.ordered = np.full(self.counts.size + _JUMP, np.iinfo(np.int32).max, dtype=np.int32)
         self.slots = [np.zeros(blocks * CONTEXTS, dtype=np.int32) for _ in range(2)]
         self.right = [np.full(blocks * _STATES, 0.4) for _ in range(2)]
         self.tried = [np.full(blocks * _STATES, 1.0) for _ in range(2)]
@@ -63,22 +66,20 @@ class _Model:
         if self.pending:
             seen, outcome = (np.concatenate(x) for x in zip(*self.pending, strict=True))
             self.pending.clear()
-            missed = seen[(outcome & 1) == 1]
-            self.counts += (_STEP * np.bincount(missed, minlength=self.counts.size)).astype(np.int32).reshape(self.counts.shape)
+            np.add.at(self.counts.reshape(-1), seen[(outcome & 1) == 1], np.int32(_STEP))
             by = np.bincount(outcome, minlength=self.blocks * _STATES * 4).reshape(-1, 4)
             self.tried[1] += by.sum(axis=1)
             self.right[1] += by[:, 0]
             self.tried[0] += by[:, 2] + by[:, 3]
             self.right[0] += by[:, 2]
         np.cumsum(self.counts, axis=1, out=self.sums[:, 1:])
-        self.flat_sums = self.sums.reshape(-1)
         self.size = self.sums[:, -1].astype(np.int64)
-        # One ascending sequence for all blocks, for the decoder's search.
-        self.stride = int(self.size.max()) + 1
-        offsets = (np.arange(self.blocks, dtype=np.int32) * self.stride).astype(np.int32)
-        self.ordered = np.full(self.counts.size + _JUMP, np.iinfo(np.int32).max, dtype=np.int32)
-        self.ordered[: self.counts.size] = (self.sums[:, :-1] + offsets[:, None]).reshape(-1)
-        self.coarse = self.ordered[: self.counts.size : _JUMP].copy()
+        if self.searched:
+            # One ascending sequence for all blocks, for the decoder's search.
+            self.stride = int(self.size.max()) + 1
+            offsets = (np.arange(self.blocks, dtype=np.int32) * self.stride).astype(np.int32)
+            np.add(self.sums[:, :-1], offsets[:, None], out=self.ordered[: self.counts.size].reshape(self.counts.shape))
+            self.coarse = self.ordered[: self.counts.size : _JUMP].copy()
         second, first = (np.minimum(self.right[k] / self.tried[k], 0.875) for k in (1, 0))
         self.share2 = (second * _TOTAL).astype(np.int64)
         # Neither share is ever empty, and the table keeps at least a sixteenth, more than it has counts.
@@ -91,11 +92,11 @@ class _Model:
         base = self.at_context[:k]
         one = base + (last & (CONTEXTS - 1))
         two = base + (((last * 40503 + before * 60493) ^ (before >> 4)) & (CONTEXTS - 1))
-        held1, held2 = self.slots[0][one], self.slots[1][two]
+        held1, held2 = self.slots[0].take(one), self.slots[1].take(two)
         guess1, guess2 = held1 & _ID_MASK, held2 & _ID_MASK
         same = guess1 == guess2
         state = self.at_state[:k] + (((held2 >> _ID_BITS) << 5) | ((held1 >> _ID_BITS) << 1) | same)
-        return one, two, held1, held2, guess1, guess2, same, state, self.share2[state], self.both[state]
+        return one, two, held1, held2, guess1, guess2, same, state, self.share2.take(state), self.both.take(state)
 
     def place(self, target: np.ndarray) -> np.ndarray:
         """Where the last of ``ordered`` stands that is not above the target: first among every ``_JUMP``-th one, whose
@@ -103,7 +104,7 @@ class _Model:
         place = (np.searchsorted(self.coarse, target, "right") - 1) * _JUMP
         half = _JUMP // 2
         while half:
-            place += half * (self.ordered[place + half] <= target)
+            place += half * (self.ordered.take(place + half) <= target)
             half //= 2
         return place
 
@@ -115,10 +116,16 @@ class _Model:
             weaker = np.where(trust > 1, (held & _ID_MASK) | ((trust >> 1) << _ID_BITS), ids)
             self.slots[table][at] = np.where(hit, held + ((trust < _CONFIDENCE - 1).astype(np.int32) << _ID_BITS), weaker)
         # 0: first right; 1: first wrong and the second the same; 2: second right; 3: both wrong.
-        outcome = np.where(hit2, 0, np.where(same, 1, np.where(hit1, 2, 3)))
+        outcome = ~hit2 * (3 - hit1.view(np.int8) - 2 * same.view(np.int8))
         self.pending.append((self.at_symbol[:k] + ids, state * 4 + outcome))
 
 
+def _divided(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a // b`` of whole numbers from 0, below 2 ** 52 in sum. The quotient as a double is then never rounded up to the next
+    whole number, and is much faster than a division of integers."""
+    return (a / b).astype(np.int64)
+
+
 def _refresh_due(step: int) -> bool:
     return step in (1, 2, 4, 8, 16) or step % 32 == 0
 
@@ -170,16 +177,17 @@ def _encode_group(blocks: list[np.ndarray], symbols: int) -> list[bytes]:
         if _refresh_due(step):
             model.refresh()
         k = lanes.active(step)
-        ids = flat[first[:k] + step]
+        ids = flat.take(first[:k] + step)
         found = model.predict(k, last[:k], before[:k])
         guess1, guess2, share2, both = found[4], found[5], found[8], found[9]
         hit2 = ids == guess2
         hit1 = (ids == guess1) & ~hit2
         begin, end = np.where(hit2, 0, share2), np.where(hit2, share2, both)
         other = np.flatnonzero(~(hit2 | hit1))
-        place, rest, size = model.at_sum[other] + ids[other], _TOTAL - both[other], model.size[lanes.block[other]]
-        begin[other] = both[other] + model.flat_sums[place] * rest // size
-        end[other] = both[other] + model.flat_sums[place + 1] * rest // size
+        place, above, size = model.at_sum.take(other) + ids.take(other), both.take(other), model.size.take(lanes.block.take(other))
+        rest = _TOTAL - above
+        begin[other] = above + _divided(model.flat_sums.take(place) * rest, size)
+        end[other] = above + _divided(model.flat_sums.take(place + 1) * rest, size)
         unit = width[:k] >> _TOTAL_BITS
         low[:k] += unit * begin
         width[:k] = unit * (end - begin)
@@ -237,7 +245,7 @@ def _decode_group(payloads: list[bytes]) -> list[np.ndarray]:
     every = np.concatenate(counts)
     place = (np.cumsum(every) - every)[lanes.order]
     n, steps = len(lanes.block), int(lanes.length[0])
-    model = _Model(len(payloads), symbols, lanes.block)
+    model = _Model(len(payloads), symbols, lanes.block, searched=True)
     code = digits[place].astype(np.int64) << 32 | digits[place + 1].astype(np.int64) << 16 | digits[place + 2]
     place += 3
     width = np.full(n, 1 << 48, dtype=np.int64)
@@ -250,21 +258,21 @@ def _decode_group(payloads: list[bytes]) -> list[np.ndarray]:
         found = model.predict(k, last[:k], before[:k])
         guess1, guess2, share2, both = found[4], found[5], found[8], found[9]
         unit = width[:k] >> _TOTAL_BITS
-        value = np.minimum(code[:k] // unit, _TOTAL - 1)
+        value = np.minimum(_divided(code[:k], unit), _TOTAL - 1)
         hit2 = value < share2
         hit1 = (value < both) & ~hit2
         begin, end = np.where(hit2, 0, share2), np.where(hit2, share2, both)
         ids = np.where(hit2, guess2, guess1)
         other = np.flatnonzero(value >= both)
         if len(other):
-            b, rest = lanes.block[other], _TOTAL - both[other]
-            size = model.size[b]
-            target = ((value[other] - both[other] + 1) * size - 1) // rest + b * model.stride
+            b, above = lanes.block.take(other), both.take(other)
+            rest, size = _TOTAL - above, model.size.take(b)
+            target = _divided((value.take(other) - above + 1) * size - 1, rest) + b * model.stride
             flat = model.place(target.astype(np.int32))
             ids[other] = flat - b * symbols
             at = flat + b
-            begin[other] = both[other] + model.flat_sums[at] * rest // size
-            end[other] = both[other] + model.flat_sums[at + 1] * rest // size
+            begin[other] = above + _divided(model.flat_sums.take(at) * rest, size)
+            end[other] = above + _divided(model.flat_sums.take(at + 1) * rest, size)
         code[:k] -= unit * begin
         width[:k] = unit * (end - begin)
         due = np.flatnonzero(width[:k] < 1 << 32)

@@ -11,6 +11,7 @@ by text; an empty table gives an empty file set; other columns are never looked
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -18,6 +19,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +35,10 @@ from tripmart.sources.tables import stored
 END_ID = 2
 #: Distinct pieces whose ids a worker remembers; beyond, it forgets all and goes on.
 REMEMBERED = 500_000
+#: Characters of text that are cut at once, about.
+GATHERED = 4 << 20
+#: Pieces that the library gets at once.
+JOINED = 2048
 _SCHEMA = (
     "part int, block int, before long, first_doc long, docs array<long>, counts array<int>, n_ids int, payload binary"
 )
@@ -42,49 +48,101 @@ class PieceEncoder:
     """Ids by the tokenizers library, asked once for each distinct piece of text.
 
     Its pre-tokenizer cuts a text into pieces that are encoded independently; the cut is done for a whole batch here, and
-    each new piece is given to the library.
+    each new piece is given to the library. It takes many pieces at once if they begin with a space, joined to one text,
+    which saves most of its cost for a call.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        added = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.special = next((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), None)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Bytes of text that each id stands for; a letter of the vocabulary is a byte.
+        self.widths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, number in vocabulary.items():
+            self.widths[number] = len(token.encode()) if token in added else len(token)
         self._forget()
 
     def _forget(self) -> None:
-        self._rows: dict[bytes, int] = {}
+        self._known = pa.array([], type=pa.large_binary())
         self._ids, self._bounds = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
-    def _learn(self, new: list[bytes]) -> None:
-        ids: list[int] = []
-        sizes: list[int] = []
-        for k in range(0, len(new), 4096):
-            some = [piece.decode() for piece in new[k : k + 4096]]
-            for encoding in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
-                got = encoding.ids
-                ids += got
-                sizes.append(len(got))
-        self._rows.update(zip(new, range(len(self._rows), len(self._rows) + len(new)), strict=True))
-        bounds = self._bounds[-1] + np.cumsum(sizes, dtype=np.int64)
-        self._ids = np.concatenate([self._ids, np.array(ids, dtype=np.int32)])
-        self._bounds = np.concatenate([self._bounds, bounds])
+    def _alone(self, pieces: list[bytes]) -> list[np.ndarray]:
+        found = []
+        for k in range(0, len(pieces), JOINED):
+            some = [piece.decode() for piece in pieces[k : k + JOINED]]
+            found += [np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        return found
+
+    def _joined(self, data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of pieces joined to ``data``, where each piece's ids begin, and whether they are its own.
+
+        They are, if ids begin and end where the piece does: then no merge went across its ends, and those within it are
+        the same as if it stood alone.
+        """
+        (encoding,) = self.tokenizer.encode_batch_fast([data.decode()], add_special_tokens=False)
+        ids = np.array(encoding.ids, dtype=np.int32)
+        reached = np.append(0, np.cumsum(self.widths[ids]))
+        edges = np.append(0, ends)
+        at = np.minimum(np.searchsorted(reached, edges), len(ids))
+        exact = reached[at] == edges
+        return ids, at, exact[:-1] & exact[1:]
+
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Takes up new pieces; gives the row of each."""
+        bounds = np.frombuffer(new.buffers()[1], dtype=np.int64)[new.offset : new.offset + len(new) + 1]
+        data = np.frombuffer(new.buffers()[2], dtype=np.uint8)
+        spaced = data[bounds[:-1]] == 32
+        ids, sizes = [], np.zeros(len(new), dtype=np.int64)
+        # Pieces in the order in which their ids come.
+        order = []
+        rest = [np.flatnonzero(~spaced)]
+        together = np.flatnonzero(spaced)
+        lengths = np.diff(bounds)
+        some = new.take(pa.array(together))
+        places = np.frombuffer(some.buffers()[1], dtype=np.int64)[some.offset : some.offset + len(some) + 1]
+        for k in range(0, len(some), JOINED):
+            numbers = together[k : k + JOINED]
+            start, end = int(places[k]), int(places[k + len(numbers)])
+            got, at, own = self._joined(some.buffers()[2][start:end].to_pybytes(), np.cumsum(lengths[numbers]))
+            chosen = np.flatnonzero(own)
+            sizes[numbers[chosen]] = np.diff(at)[chosen]
+            ids.append(ragged(got, at, chosen)[0])
+            order.append(numbers[chosen])
+            rest.append(numbers[~own])
+        left = np.concatenate(rest)
+        alone = self._alone(new.take(pa.array(left)).to_pylist())
+        sizes[left] = [len(i) for i in alone]
+        order.append(left)
+        numbers = np.concatenate(order)
+        ends = self._bounds[-1] + np.cumsum(sizes[numbers])
+        self._ids = np.concatenate([self._ids, *ids, *alone])
+        self._bounds = np.concatenate([self._bounds, ends])
+        self._known = pa.concat_arrays([self._known, new.take(pa.array(numbers))])
+        rows = np.empty(len(new), dtype=np.int64)
+        rows[numbers] = np.arange(len(self._known) - len(new), len(self._known))
+        return rows
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's begin."""
         found = cut(texts, self.special)
-        if len(self._rows) > REMEMBERED:
+        if len(self._known) > REMEMBERED:
             self._forget()
-        pieces = found.pieces.to_pylist()
-        self._learn([piece for piece in pieces if piece not in self._rows])
-        rows = np.fromiter(map(self._rows.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        rows = pc.fill_null(pc.index_in(found.pieces, value_set=self._known), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            rows[new] = self._learn(found.pieces.take(pa.array(new)))
         flat, places = ragged(self._ids, self._bounds, rows[found.codes])
         return flat, places[found.doc_starts]
 
 
 @lru_cache(maxsize=2)
 def piece_encoder(path: str) -> PieceEncoder:
+    # A task has one core; threads of the library would only contend for those of other tasks.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return PieceEncoder(path)
 
 
@@ -112,7 +170,7 @@ class _Blocks:
         if not self.held or not last and self.held < GROUP * BLOCK_IDS:
             return
         ids = np.concatenate(self.ids)
-        whole = len(ids) if last else len(ids) // BLOCK_IDS * BLOCK_IDS
+        whole = len(ids) if last else len(ids) // (GROUP * BLOCK_IDS) * (GROUP * BLOCK_IDS)
         blocks = [ids[k : min(k + BLOCK_IDS, whole)] for k in range(0, whole, BLOCK_IDS)]
         rows, place = [], 0
         for block, payload in zip(blocks, encode_blocks(blocks, self.symbols), strict=True):
@@ -137,6 +195,20 @@ class _Blocks:
             )
 
 
+def _gathered(parts: Blocks) -> Blocks:
+    """Blocks joined to larger ones, in which fewer of the pieces are distinct for their size."""
+    ids, texts, size = [], [], 0
+    for some, more in parts:
+        ids += some
+        texts += more
+        size += sum(map(len, more))
+        if size >= GATHERED:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def write(
     docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
@@ -145,7 +217,7 @@ def write(
     def run(parts: Blocks) -> Iterator[pd.DataFrame]:
         encoder = piece_encoder(tokenizer_path)
         blocks = _Blocks(TaskContext.get().partitionId(), max(encoder.size, end_id + 1))
-        for ids, texts in parts:
+        for ids, texts in _gathered(parts):
             blocks.add(ids, *_with_ends(*encoder.encode(texts), end_id))
             yield from blocks.take(last=False)
         yield from blocks.take(last=True)
@@ -156,24 +228,31 @@ def write(
         map_blocks(ordered, run, _SCHEMA, BATCH_BYTES).write.mode("overwrite").parquet(path)
 
 
+def _applied(matrix: list[int], vector: int) -> int:
+    total, k = 0, 0
+    while vector:
+        if vector & 1:
+            total ^= matrix[k]
+        vector, k = vector >> 1, k + 1
+    return total
+
+
+@lru_cache(maxsize=64)
+def _crc_matrix(power: int) -> list[int]:
+    """What 2 ** ``power`` zero bits do to a crc32 as a 32-bit vector (linear over GF(2)); made once, by squaring."""
+    if not power:
+        return [0xEDB88320] + [1 << k for k in range(31)]
+    half = _crc_matrix(power - 1)
+    return [_applied(half, v) for v in half]
+
+
 def _crc_shift(crc: int, size: int) -> int:
-    """``crc`` as a 32-bit vector, moved by ``size`` zero bytes (linear over GF(2), by repeated squaring)."""
-    matrix = [0xEDB88320] + [1 << k for k in range(31)]
-
-    def times(m: list[int], vector: int) -> int:
-        total, k = 0, 0
-        while vector:
-            if vector & 1:
-                total ^= m[k]
-            vector, k = vector >> 1, k + 1
-        return total
-
-    for _ in range(3):
-        matrix = [times(matrix, v) for v in matrix]
+    """``crc``, moved by ``size`` zero bytes."""
+    power = 3
     while size:
         if size & 1:
-            crc = times(matrix, crc)
-        matrix, size = [times(matrix, v) for v in matrix], size >> 1
+            crc = _applied(_crc_matrix(power), crc)
+        size, power = size >> 1, power + 1
     return crc
 
 
@@ -239,15 +318,17 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     @F.pandas_udf("long")
     def joined(crcs: pd.Series) -> pd.Series:
         return pd.Series(
-            [p[0]["crc"] if len(p) == 1 else crc_of_parts([(x["crc"], 4 * x["n"]) for x in p]) for p in crcs],
-            dtype="int64",
+            [None if p is None else crc_of_parts([(x["crc"], 4 * x["n"]) for x in p]) for p in crcs], dtype="Int64"
         )
 
+    # Most documents are one piece, whose checksum is theirs; only the others go to Python.
+    checksum = F.coalesce(joined(F.when(F.size("crcs") > 1, F.col("crcs"))), F.col("crcs")[0]["crc"])
+
     docs = pieces.groupBy("part", "number", "doc_id").agg(
         F.min("before").alias("before"),
         F.sum("n").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("block", "crc", "n"))).alias("crcs"),
     )
     return docs.join(parts, "part").select(
-        "doc_id", (F.col("part_start") + F.col("before")).alias("start"), "n_tokens", joined("crcs").alias("ids_crc32")
+        "doc_id", (F.col("part_start") + F.col("before")).alias("start"), "n_tokens", checksum.alias("ids_crc32")
     )
