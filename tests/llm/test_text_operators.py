@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import WORDS, edge_rows, sentence
-from tripmart.llm import bpe, language, mixing, pii, quality_rules, rangecoder, shingles, tokenfile, toxicity
+from tripmart.llm import bpe, language, mixing, pieces, pii, quality_rules, rangecoder, shingles, tokenfile, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 BLANK = r"[^\x20\x09-\x0D]+"
@@ -83,6 +83,20 @@ def test_joined_pieces_are_told_where_merges_cross(tokenizer):
     assert ids[at[2] : at[3]].tolist() == tokenizer.encode(" is", add_special_tokens=False).ids
 
 
+def test_settled_pieces_are_cut_once(tokenizer):
+    cut = tokenizer.pre_tokenizer.pre_tokenize_str
+    kinds = {(1, 2, 2): pieces.LETTER, (2, 1, 2): pieces.NUMBER, (2, 2, 2): pieces.SPACE, (2, 2, 1): pieces.OTHER}
+    settled = [chr(c) for c in range(0x800)]
+    assert [kinds[tuple(len(cut(k + c)) for k in "a1!")] for c in settled] == pieces._classes()[:0x800].tolist()
+    encoder = tokenfile.PieceEncoder(PATH)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    texts = [" ".join(WORDS * 40), "".join(settled), " ".join(settled), "a".join(settled), " " + "1 ".join(settled)]
+    ids, places = encoder.encode(texts)
+    assert counted.given == 0
+    for text, a, b in zip(texts, places[:-1], places[1:], strict=True):
+        assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("size", [1024, 2048, 4096])
 def test_equal_pieces_are_equal_bytes(tokenizer, size):
     one, two = thue_morse(size)
@@ -143,6 +157,19 @@ def test_range_coder_learns():
     assert len(rangecoder.encode_blocks([ids], 50_257)[0]) < len(ids) * 2 / 6
 
 
+def test_range_coder_tables_hold_the_ids_of_a_block():
+    random = np.random.default_rng(3)
+    few = (random.integers(0, 16, rangecoder.BLOCK_IDS) * 3000).astype(np.int32)
+    every = random.permutation(50_257).astype(np.int32)
+    (coded,) = rangecoder.encode_blocks([few], 50_257)
+    # Four bits an id, two digits and a count for each lane, and learning; with tables of all ids it was 41,770 bytes.
+    assert len(coded) < len(few) // 2 + 6000
+    other = rangecoder.encode_blocks([few[:5000] // 3000], 300)
+    payloads = [coded, *rangecoder.encode_blocks([every, few[:1]], 50_257), *other]
+    for back, block in zip(rangecoder.decode_blocks(payloads), [few, every, few[:1], few[:5000] // 3000], strict=True):
+        assert np.array_equal(back, block)
+
+
 def test_crc_of_parts():
     parts = [b"abc" * 40, b"", b"x", b"longer part" * 999]
     assert tokenfile.crc_of_parts([(zlib.crc32(p), len(p)) for p in parts]) == zlib.crc32(b"".join(parts))

@@ -36,9 +36,12 @@ END_ID = 2
 #: Distinct pieces whose ids a worker remembers; beyond, it forgets all and goes on.
 REMEMBERED = 500_000
 #: Characters of text that are cut at once, about.
-GATHERED = 4 << 20
-#: Pieces that the library gets at once.
-JOINED = 2048
+GATHERED = 8 << 20
+#: Pieces that the library gets at once, and how many of them are joined to one text; its merges take longer in long ones.
+JOINED, TOGETHER = 2048, 64
+#: Below this first byte of a character (U+0800) all characters have been assigned for long, so that the library, whatever
+#: its version of Unicode, cuts as ``cut`` does.
+SETTLED = 0xE0
 _SCHEMA = (
     "part int, block int, before long, first_doc long, docs array<long>, counts array<int>, n_ids int, payload binary"
 )
@@ -48,8 +51,9 @@ class PieceEncoder:
     """Ids by the tokenizers library, asked once for each distinct piece of text.
 
     Its pre-tokenizer cuts a text into pieces that are encoded independently; the cut is done for a whole batch here, and
-    each new piece is given to the library. It takes many pieces at once if they begin with a space, joined to one text,
-    which saves most of its cost for a call.
+    each new piece is given to the library's model, in the letters that stand for its bytes, so that nothing is cut twice.
+    The model takes many pieces at once if they begin with a space, joined to one text. Pieces with rarer characters go
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -64,17 +68,36 @@ class PieceEncoder:
         self.widths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, number in vocabulary.items():
             self.widths[number] = len(token.encode()) if token in added else len(token)
+        self.model = self.tokenizer.model
+        self.merger = Tokenizer(self.model)
+        alphabet = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        #: The letter for each byte: itself if it can be seen, else one of those from U+0100 on.
+        self.letters = np.arange(256, dtype=np.uint32)
+        unseen = np.setdiff1d(np.arange(256), alphabet)
+        self.letters[unseen] = 256 + np.arange(len(unseen))
         self._forget()
 
     def _forget(self) -> None:
         self._known = pa.array([], type=pa.large_binary())
         self._ids, self._bounds = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
+    def _spelled(self, data: bytes) -> str:
+        return self.letters[np.frombuffer(data, dtype=np.uint8)].tobytes().decode("utf-32-le")
+
     def _alone(self, pieces: list[bytes]) -> list[np.ndarray]:
-        found = []
-        for k in range(0, len(pieces), JOINED):
-            some = [piece.decode() for piece in pieces[k : k + JOINED]]
-            found += [np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        special = self.special.encode() if self.special else None
+        settled = [piece != special and max(piece) < SETTLED for piece in pieces]
+        others = [piece.decode() for piece, whole in zip(pieces, settled, strict=True) if not whole]
+        encoded = []
+        for k in range(0, len(others), JOINED):
+            encoded += [e.ids for e in self.tokenizer.encode_batch_fast(others[k : k + JOINED], add_special_tokens=False)]
+        rest = iter(encoded)
+        letters, found, start = self._spelled(b"".join(pieces)), [], 0
+        for piece, whole in zip(pieces, settled, strict=True):
+            end = start + len(piece)
+            ids = [t.id for t in self.model.tokenize(letters[start:end])] if whole else next(rest)
+            found.append(np.array(ids, dtype=np.int32))
+            start = end
         return found
 
     def _joined(self, data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,10 +106,13 @@ class PieceEncoder:
         They are, if ids begin and end where the piece does: then no merge went across its ends, and those within it are
         the same as if it stood alone.
         """
-        (encoding,) = self.tokenizer.encode_batch_fast([data.decode()], add_special_tokens=False)
-        ids = np.array(encoding.ids, dtype=np.int32)
+        letters, edges = self._spelled(data), np.append(0, ends)
+        cuts = [*edges[:-1:TOGETHER].tolist(), len(letters)]
+        encodings = self.merger.encode_batch_fast(
+            [letters[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], add_special_tokens=False
+        )
+        ids = np.array([i for encoding in encodings for i in encoding.ids], dtype=np.int32)
         reached = np.append(0, np.cumsum(self.widths[ids]))
-        edges = np.append(0, ends)
         at = np.minimum(np.searchsorted(reached, edges), len(ids))
         exact = reached[at] == edges
         return ids, at, exact[:-1] & exact[1:]
@@ -95,7 +121,8 @@ class PieceEncoder:
         """Takes up new pieces; gives the row of each."""
         bounds = np.frombuffer(new.buffers()[1], dtype=np.int64)[new.offset : new.offset + len(new) + 1]
         data = np.frombuffer(new.buffers()[2], dtype=np.uint8)
-        spaced = data[bounds[:-1]] == 32
+        rare = np.append(0, np.cumsum(data[: bounds[-1]] >= SETTLED))
+        spaced = (data[bounds[:-1]] == 32) & (rare[bounds[1:]] == rare[bounds[:-1]])
         ids, sizes = [], np.zeros(len(new), dtype=np.int64)
         # Pieces in the order in which their ids come.
         order = []
@@ -280,22 +307,26 @@ def _decoded(spark: SparkSession, path: str, schema: str, last: Callable[[list[b
         for batch in batches:
             for k in range(0, batch.num_rows, GROUP):
                 rows = batch.slice(k, GROUP).to_pylist()
-                for row, ids in zip(rows, decode_blocks([row["payload"] for row in rows]), strict=True):
-                    counts = np.array(row["counts"], dtype=np.int64)
-                    ends = np.cumsum(counts)
-                    raw = ids.astype("<u4").tobytes()
-                    frame = pd.DataFrame(
-                        {
-                            "part": row["part"],
-                            "number": row["first_doc"] + np.arange(len(counts)),
-                            "doc_id": pd.array(row["docs"], dtype="Int64"),
-                            "block": row["block"],
-                            "before": row["before"] + ends - counts,
-                            "n": counts,
-                            **last([raw[4 * (e - c) : 4 * e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]),
-                        }
-                    )
-                    yield pa.RecordBatch.from_pandas(frame, schema=arrow, preserve_index=False)
+                decoded = decode_blocks([row["payload"] for row in rows])
+                counts = [np.array(row["counts"], dtype=np.int64) for row in rows]
+                held, every = [len(c) for c in counts], np.concatenate(counts)
+                ends = np.cumsum(every)
+                raw = np.concatenate(decoded).astype("<u4").tobytes()
+                # Of each block in front of its pieces: ids of the group and of the part.
+                past = np.cumsum([0, *map(len, decoded[:-1])])
+                before = np.repeat(np.array([row["before"] for row in rows]) - past, held)
+                columns = {
+                    "part": np.repeat([row["part"] for row in rows], held),
+                    "number": np.concatenate([row["first_doc"] + np.arange(n) for row, n in zip(rows, held, strict=True)]),
+                    "doc_id": [doc for row in rows for doc in row["docs"]],
+                    "block": np.repeat([row["block"] for row in rows], held),
+                    "before": before + ends - every,
+                    "n": every,
+                    **last([raw[4 * (e - c) : 4 * e] for e, c in zip(ends.tolist(), every.tolist(), strict=True)]),
+                }
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[field.name], type=field.type) for field in arrow], schema=arrow
+                )
 
     return spark.read.parquet(path).mapInArrow(run, schema)
 
