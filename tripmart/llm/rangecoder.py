@@ -22,7 +22,7 @@ MAGIC = b"TID3"
 BLOCK_IDS = 1 << 16
 LANE_IDS, MAX_LANES = 128, 512
 #: Blocks coded together; this bounds the memory, not the result.
-GROUP = 16
+GROUP = 32
 #: Slots for the contexts of order 1 and 2.
 CONTEXTS = 1 << 14, 1 << 16
 _TOTAL_BITS = 24
