@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 import threading
 import time
 from collections import Counter
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tripmart.functions.text import printed_double, strip
 from tripmart.operators import scoring as s
 from tripmart.plans import queries
+from tripmart.session import run_folder, scratch, shared_dir
 from tripmart.sources import tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -148,6 +150,89 @@ def test_trips_that_share_time_and_borough_are_told_apart(rows):
     assert sorted(left.collect(), key=repr) == sorted(fact.filter("_dbt_loaded_at = '2024-01-02'").collect(), key=repr)
 
 
+def test_loads_of_which_all_some_or_none_were_logged(rows):
+    """As many rows as were logged of a print are left out, the oldest load first and a load without a time last."""
+    fact = rows(FACT, *[(dt.datetime(2024, 1, k) if k else None,) + fact_row(1, i % 4)[1:] for k in (1, 2, 3, 0) for i in range(6)],
+                *[fact_row(4, 9, None)] * 2)
+    blank = [(None, None, None, 1.0, None, "A", 3.0)] * 3
+    fact = fact.union(rows(FACT, *[(dt.datetime(2024, 1, 5), *blank[0][:3], 1.0, None, "A", 3.0, 1, 2)] * 3))
+    for logged in ([], [0] * 2, [0] * 4 + [1] * 3, [0, 1, 2, 3] * 2 + [0, 1], [0, 1] * 8 + [2, 3] * 4, [9], [9, 9, 9], [-1] * 2):
+        log = fact.filter("false").select(s.row_print().alias("row_print"))
+        for i in logged:
+            one = "pickup_ts is null" if i < 0 else f"minute(pickup_ts) = {i}"
+            log = log.union(fact.filter(one).limit(1).select(s.row_print().alias("row_print")))
+        gone, wanted = Counter(logged), []
+        for r in sorted(fact.collect(), key=lambda r: r["_dbt_loaded_at"] or dt.datetime.max):
+            kind = r.pickup_ts.minute if r.pickup_ts else -1
+            if gone[kind] > 0:
+                gone[kind] -= 1
+            else:
+                wanted.append(r)
+        assert Counter(s.unscored(fact, log).collect()) == Counter(wanted)
+
+
+def test_trips_of_loads_logged_whole_or_not_at_all_are_not_moved(rows):
+    fact = rows(FACT, *[fact_row(1 + i % 3, i) for i in range(30)])
+    log = fact.filter("_dbt_loaded_at < '2024-01-02'").select(s.row_print().alias("row_print"))
+    left = s.unscored(fact, log)
+    assert "Exchange hashpartitioning" not in left._jdf.queryExecution().executedPlan().toString()
+    assert left.count() == 20
+
+
+def test_only_what_the_log_needs_is_dealt_and_stored(rows, spark, monkeypatch):
+    asked, write = [], tables.stored
+
+    def watched(df, label, **options):
+        asked.append((label, df.columns))
+        return write(df, label, **options)
+
+    monkeypatch.setattr("tripmart.operators.numbering.stored", watched)
+    fact = rows(FACT, *[fact_row(1, i) for i in range(60)]).withColumn("other", F.lit("text" * 100))
+    chosen = s.prompts(s.in_batches(s.candidates(fact)))
+    scored = s.score_batches(chosen, s.rule_scorer)
+    assert dict(asked)["numbered"] == [*s.CANDIDATE_COLUMNS, "_task", "_local"]
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Trip features") < plan.index("Exchange hashpartitioning(_batch")
+    before = s.score_batches(s.prompts(s.candidates(fact)), s.rule_scorer)
+    assert scored.columns == before.columns and sorted(scored.collect()) == sorted(before.collect())
+
+
+def test_a_run_leaves_only_its_log(rows, spark, tmp_path):
+    def left():
+        folder = run_folder(spark).removeprefix("file:")
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        tables_there = set(os.listdir(folder)) if os.path.exists(folder) else set()
+        return tables_there, {f for f in files if os.path.basename(f).startswith("shuffle_")}
+
+    path, fact = str(tmp_path / "log"), rows(FACT, *[fact_row(1 + i % 2, i) for i in range(60)])
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    fact.repartition(3, "pickup_ts").collect()
+    tables_before, shuffles_before = left()
+    assert shuffles_before
+    setting = spark.conf.get(key)
+    s.score_run(fact.filter("_dbt_loaded_at < '2024-01-02'"), path, s.rule_scorer, "one", "2024-02-01")
+    s.score_run(fact, path, s.rule_scorer, "two", "2024-02-02")
+    for _ in range(50):
+        stored, shuffled = left()
+        if not shuffled - shuffles_before:
+            break
+        time.sleep(0.1)
+    assert stored == tables_before and not shuffled - shuffles_before
+    assert spark.conf.get(key) == setting
+    assert tables.read_ai_flags(spark, path).count() == 60
+
+
+def test_scratch_deletes_what_is_made_inside(spark):
+    outside = tables.stored(spark.range(3), "outside")
+    with scratch(spark):
+        inner = shared_dir(spark, "inner")
+        spark.range(5).write.parquet(inner)
+        with scratch(spark):
+            pass
+        assert tables.exists(spark, inner)
+    assert not tables.exists(spark, inner) and outside.count() == 3
+
+
 def test_every_fact_row_is_logged_once(spark):
     fact = queries._two_loads(spark, SF_DIR)
     log = queries.all_queries()["ai_flags"](spark, SF_DIR)

@@ -21,7 +21,8 @@ from tripmart.functions.timestamps import AsOf, clock
 from tripmart.operators.numbering import numbered
 from tripmart.operators.replies import parse_replies
 from tripmart.schemas import AI_FLAGS
-from tripmart.sources.tables import append_ai_flags, exists, pickup_month, read_ai_flags
+from tripmart.session import scratch, shuffles_dropped
+from tripmart.sources.tables import append_ai_flags, exists, pickup_month, read_ai_flags, stored
 
 # A scorer takes the text of one request and returns the body of the response.
 Scorer = Callable[[str], str]
@@ -50,6 +51,9 @@ CANDIDATE_COLUMNS = (
     "fare_amount",
 )
 
+# All that scoring reads of a fact.
+READ_COLUMNS = ("_dbt_loaded_at", "pulocationid", "dolocationid", *CANDIDATE_COLUMNS)
+
 
 def response_text(body: str) -> str:
     """The answer inside a response body: under the first known key, or else the body itself."""
@@ -108,7 +112,7 @@ def candidates(fact: DataFrame, n: int | None = None) -> DataFrame:
     if n is not None and n <= MOST_TAKEN:
         number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
         return fact.orderBy(*order).limit(n).withColumn("row_id", number).select("row_id", *CANDIDATE_COLUMNS)
-    rows = numbered(fact, order).select("row_id", *CANDIDATE_COLUMNS)
+    rows = numbered(fact.select(*READ_COLUMNS), order, keep=CANDIDATE_COLUMNS).select("row_id", *CANDIDATE_COLUMNS)
     return rows if n is None else rows.filter(F.col("row_id") <= n)
 
 
@@ -128,23 +132,35 @@ def unscored(fact: DataFrame, log: DataFrame) -> DataFrame:
     """Fact rows that the log of scored rows does not have; each logged row stands for one of the fact.
 
     Trips are told apart by the print stored in the log, or the candidate columns that it keeps. Of trips with one print as
-    many are left out as were logged, the oldest load first. Both sides are counted per print; single rows are numbered only
-    in a load of which a part was logged.
+    many are left out as were logged, the oldest load first. Both sides are counted per print, for which only prints and load
+    times are moved. Of most loads the counts say that all rows or none were logged: these are taken or left without a join
+    by print. That and the numbering of single rows is kept for loads of which a part was logged. The counts are made at
+    once, one row per load is stored.
     """
     key = CANDIDATE_COLUMNS if "row_print" in log.columns else [name for name in CANDIDATE_COLUMNS if name in log.columns]
     logged = log.select("row_print") if "row_print" in log.columns else log.select(row_print(key).alias("row_print"))
-    have = logged.groupBy(F.col("row_print").alias("_print")).agg(F.count(F.lit(1)).alias("_have"))
-    marked = fact.withColumn("_print", row_print(key))
+    have = logged.groupBy(F.unhex("row_print").alias("_print")).agg(F.count(F.lit(1)).alias("_have"))
+    marked = fact.withColumn("_print", F.unhex(row_print(key)))
     loads = marked.groupBy("_print", F.col("_dbt_loaded_at").alias("_load")).agg(F.count(F.lit(1)).alias("_rows"))
     older = Window.partitionBy("_print").orderBy(F.col("_load").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     before = loads.withColumn("_before", F.coalesce(F.sum("_rows").over(older), F.lit(0))).join(have, "_print", "left")
     out = F.greatest(F.coalesce("_have", F.lit(0)) - F.col("_before"), F.lit(0))
-    still = before.withColumn("_out", out).filter("_out < _rows").withColumnRenamed("_print", "_open")
-    same = (F.col("_print") == F.col("_open")) & F.col("_dbt_loaded_at").eqNullSafe(F.col("_load"))
-    left = marked.join(still.select("_open", "_load", "_out"), same)
+    counted = before.withColumn("_out", out)
+    shares = counted.groupBy("_load").agg(F.sum(F.least("_out", "_rows")).alias("_gone"), F.sum("_rows").alias("_all"))
+    with shuffles_dropped(fact.sparkSession):
+        shares = stored(shares, "scored-loads")
+    load = F.col("_dbt_loaded_at").eqNullSafe(F.col("_load"))
+    untouched = fact.join(shares.filter("_gone = 0").select("_load"), load, "left_semi")
+    partly = shares.filter("_gone > 0 and _gone < _all").select(F.col("_load").alias("_partly"))
+    if partly.isEmpty():
+        return untouched
+    still = counted.filter("_out < _rows").join(partly, F.col("_load").eqNullSafe(F.col("_partly")), "left_semi")
+    still = still.select(F.col("_print").alias("_open"), "_load", "_out")
+    some = marked.join(partly, F.col("_dbt_loaded_at").eqNullSafe(F.col("_partly")), "left_semi")
+    left = some.join(still, (F.col("_print") == F.col("_open")) & load)
     place = F.row_number().over(Window.partitionBy("_print", "_load").orderBy("_out"))
     part = left.filter("_out > 0").withColumn("_place", place).filter("_place > _out")
-    return left.filter("_out = 0").select(*fact.columns).union(part.select(*fact.columns))
+    return untouched.union(left.filter("_out = 0").select(*fact.columns)).union(part.select(*fact.columns))
 
 
 def log_of_others(fact: DataFrame, path: str, run: str) -> DataFrame:
@@ -163,11 +179,13 @@ def score_run(
 ) -> None:
     """One run: scores the rows of ``fact`` that no other run has logged, all or the newest ``n``, and logs them.
 
-    A run that broke off is simply started again under its name: it takes the same rows and replaces what it wrote.
+    A run that broke off is simply started again under its name: it takes the same rows and replaces what it wrote. What it
+    stores and shuffles on the way is deleted.
     """
-    rows = unscored(fact, log_of_others(fact, path, run)) if exists(fact.sparkSession, path) else fact
-    scored = score_batches(prompts(candidates(rows, n)), scorer, how=how)
-    append_ai_flags(ai_flags(scored, as_of), path, run)
+    with scratch(fact.sparkSession):
+        rows = unscored(fact, log_of_others(fact, path, run)) if exists(fact.sparkSession, path) else fact
+        scored = score_batches(prompts(in_batches(candidates(rows, n))), scorer, how=how)
+        append_ai_flags(ai_flags(scored, as_of), path, run)
 
 
 def prompts(df: DataFrame, single: bool = False) -> DataFrame:
@@ -240,19 +258,28 @@ def _ask_by_batch(scorer: Scorer, how: Requests):
     return F.pandas_udf(ask, "string").asNondeterministic()
 
 
+def in_batches(rows: DataFrame, batch_size: int = BATCH_SIZE, parallel: int | None = None) -> DataFrame:
+    """Rows that have ``row_id`` dealt to tasks by batch, the number of which they get, and sorted there.
+
+    Done before ``prompts``, so that the texts, by far the longest columns, are neither moved nor sorted.
+    """
+    numbered_rows = rows.withColumn("_batch", F.floor((F.col("row_id") - 1) / batch_size))
+    dealt = numbered_rows.repartition(*([parallel] if parallel else []), "_batch")
+    return dealt.sortWithinPartitions("_batch", "row_id")
+
+
 def score_batches(
     rows: DataFrame, scorer: Scorer, batch_size: int = BATCH_SIZE, parallel: int | None = None, how: Requests = Requests()
 ) -> DataFrame:
     """Adds ``reply`` to rows that have ``row_id`` (numbered from 1) and ``prompt``.
 
-    Rows are dealt to tasks by batch and sorted there, so a request never holds more than ``batch_size`` of them and no
+    Rows that do not come from ``in_batches`` are dealt to tasks by batch and sorted there, so a request never holds more than ``batch_size`` of them and no
     row carries another's text. ``parallel`` spreads few batches over that many tasks; without it small data may end up in
     one. ``how`` says how many requests a task has in flight and how often it tries. A task that is run again asks again, so
     store the result before using it twice. ``failed`` marks rows whose request raised.
     """
-    carried = [name for name in rows.columns if name != "row_id"]
-    numbered_rows = rows.withColumn("_batch", F.floor((F.col("row_id") - 1) / batch_size))
-    dealt = numbered_rows.repartition(*([parallel] if parallel else []), "_batch").sortWithinPartitions("_batch", "row_id")
+    carried = [name for name in rows.columns if name not in ("row_id", "_batch")]
+    dealt = rows if "_batch" in rows.columns else in_batches(rows, batch_size, parallel)
     asked = dealt.withColumn("reply", _ask_by_batch(scorer, how)("_batch", "prompt"))
     failed = asked.withColumn("failed", F.col("reply").isNull())
     return failed.select("row_id", *carried, F.coalesce("reply", F.lit(FAILED_REPLY)).alias("reply"), "failed")

@@ -16,7 +16,7 @@ from tripmart.operators import anomaly, incremental, marts, quality, scoring, sn
 from tripmart.operators.replies import parse_replies
 from tripmart.plans.builds import build_lakehouse, build_warehouse, check_build, grow_fact
 from tripmart.schemas import FACT_KEY, LAKEHOUSE, TRIPS, WAREHOUSE, Profile
-from tripmart.session import shared_dir
+from tripmart.session import shared_dir, shuffles_dropped
 from tripmart.sources import months, readers, tables
 from tripmart.streaming import ingest
 
@@ -345,6 +345,13 @@ def _two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.withColumn("_dbt_loaded_at", F.when(F.col("vendorid") % 2 == 1, later).otherwise(F.col("_dbt_loaded_at")))
 
 
+def _stored_loads(spark: SparkSession, sf_dir: str, *others: str) -> DataFrame:
+    """The same, stored: what scoring reads of it, and ``others``."""
+    with shuffles_dropped(spark):
+        fact = _two_loads(spark, sf_dir).select(*scoring.READ_COLUMNS, *others)
+        return tables.stored(fact, "scored-fact", compression="zstd")
+
+
 @query
 def score_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.prompts(scoring.candidates(_two_loads(spark, sf_dir))).select("row_id", "prompt")
@@ -430,7 +437,7 @@ def ai_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ai_flags_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads scored by runs of which the second broke off halfway and was repeated, and a third that finds nothing."""
-    fact = tables.stored(_two_loads(spark, sf_dir), "scored-fact")
+    fact = _stored_loads(spark, sf_dir, "payment_type")
     path = shared_dir(spark, "ai-flags-repeated") + "/ai_anomaly_flags"
     first = fact.filter(F.col("_dbt_loaded_at") == F.lit(AS_OF).cast("timestamp_ntz"))
     scoring.score_run(first, path, scoring.rule_scorer, "one", AS_OF)
