@@ -16,7 +16,7 @@ from tripmart.operators import anomaly, incremental, marts, quality, scoring, sn
 from tripmart.operators.replies import parse_replies
 from tripmart.plans.builds import build_lakehouse, build_warehouse, check_build, grow_fact
 from tripmart.schemas import FACT_KEY, LAKEHOUSE, TRIPS, WAREHOUSE, Profile
-from tripmart.session import shared_dir, shuffles_dropped
+from tripmart.session import scratch, shared_dir, shuffles_dropped
 from tripmart.sources import months, readers, tables
 from tripmart.streaming import ingest
 
@@ -422,12 +422,13 @@ def parse_reply_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ai_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows scored and logged in two runs; the second run takes only what the first did not log."""
-    fact = tables.stored(_two_loads(spark, sf_dir), "scored-fact")
+    fact = _stored_loads(spark, sf_dir)
     path = shared_dir(spark, "ai-flags") + "/ai_anomaly_flags"
 
     def run(rows: DataFrame, as_of: str) -> None:
-        chosen = scoring.prompts(scoring.candidates(rows))
-        tables.append_ai_flags(scoring.ai_flags(scoring.score_batches(chosen, scoring.rule_scorer), as_of), path)
+        with scratch(spark):
+            chosen = scoring.prompts(scoring.in_batches(scoring.candidates(rows)))
+            tables.append_ai_flags(scoring.ai_flags(scoring.score_batches(chosen, scoring.rule_scorer), as_of), path)
 
     run(fact.filter(F.col("_dbt_loaded_at") == F.lit(AS_OF).cast("timestamp_ntz")), AS_OF)
     run(scoring.unscored(fact, tables.read_ai_flags(spark, path, beside=True)), SECOND_RUN)
